@@ -32,7 +32,7 @@ def day_text(ts) -> Column:
 
 def parse_date(text, fmt: str = "yyyy-MM-dd") -> Column:
     """Text to DATE with a pattern; malformed text gives null instead of failing."""
-    return F.try_to_date(_col(text), F.lit(fmt))
+    return F.try_to_date(_col(text), fmt)
 
 
 def asset_from_file_name(name) -> Column:
