@@ -24,18 +24,18 @@ def feature_pipeline(date_feature: str = "calendar", handle_invalid: str = "skip
     keeps them and marks them by status instead.
     """
     prep = SQLTransformer(statement=(
-        "SELECT *, CAST(asset_id AS STRING) AS asset_text, CAST(day AS STRING) AS day_text, "
-        "CAST(dayofweek(day) AS DOUBLE) AS day_of_week, CAST(month(day) AS DOUBLE) AS month_of_year "
+        "SELECT *, CAST(asset_id AS STRING) AS feat_asset, CAST(day AS STRING) AS feat_day, "
+        "CAST(dayofweek(day) AS DOUBLE) AS feat_day_of_week, CAST(month(day) AS DOUBLE) AS feat_month "
         "FROM __THIS__"))
     # Ties of frequency are broken alphabetically; unseen assets get an extra index.
-    stages = [prep, StringIndexer(inputCol="asset_text", outputCol="asset_index", handleInvalid="keep",
+    stages = [prep, StringIndexer(inputCol="feat_asset", outputCol="feat_asset_index", handleInvalid="keep",
                                   stringOrderType="frequencyDesc")]
-    inputs = ["asset_index"]
+    inputs = ["feat_asset_index"]
     if date_feature == "index":
-        stages.append(StringIndexer(inputCol="day_text", outputCol="day_index", handleInvalid="keep"))
-        inputs.append("day_index")
+        stages.append(StringIndexer(inputCol="feat_day", outputCol="feat_day_index", handleInvalid="keep"))
+        inputs.append("feat_day_index")
     elif date_feature == "calendar":
-        inputs += ["day_of_week", "month_of_year"]
+        inputs += ["feat_day_of_week", "feat_month"]
     else:
         raise ValueError("date_feature must be 'calendar' or 'index'")
     stages.append(VectorAssembler(inputCols=inputs + NUMERIC_FEATURES, outputCol="features",
