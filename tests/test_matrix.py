@@ -113,3 +113,47 @@ def test_matrix_plan_has_no_band_join(spark):
     from .conftest import SF_SMALL
     plan = feature_matrix(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def _log_matrix(log, h=7, include_today=True):
+    et = F.col("kind")
+    return mx.build_matrix_from_log(
+        log, asset=F.col("asset"), day=F.col("d"), value=F.col("value"),
+        is_reading=et != "err", is_kpi=et.isin("kpi", "kpi2"), is_interruption=(et == "err") & (F.col("value") >= 5),
+        kpi_aggs={"flighthours": lambda k: F.sum(F.when(k, F.col("value"))),
+                  "flightcycles": lambda k: F.sum(k.cast("int")).cast("int"),
+                  "delayedminutes": lambda k: F.sum((k & (F.col("kind") == "kpi2")).cast("int")).cast("int")},
+        horizon_days=h, include_today=include_today)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(-10, 10),
+                          st.sampled_from(["read", "kpi", "kpi2", "err"]), st.integers(0, 9)), min_size=1, max_size=40),
+       st.integers(0, 8), st.booleans())
+def test_one_scan_matrix_equals_three_sources(spark, rows, h, include_today):
+    log = spark.createDataFrame([(a, _d(o), k, float(v)) for a, o, k, v in rows],
+                                "asset string, d date, kind string, value double")
+    readings = log.where("kind <> 'err'").select(F.col("asset").alias("asset_id"), F.col("d").alias("day"), "value")
+    kpis = (log.where("kind IN ('kpi', 'kpi2')").groupBy(F.col("asset").alias("asset_id"), F.col("d").alias("day"))
+            .agg(F.sum("value").alias("flighthours"), F.count(F.lit(1)).cast("int").alias("flightcycles"),
+                 F.sum((F.col("kind") == "kpi2").cast("int")).cast("int").alias("delayedminutes")))
+    inter = log.where("kind = 'err' AND value >= 5").select(F.col("asset").alias("asset_id"), F.col("d").alias("event_day"))
+    three = mx.build_matrix(readings, kpis, inter, h, include_today)
+    one = _log_matrix(log, h, include_today)
+
+    def norm(df):
+        return sorted((r.asset_id, r.day, round(r.avg_sensor, 9), r.flighthours, r.flightcycles, r.delayedminutes,
+                       r.label) for r in df.collect())
+    assert norm(one) == norm(three)
+
+
+def test_one_scan_matrix_plan(spark):
+    from wrenchcast.plans.matrix_queries import feature_matrix
+    from .conftest import SF_SMALL
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = feature_matrix(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("Exchange hashpartitioning") == 1

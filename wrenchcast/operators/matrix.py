@@ -16,6 +16,9 @@ Plan shape (all aggregations keyed by the same ``(asset_id, day)``):
 * The three sides are hash-partitioned on the same keys, so the two joins
   run without another exchange (or as broadcast joins when AQE sees a small
   side at run time).
+
+When the three inputs are rows of one event log, ``build_matrix_from_log``
+gives the same result with one scan and one shuffle (see its docstring).
 """
 
 from __future__ import annotations
@@ -99,9 +102,14 @@ def band_join_left(matrix: DataFrame, interruptions: DataFrame,
     The band condition is rewritten to an equi-join on (asset_id, day): each
     event is copied to the ``horizon + 1`` days it covers, so no pair outside
     the band is ever formed.
+
+    The output holds every matching pair, so a (asset, day) with many events
+    produces that many rows whatever the plan; the matrix side is unique per
+    key and AQE splits skewed matrix-side partitions. The label (C3) never
+    needs the pairs: ``label_within_horizon`` de-duplicates before joining.
     """
     e = F.col("event_day")
-    spread = (interruptions.where(e.isNotNull())
+    spread = (interruptions.where(e.isNotNull() & F.col("asset_id").isNotNull())
               .select("asset_id", e, F.explode(F.sequence(F.date_sub(e, horizon_days), e)).alias("day")))
     return matrix.join(spread, KEYS, "left")
 
@@ -130,6 +138,49 @@ def build_matrix(readings: DataFrame, kpis: DataFrame, interruptions: DataFrame,
     return matrix.select(*MATRIX_COLUMNS)
 
 
+_LOG_RESERVED = ("asset_id", "day", "value", "_own_day", "_r", "_k", "_i")
+
+
+def build_matrix_from_log(log: DataFrame, asset: Column, day: Column, value: Column,
+                          is_reading: Column, is_kpi: Column, is_interruption: Column,
+                          kpi_aggs: dict, horizon_days: int = DEFAULT_HORIZON_DAYS,
+                          include_today: bool = True, value_scale: int | None = None) -> DataFrame:
+    """The matrix when readings, KPI facts and interruptions are rows of ONE log.
+
+    Same result as ``build_matrix`` over the three filtered views of the log,
+    but the log is scanned once and shuffled once:
+
+      scan(log, pushed OR of the three predicates)
+        -> each interruption row is spread over the days it labels
+        -> partial aggregate per (asset_id, day) -> Exchange -> final aggregate
+        -> keep keys that have readings and KPI facts
+
+    ``kpi_aggs`` maps an output column to ``f(in_kpi: Column) -> aggregate Column``
+    computed over the KPI rows of the key; ``flightcycles``-style counts are
+    built as ``F.sum(in_kpi.cast('int'))``.
+    """
+    last = 0 if include_today else 1
+    days = F.when(is_interruption, F.sequence(F.date_sub(day, horizon_days), day)).otherwise(F.array(day))
+    rows = (log.where(is_reading | is_kpi | is_interruption)
+            .select(asset.alias("asset_id"), day.alias("_own_day"), value.alias("value"),
+                    is_reading.alias("_r"), is_kpi.alias("_k"), is_interruption.alias("_i"),
+                    F.explode(days).alias("day"),
+                    *[F.col(c) for c in log.columns if c not in _LOG_RESERVED]))
+    own = F.col("day") == F.col("_own_day")
+    in_reading = F.coalesce(F.col("_r") & own, F.lit(False))
+    in_kpi = F.coalesce(F.col("_k") & own, F.lit(False))
+    hit = F.coalesce(F.col("_i") & (F.col("day") <= F.date_sub(F.col("_own_day"), last)), F.lit(False))
+    reading_value = F.when(in_reading, F.col("value"))
+    agg = rows.where(F.col("asset_id").isNotNull() & F.col("day").isNotNull()).groupBy(*KEYS).agg(
+        exact_avg(reading_value, value_scale).alias("avg_sensor"),
+        F.sum(in_reading.cast("int")).alias("_n_readings"),
+        F.sum(in_kpi.cast("int")).alias("_n_kpi"),
+        *[fn(in_kpi).alias(name) for name, fn in kpi_aggs.items()],
+        F.max(hit.cast("int")).alias("label"))
+    out = agg.where((F.col("_n_readings") > 0) & (F.col("_n_kpi") > 0))
+    return out.select("asset_id", "day", "avg_sensor", *kpi_aggs.keys(), "label")
+
+
 def cast_matrix(matrix: DataFrame) -> DataFrame:
     """Restore the matrix types after a text round trip."""
     types = {"avg_sensor": "double", "flighthours": "double", "flightcycles": "int",

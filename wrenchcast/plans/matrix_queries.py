@@ -16,6 +16,20 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 on the event log: readings, KPI facts and interruptions are rows of
+    ``events``, so the log is scanned and shuffled once."""
+    ev = _events(spark, sf_dir)
+    et = F.col("event_type")
+    return mx.build_matrix_from_log(
+        ev, asset=F.col("user_id"), day=F.to_date("ts"), value=F.col("value"),
+        is_reading=et != tb.SENSOR_EXCLUDED_TYPE, is_kpi=et.isin(*tb.KPI_TYPES),
+        is_interruption=(et == tb.INTERRUPTION_TYPE) & (F.col("value") >= tb.INTERRUPTION_MIN_VALUE),
+        kpi_aggs=tb.kpi_aggregates(), value_scale=VALUE_SCALE)
+
+
+def feature_matrix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 with three separate sources (sensor files, KPI table, interruption
+    table in the domain); here each is a filtered view of ``events``."""
     ev = _events(spark, sf_dir)
     return mx.build_matrix(tb.readings(ev), tb.kpis(ev), tb.interruptions(ev),
                            value_scale=VALUE_SCALE)
@@ -56,6 +70,7 @@ def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "feature_matrix": feature_matrix,
+    "feature_matrix_sources": feature_matrix_sources,
     "daily_avg": daily_avg,
     "join_inner_multikey": join_inner_multikey,
     "join_band_left": join_band_left,
@@ -66,11 +81,14 @@ QUERIES = {
 _LABEL = """CASE WHEN EXISTS (SELECT 1 FROM {l} l WHERE l.asset_id = s.asset_id
                  AND l.event_day BETWEEN s.day AND s.day + 7) THEN 1 ELSE 0 END""".format(l=INTERRUPTIONS_SQL)
 
-ORACLE = {
-    "feature_matrix": f"""
+_FEATURE_MATRIX_SQL = f"""
         SELECT s.asset_id, s.day, s.avg_sensor, k.flighthours, k.flightcycles, k.delayedminutes,
                {_LABEL} AS label
-        FROM {SENSOR_SQL} s JOIN {KPIS_SQL} k ON s.asset_id = k.asset_id AND s.day = k.day""",
+        FROM {SENSOR_SQL} s JOIN {KPIS_SQL} k ON s.asset_id = k.asset_id AND s.day = k.day"""
+
+ORACLE = {
+    "feature_matrix": _FEATURE_MATRIX_SQL,
+    "feature_matrix_sources": _FEATURE_MATRIX_SQL,
     "daily_avg": f"SELECT * FROM {SENSOR_SQL} s",
     "join_inner_multikey": f"""
         SELECT s.asset_id, s.day, s.avg_sensor, k.flighthours, k.flightcycles, k.delayedminutes

@@ -56,6 +56,15 @@ def interruptions(events: DataFrame) -> DataFrame:
             .select(F.col("user_id").alias("asset_id"), F.to_date("ts").alias("event_day")))
 
 
+def kpi_aggregates() -> dict:
+    """KPI columns as aggregates over the KPI rows of a key (for the one-scan matrix)."""
+    return {
+        "flighthours": lambda in_kpi: exact_sum(F.when(in_kpi, F.col("value")), VALUE_SCALE),
+        "flightcycles": lambda in_kpi: F.sum(in_kpi.cast("int")).cast("int"),
+        "delayedminutes": lambda in_kpi: F.sum((in_kpi & (F.col("event_type") == DELAY_TYPE)).cast("int")).cast("int"),
+    }
+
+
 def nullable_orders(orders: DataFrame) -> DataFrame:
     """Orders with nulls injected by a key rule (the driver tables hold none).
 

@@ -41,7 +41,7 @@ def get_session(master: str | None = None, app_name: str = "wrenchcast",
     if master:
         builder = builder.master(master)
         # Local runs: one JVM, memory is the driver's. No web UI server.
-        builder = builder.config("spark.ui.enabled", "false")
+        builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("WRENCHCAST_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
