@@ -151,3 +151,17 @@ def test_run_stages_end_to_end(spark, tmp_path):
     assert out.count() == 6
     with pytest.raises(ValueError):
         run_stages(spark, "deploy", Sources(readings, kpis, events), "", "", "exp")
+
+
+def test_daily_table_scoring_equals_two_sides(spark, trained):
+    from wrenchcast.operators.matrix import daily_table
+    sensor, kpis = _daily(spark)
+    readings = sensor.select("asset_id", "day", F.col("avg_sensor").alias("value"))
+    daily = daily_table(readings, kpis)
+    assert {(r.asset_id, r.has_sensor, r.has_kpi) for r in daily.collect()} == {
+        ("XY-AAA", True, True), ("XY-BBB", True, True), ("XY-ZZZ", True, True), ("XY-CCC", True, False)}
+    one = {r.request_id: (r.status, r.prediction) for r in
+           scr.score_requests(scr.complete_requests_daily(_requests(spark), daily), trained[0].model).collect()}
+    two = {r.request_id: (r.status, r.prediction) for r in
+           scr.score_requests(scr.complete_requests(_requests(spark), sensor, kpis), trained[0].model).collect()}
+    assert one == two and {k: v[0] for k, v in one.items()} == EXPECTED_STATUS

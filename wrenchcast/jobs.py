@@ -1,8 +1,8 @@
 """The three stages of the application (K1, K2, K4, K6) as plain functions.
 
-management: sources -> feature matrix -> stored matrix (Parquet by month)
+management: sources -> feature matrix (Parquet by month) + daily table
 analysis:   stored matrix -> tuned models -> run table + saved pipelines
-classifier: requests + daily tables + best saved pipeline -> scored requests
+classifier: requests + stored daily table + best saved pipeline -> scored requests
 
 Each stage reads what the previous one wrote, so a later stage can run on
 its own and the written tables cut the lineage between stages.
@@ -15,9 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from wrenchcast.ml.registry import RunRegistry
-from wrenchcast.ml.score import complete_requests, score_requests
+from wrenchcast.ml.score import complete_requests_daily, score_requests
 from wrenchcast.ml.train import train_models
-from wrenchcast.operators.matrix import build_matrix, daily_average
+from wrenchcast.operators.matrix import build_matrix, daily_table
 from wrenchcast.sources.files import read_matrix
 from wrenchcast.sources.sinks import write_matrix
 
@@ -31,11 +31,18 @@ class Sources:
     interruptions: DataFrame  # asset_id, event_day
 
 
+def daily_path(matrix_path: str) -> str:
+    return matrix_path.rstrip("/") + "_daily"
+
+
 def run_management(sources: Sources, matrix_path: str, horizon_days: int = 7,
                    value_scale: int | None = None) -> DataFrame:
+    """Write the labelled matrix, and the daily table the classifier joins with."""
     matrix = build_matrix(sources.readings, sources.kpis, sources.interruptions,
                           horizon_days=horizon_days, value_scale=value_scale)
     write_matrix(matrix, matrix_path)
+    daily = daily_table(sources.readings, sources.kpis, value_scale)
+    daily.write.mode("overwrite").parquet(daily_path(matrix_path))
     return matrix
 
 
@@ -50,12 +57,12 @@ def run_analysis(spark: SparkSession, matrix_path: str, registry_root: str, expe
     return run_ids
 
 
-def run_classifier(spark: SparkSession, requests: DataFrame, sources: Sources, registry_root: str,
-                   experiment: str, choice: str | None = None, idx: int = 0,
-                   value_scale: int | None = None) -> DataFrame:
+def run_classifier(spark: SparkSession, requests: DataFrame, matrix_path: str, registry_root: str,
+                   experiment: str, choice: str | None = None, idx: int = 0) -> DataFrame:
+    """Score requests against the stored daily table with the chosen saved pipeline."""
     model = RunRegistry(spark, registry_root).load_best_model(experiment, choice, idx)
-    sensor = daily_average(sources.readings, value_scale)
-    return score_requests(complete_requests(requests, sensor, sources.kpis), model)
+    daily = spark.read.parquet(daily_path(matrix_path))
+    return score_requests(complete_requests_daily(requests, daily), model)
 
 
 def run_stages(spark: SparkSession, stage: str, sources: Sources, matrix_path: str, registry_root: str,
@@ -69,5 +76,5 @@ def run_stages(spark: SparkSession, stage: str, sources: Sources, matrix_path: s
     if stage in ("all", "analysis"):
         run_analysis(spark, matrix_path, registry_root, experiment, **train_options)
     if stage in ("all", "classifier") and requests is not None:
-        return run_classifier(spark, requests, sources, registry_root, experiment, choice)
+        return run_classifier(spark, requests, matrix_path, registry_root, experiment, choice)
     return None

@@ -41,21 +41,36 @@ def complete_requests(requests: DataFrame, sensor_daily: DataFrame, kpis: DataFr
     kpis:         asset_id, day, flighthours, flightcycles, delayedminutes (one row per key)
     ``valid`` defaults to the reference's format check of day and asset text.
     """
+    s = sensor_daily.select(*KEYS, "avg_sensor", F.lit(True).alias("has_sensor"))
+    k = kpis.select(*KEYS, "flighthours", "flightcycles", "delayedminutes", F.lit(True).alias("has_kpi"))
+    return _complete(requests, [s, k], valid, day_text_col)
+
+
+def complete_requests_daily(requests: DataFrame, daily: DataFrame, valid: Column | None = None,
+                            day_text_col: str = "day") -> DataFrame:
+    """Same as ``complete_requests`` with one stored daily table
+    (``operators.matrix.daily_table``): one left join per request frame."""
+    d = daily.select(*KEYS, "avg_sensor", "flighthours", "flightcycles", "delayedminutes",
+                     F.when(F.col("has_sensor"), F.lit(True)).alias("has_sensor"),
+                     F.when(F.col("has_kpi"), F.lit(True)).alias("has_kpi"))
+    return _complete(requests, [d], valid, day_text_col)
+
+
+def _complete(requests: DataFrame, sides: list[DataFrame], valid: Column | None, day_text_col: str) -> DataFrame:
     valid = valid if valid is not None else valid_request(day_text_col, "asset_id")
     reqs = requests.withColumn("_valid", valid)
     if day_text_col == "day":
         reqs = reqs.withColumnRenamed("day", "day_text")
         day_text_col = "day_text"
-    reqs = reqs.withColumn("day", F.when(F.col("_valid"), parse_date(F.col(day_text_col))))
-    s = sensor_daily.select(*KEYS, "avg_sensor", F.lit(True).alias("_has_sensor"))
-    k = kpis.select(*KEYS, "flighthours", "flightcycles", "delayedminutes", F.lit(True).alias("_has_kpi"))
-    joined = reqs.join(s, KEYS, "left").join(k, KEYS, "left")
+    joined = reqs.withColumn("day", F.when(F.col("_valid"), parse_date(F.col(day_text_col))))
+    for side in sides:
+        joined = joined.join(side, KEYS, "left")
     status = (F.when(~F.col("_valid"), F.lit(STATUS_INVALID))
-              .when(F.col("_has_sensor").isNull(), F.lit(STATUS_NO_SENSOR))
-              .when(F.col("_has_kpi").isNull(), F.lit(STATUS_NO_KPI))
+              .when(F.col("has_sensor").isNull(), F.lit(STATUS_NO_SENSOR))
+              .when(F.col("has_kpi").isNull(), F.lit(STATUS_NO_KPI))
               .when(_any_null(NUMERIC_FEATURES), F.lit(STATUS_INCOMPLETE))
               .otherwise(F.lit(STATUS_OK)))
-    return joined.withColumn("status", status).drop("_valid", "_has_sensor", "_has_kpi")
+    return joined.withColumn("status", status).drop("_valid", "has_sensor", "has_kpi")
 
 
 def score_requests(completed: DataFrame, model: PipelineModel) -> DataFrame:

@@ -138,6 +138,25 @@ def build_matrix(readings: DataFrame, kpis: DataFrame, interruptions: DataFrame,
     return matrix.select(*MATRIX_COLUMNS)
 
 
+def daily_table(readings: DataFrame, kpis: DataFrame, value_scale: int | None = None) -> DataFrame:
+    """Sensor average and KPIs of every (asset_id, day) that has either, with
+    ``has_sensor`` / ``has_kpi`` flags.
+
+    Stored once by the management stage, it is the single static side that
+    request scoring (batch or streaming) joins with: a stream-static join
+    re-reads its static side every micro-batch, which must be a stored table,
+    not an aggregation over all raw readings. Both inputs are aggregated by
+    the same keys, so the full outer join needs no further exchange.
+    """
+    sensor = daily_average(readings, value_scale).withColumn("has_sensor", F.lit(True))
+    daily_kpis = first_row_per_key(
+        kpis.select(*KEYS, "flighthours", "flightcycles", "delayedminutes"), KEYS).withColumn("has_kpi", F.lit(True))
+    joined = sensor.join(daily_kpis, KEYS, "full_outer")
+    return joined.select(*KEYS, "avg_sensor", "flighthours", "flightcycles", "delayedminutes",
+                         F.coalesce("has_sensor", F.lit(False)).alias("has_sensor"),
+                         F.coalesce("has_kpi", F.lit(False)).alias("has_kpi"))
+
+
 _LOG_RESERVED = ("asset_id", "day", "value", "_own_day", "_r", "_k", "_i")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wrenchcast.ml.score import STATUS_EXIT, complete_requests, score_requests
+from wrenchcast.ml.score import STATUS_EXIT, complete_requests, complete_requests_daily, score_requests
 from wrenchcast.schemas import REQUESTS
 
 EXIT_WORD = "exit"
@@ -33,22 +33,28 @@ def read_request_stream(spark: SparkSession, folder: str, fmt: str = "csv",
     return reader.format(fmt).load(folder)
 
 
-def scored_stream(requests: DataFrame, sensor_daily: DataFrame, kpis: DataFrame,
-                  model: PipelineModel) -> DataFrame:
-    """The same plan as the batch job (K4), on a streaming frame."""
+def scored_stream(requests: DataFrame, sensor_daily: DataFrame | None, kpis: DataFrame | None,
+                  model: PipelineModel, daily: DataFrame | None = None) -> DataFrame:
+    """The same plan as the batch job (K4), on a streaming frame.
+
+    Pass ``daily``, the stored table of ``operators.matrix.daily_table``: the
+    static side of a stream-static join is read again for every micro-batch.
+    """
     is_exit = (F.lower(F.col("day")) == EXIT_WORD) | (F.lower(F.col("asset_id")) == EXIT_WORD)
-    completed = complete_requests(requests.withColumn("_exit", is_exit), sensor_daily, kpis)
+    tagged = requests.withColumn("_exit", is_exit)
+    completed = (complete_requests_daily(tagged, daily) if daily is not None
+                 else complete_requests(tagged, sensor_daily, kpis))
     completed = completed.withColumn(
         "status", F.when(F.col("_exit"), F.lit(STATUS_EXIT)).otherwise(F.col("status"))).drop("_exit")
     return score_requests(completed, model)
 
 
-def start_scoring(spark: SparkSession, request_folder: str, sensor_daily: DataFrame, kpis: DataFrame,
-                  model: PipelineModel, output_path: str, checkpoint_path: str,
+def start_scoring(spark: SparkSession, request_folder: str, sensor_daily: DataFrame | None,
+                  kpis: DataFrame | None, model: PipelineModel, output_path: str, checkpoint_path: str,
                   available_now: bool = False, processing_time: str | None = None,
-                  fmt: str = "csv") -> StreamingQuery:
+                  fmt: str = "csv", daily: DataFrame | None = None) -> StreamingQuery:
     """Start the scoring query; ``available_now`` processes what is there and stops."""
-    scored = scored_stream(read_request_stream(spark, request_folder, fmt), sensor_daily, kpis, model)
+    scored = scored_stream(read_request_stream(spark, request_folder, fmt), sensor_daily, kpis, model, daily)
     writer = (scored.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint_path))
     if available_now:
