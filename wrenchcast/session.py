@@ -37,7 +37,10 @@ def get_session(master: str | None = None, app_name: str = "wrenchcast",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session. ``master`` is only given for local runs."""
-    builder = SparkSession.builder.appName(app_name)
+    # Checkpoint files written for lineage cuts are removed once the
+    # DataFrame that owns them is garbage-collected.
+    builder = (SparkSession.builder.appName(app_name)
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         builder = builder.master(master)
         # Local runs: one JVM, memory is the driver's. No web UI server.
