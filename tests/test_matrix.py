@@ -157,3 +157,10 @@ def test_one_scan_matrix_plan(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("FileScan parquet") == 1
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_feature_matrix_unique_per_key_on_driver_tables(spark):
+    from wrenchcast.plans.matrix_queries import feature_matrix, feature_matrix_sources
+    for fn in (feature_matrix, feature_matrix_sources):
+        m = fn(spark, "/root/testdata/sf0.01")
+        assert m.count() == m.select("asset_id", "day").distinct().count() == 3282

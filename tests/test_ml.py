@@ -165,3 +165,24 @@ def test_daily_table_scoring_equals_two_sides(spark, trained):
     two = {r.request_id: (r.status, r.prediction) for r in
            scr.score_requests(scr.complete_requests(_requests(spark), sensor, kpis), trained[0].model).collect()}
     assert one == two and {k: v[0] for k, v in one.items()} == EXPECTED_STATUS
+
+
+def test_streaming_exit_request_is_kept_and_seen(spark, tmp_path, trained):
+    sensor, kpis = _daily(spark)
+    inbox = str(tmp_path / "inbox")
+    reqs = _requests(spark).unionByName(spark.createDataFrame([(99, "exit", "exit")], "request_id long, day string, asset_id string"))
+    reqs.coalesce(1).write.option("header", True).csv(inbox)
+    q = stream.start_scoring(spark, inbox, sensor, kpis, trained[0].model, str(tmp_path / "out"),
+                             str(tmp_path / "ckpt"), available_now=True)
+    q.awaitTermination(120)
+    out = {r.request_id: r.status for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert out[99] == "exit" and len(out) == 7
+    assert stream.exit_seen(spark, str(tmp_path / "out"))
+
+
+def test_split_by_day(spark):
+    from wrenchcast.ml.train import split_matrix
+    m = _planted(spark, 100)
+    train, test = split_matrix(m, first_test_day=D0 + dt.timedelta(days=15))
+    assert train.agg(F.max("day")).first()[0] < test.agg(F.min("day")).first()[0]
+    assert train.count() + test.count() == 100
