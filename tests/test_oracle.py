@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from scripts.oracle_check import _rows
+from scripts.oracle_check import _rows, type_mismatches
 from wrenchcast.plans.tables import TABLES
 
 from .conftest import SF_SMALL
@@ -39,5 +39,6 @@ def test_query_matches_oracle(spark, duck, key):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(sdf.columns) == sorted(ocols)
+    assert type_mismatches(sdf.schema, res.description) == []
     assert len(srows) == len(orows)
     assert _rows(sdf.columns, srows, False) == _rows(ocols, orows, False)

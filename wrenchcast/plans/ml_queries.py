@@ -83,7 +83,7 @@ ORACLE = {
         round(max(CASE WHEN label = 1 THEN correct / support END), 6) AS recall_positive
         FROM {_PER_CLASS} p""",
     "metric_recall": f"SELECT label, support, correct, round(correct / support, 6) AS recall FROM {_PER_CLASS} p",
-    "topk_runs": """SELECT model_class, rank, run_id, accuracy FROM (
+    "topk_runs": """SELECT model_class, CAST(rank AS INTEGER) AS rank, run_id, accuracy FROM (
         SELECT *, row_number() OVER (PARTITION BY model_class ORDER BY accuracy DESC NULLS LAST, run_id) AS rank
         FROM (SELECT p_brand AS run_id, p_type AS model_class,
                      round(avg(CASE WHEN p_size <= 25 THEN 1.0 ELSE 0.0 END), 6) AS accuracy
