@@ -126,7 +126,7 @@ def enforce_schema(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     No RDD or driver round trip: the check is a Column expression.
     """
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.DataType.fromDDL(schema)
     cols = []
     for field in schema.fields:
         c = F.col(field.name).cast(field.dataType)
