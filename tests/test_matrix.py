@@ -164,3 +164,22 @@ def test_feature_matrix_unique_per_key_on_driver_tables(spark):
     for fn in (feature_matrix, feature_matrix_sources):
         m = fn(spark, "/root/testdata/sf0.01")
         assert m.count() == m.select("asset_id", "day").distinct().count() == 3282
+
+
+def test_hot_asset_is_reduced_before_the_shuffle(spark):
+    """One asset holds over a third of all log rows: the result is unchanged and
+    the only exchange receives partial aggregates, not raw rows."""
+    rows = [("HOT", _d(i % 20), ("read", "kpi", "err")[i % 3], float(i % 10)) for i in range(3000)]
+    rows += [(f"A{i % 50}", _d(i % 20), ("read", "kpi", "kpi2", "err")[i % 4], float(i % 10)) for i in range(4000)]
+    log = spark.createDataFrame(rows, "asset string, d date, kind string, value double").repartition(6)
+    one = _log_matrix(log)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = one._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchange_at = plan.index("Exchange hashpartitioning(asset_id")
+    assert "partial_sum" in plan[exchange_at:] and "partial_max" in plan[exchange_at:]
+    hot = one.where("asset_id = 'HOT'").collect()
+    assert len(hot) == 20 and all(r.label == 1 for r in hot)
+    assert sum(r.flightcycles for r in hot) == 1000
