@@ -69,6 +69,14 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
                  bins=DEFAULT_BINS, folds: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED,
                  test_fraction: float = DEFAULT_TEST_FRACTION, date_feature: str = "calendar",
                  parallelism: int = 4, first_test_day=None) -> list[TrainedModel]:
+    """Fit every model class over the grid with k-fold CV; evaluate the best
+    of each on the held-out rows.
+
+    A tree needs ``maxBins`` >= the number of values of every categorical
+    feature (assets + 1 for unseen ones; days with ``date_feature='index'``).
+    Grid points below that are left out up front instead of failing inside a
+    fit; if none is left a ValueError names the needed value.
+    """
     train, test = split_matrix(matrix, seed, test_fraction, first_test_day)
     features = feature_pipeline(date_feature).fit(train)
     needed = max(category_sizes(features).values(), default=2)
