@@ -183,3 +183,27 @@ def test_hot_asset_is_reduced_before_the_shuffle(spark):
     hot = one.where("asset_id = 'HOT'").collect()
     assert len(hot) == 20 and all(r.label == 1 for r in hot)
     assert sum(r.flightcycles for r in hot) == 1000
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(-5, 5),
+                          st.sampled_from(["read", "kpi", "kpi2", "err"]), st.integers(0, 9)), min_size=1, max_size=40))
+def test_one_scan_daily_table_equals_two_sources(spark, rows):
+    log = spark.createDataFrame([(a, _d(o), k, float(v)) for a, o, k, v in rows],
+                                "asset string, d date, kind string, value double")
+    et = F.col("kind")
+    kpi_aggs = {"flighthours": lambda k: F.sum(F.when(k, F.col("value"))),
+                "flightcycles": lambda k: F.sum(k.cast("int")).cast("int"),
+                "delayedminutes": lambda k: F.sum((k & (F.col("kind") == "kpi2")).cast("int")).cast("int")}
+    one = mx.daily_table_from_log(log, F.col("asset"), F.col("d"), F.col("value"), et.isin("read", "kpi", "kpi2"),
+                                  et.isin("kpi", "kpi2"), kpi_aggs)
+    readings = log.where("kind <> 'err'").select(F.col("asset").alias("asset_id"), F.col("d").alias("day"), "value")
+    kpis = (log.where("kind IN ('kpi', 'kpi2')").groupBy(F.col("asset").alias("asset_id"), F.col("d").alias("day"))
+            .agg(F.sum("value").alias("flighthours"), F.count(F.lit(1)).cast("int").alias("flightcycles"),
+                 F.sum((F.col("kind") == "kpi2").cast("int")).cast("int").alias("delayedminutes")))
+    two = mx.daily_table(readings, kpis)
+
+    def norm(df):
+        return sorted((r.asset_id, r.day, None if r.avg_sensor is None else round(r.avg_sensor, 9), r.flighthours,
+                       r.flightcycles, r.delayedminutes, r.has_sensor, r.has_kpi) for r in df.collect())
+    assert norm(one) == norm(two)

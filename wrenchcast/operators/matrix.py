@@ -157,6 +157,24 @@ def daily_table(readings: DataFrame, kpis: DataFrame, value_scale: int | None =
                          F.coalesce("has_kpi", F.lit(False)).alias("has_kpi"))
 
 
+def daily_table_from_log(log: DataFrame, asset: Column, day: Column, value: Column,
+                         is_reading: Column, is_kpi: Column, kpi_aggs: dict,
+                         value_scale: int | None = None) -> DataFrame:
+    """``daily_table`` when readings and KPI facts are rows of one log: one
+    scan, one partial + final aggregation by (asset_id, day)."""
+    rows = (log.where(is_reading | is_kpi)
+            .select(asset.alias("asset_id"), day.alias("day"), value.alias("value"),
+                    F.coalesce(is_reading, F.lit(False)).alias("_r"), F.coalesce(is_kpi, F.lit(False)).alias("_k"),
+                    *[F.col(c) for c in log.columns if c not in _LOG_RESERVED]))
+    n_kpi = F.sum(F.col("_k").cast("int"))
+    agg = rows.where(F.col("asset_id").isNotNull() & F.col("day").isNotNull()).groupBy(*KEYS).agg(
+        exact_avg(F.when(F.col("_r"), F.col("value")), value_scale).alias("avg_sensor"),
+        *[F.when(n_kpi > 0, fn(F.col("_k"))).alias(name) for name, fn in kpi_aggs.items()],
+        (F.sum(F.col("_r").cast("int")) > 0).alias("has_sensor"),
+        (n_kpi > 0).alias("has_kpi"))
+    return agg
+
+
 _LOG_RESERVED = ("asset_id", "day", "value", "_own_day", "_r", "_k", "_i")
 
 

@@ -55,10 +55,16 @@ def _requests(spark, sf_dir):
 
 
 def complete_requests(spark, sf_dir):
+    """K3: every request joined once with the daily table built in one pass
+    over the event log (sensor average, KPIs, presence flags)."""
     events = tb.table(spark, sf_dir, "events")
-    sensor = mx.daily_average(tb.readings(events), tb.VALUE_SCALE)
+    et = F.col("event_type")
+    daily = mx.daily_table_from_log(
+        events, asset=F.col("user_id"), day=F.to_date("ts"), value=F.col("value"),
+        is_reading=et != tb.SENSOR_EXCLUDED_TYPE, is_kpi=et.isin(*tb.KPI_TYPES),
+        kpi_aggs=tb.kpi_aggregates(), value_scale=tb.VALUE_SCALE)
     valid = sc.valid_day_text("day") & F.col("asset_id").isNotNull()
-    return scr.complete_requests(_requests(spark, sf_dir), sensor, tb.kpis(events), valid=valid)
+    return scr.complete_requests_daily(_requests(spark, sf_dir), daily, valid=valid)
 
 
 QUERIES = {
