@@ -71,6 +71,11 @@ def test_band_join_equals_brute_force(spark, mrows, erows, h):
     got = sorted(((r.asset_id, r.day, r.avg_sensor, r.event_day) for r in mx.band_join_left(m, ev, h).collect()),
                  key=lambda r: (r[0], r[1], r[3] or dt.date.min))
     assert got == _brute_band(mrows, erows, h)
+    # With one event per task every key with events is split over salts: same pairs.
+    salted = sorted(((r.asset_id, r.day, r.avg_sensor, r.event_day)
+                     for r in mx.band_join_left(m, ev, h, events_per_task=1).collect()),
+                    key=lambda r: (r[0], r[1], r[3] or dt.date.min))
+    assert salted == got
     # The label is the existence form of the same join, monotone in the horizon.
     lab = {(r.asset_id, r.day): r.label for r in mx.label_within_horizon(m, ev, h).collect()}
     lab_next = {(r.asset_id, r.day): r.label for r in mx.label_within_horizon(m, ev, h + 1).collect()}

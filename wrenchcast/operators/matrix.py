@@ -94,8 +94,13 @@ def label_within_horizon(matrix: DataFrame, interruptions: DataFrame,
             .drop("_hit"))
 
 
+# Events of one (asset, day) that one task joins before the key is split.
+EVENTS_PER_TASK = 1 << 20
+
+
 def band_join_left(matrix: DataFrame, interruptions: DataFrame,
-                   horizon_days: int = DEFAULT_HORIZON_DAYS) -> DataFrame:
+                   horizon_days: int = DEFAULT_HORIZON_DAYS,
+                   events_per_task: int = EVENTS_PER_TASK) -> DataFrame:
     """Every (row, interruption) pair with the event in [day, day + horizon].
 
     Left outer: a row without event is kept once with a null ``event_day``.
@@ -103,15 +108,35 @@ def band_join_left(matrix: DataFrame, interruptions: DataFrame,
     event is copied to the ``horizon + 1`` days it covers, so no pair outside
     the band is ever formed.
 
-    The output holds every matching pair, so a (asset, day) with many events
-    produces that many rows whatever the plan; the matrix side is unique per
-    key and AQE splits skewed matrix-side partitions. The label (C3) never
-    needs the pairs: ``label_within_horizon`` de-duplicates before joining.
+    Skew: one (asset, day) may receive a third of all events, and a left
+    join cannot split its non-preserved side. So the events of each key are
+    counted first (a partial aggregate), a key with ``n`` events gets
+    ``s = ceil(n / events_per_task)`` salts, its matrix row is copied ``s``
+    times and its events are dealt over the salts by their row position
+    (fixed at the scan, so it is the same on a re-run). The pair join is then
+    on (asset_id, day, salt): no task holds more than about
+    ``events_per_task`` events of one key. Cold keys keep one salt. Copies
+    of a key that received no event are dropped, so each row without any
+    event still appears exactly once.
     """
     e = F.col("event_day")
     spread = (interruptions.where(e.isNotNull() & F.col("asset_id").isNotNull())
               .select("asset_id", e, F.explode(F.sequence(F.date_sub(e, horizon_days), e)).alias("day")))
-    return matrix.join(spread, KEYS, "left")
+    # Deterministic and with the same output in both uses, so they share one exchange.
+    counts = spread.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
+
+    def n_salts(n):
+        return F.ceil(n / F.lit(events_per_task)).cast("int")
+
+    cols = matrix.columns
+    left = (matrix.join(counts, KEYS, "left")
+            .select(*cols, F.coalesce(F.col("_n"), F.lit(0)).alias("_n"),
+                    F.explode(F.sequence(F.lit(0), F.coalesce(n_salts(F.col("_n")), F.lit(1)) - 1)).alias("_salt")))
+    right = (spread.withColumn("_row", F.monotonically_increasing_id())
+             .join(counts, KEYS, "inner")
+             .select(*KEYS, e, F.pmod(F.col("_row"), n_salts(F.col("_n")).cast("bigint")).cast("int").alias("_salt")))
+    paired = left.join(right, KEYS + ["_salt"], "left")
+    return paired.where(e.isNotNull() | (F.col("_n") == 0)).select(*cols, "event_day")
 
 
 def build_matrix(readings: DataFrame, kpis: DataFrame, interruptions: DataFrame,
