@@ -149,6 +149,10 @@ def test_run_stages_end_to_end(spark, tmp_path):
     out = run_stages(spark, "all", Sources(readings, kpis, events), str(tmp_path / "matrix"),
                      str(tmp_path / "reg"), "exp", requests=_requests(spark), models=("DecisionTree",), **SMALL)
     assert out.count() == 6
+    from wrenchcast.operators.matrix import build_matrix
+    from wrenchcast.sources.files import read_matrix
+    stored = sorted(map(tuple, read_matrix(spark, str(tmp_path / "matrix")).collect()))
+    assert stored == sorted(map(tuple, build_matrix(readings, kpis, events).collect()))
     with pytest.raises(ValueError):
         run_stages(spark, "deploy", Sources(readings, kpis, events), "", "", "exp")
 

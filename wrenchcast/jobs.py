@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wrenchcast.ml.registry import RunRegistry
 from wrenchcast.ml.score import complete_requests_daily, score_requests
 from wrenchcast.ml.train import train_models
-from wrenchcast.operators.matrix import build_matrix, daily_table
+from wrenchcast.operators.matrix import daily_table, matrix_from_daily
 from wrenchcast.sources.files import read_matrix
 from wrenchcast.sources.sinks import write_matrix
 
@@ -37,13 +37,16 @@ def daily_path(matrix_path: str) -> str:
 
 def run_management(sources: Sources, matrix_path: str, horizon_days: int = 7,
                    value_scale: int | None = None) -> DataFrame:
-    """Write the labelled matrix, and the daily table the classifier joins with."""
-    matrix = build_matrix(sources.readings, sources.kpis, sources.interruptions,
-                          horizon_days=horizon_days, value_scale=value_scale)
+    """Write the daily table (what the classifier joins with), then the
+    labelled matrix derived from the stored daily table: the raw readings
+    are scanned once, and the written table cuts the lineage."""
+    spark = sources.readings.sparkSession
+    daily_table(sources.readings, sources.kpis, value_scale) \
+        .write.mode("overwrite").parquet(daily_path(matrix_path))
+    stored = spark.read.parquet(daily_path(matrix_path))
+    matrix = matrix_from_daily(stored, sources.interruptions, horizon_days)
     write_matrix(matrix, matrix_path)
-    daily = daily_table(sources.readings, sources.kpis, value_scale)
-    daily.write.mode("overwrite").parquet(daily_path(matrix_path))
-    return matrix
+    return read_matrix(spark, matrix_path)
 
 
 def run_analysis(spark: SparkSession, matrix_path: str, registry_root: str, experiment: str,

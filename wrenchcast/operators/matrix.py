@@ -200,6 +200,14 @@ def daily_table_from_log(log: DataFrame, asset: Column, day: Column, value: Colu
     return agg
 
 
+def matrix_from_daily(daily: DataFrame, interruptions: DataFrame, horizon_days: int = DEFAULT_HORIZON_DAYS,
+                      include_today: bool = True) -> DataFrame:
+    """The matrix from a (stored) daily table: keys with both readings and
+    KPIs, labelled. Equal to ``build_matrix`` over the same sources."""
+    both = daily.where(F.col("has_sensor") & F.col("has_kpi")).select(*MATRIX_COLUMNS[:-1])
+    return label_within_horizon(both, interruptions, horizon_days, include_today).select(*MATRIX_COLUMNS)
+
+
 _LOG_RESERVED = ("asset_id", "day", "value", "_own_day", "_r", "_k", "_i")
 
 
