@@ -190,3 +190,13 @@ def test_bounded_actions(tutorial_df):
         assert not cached.isEmpty()
     finally:
         cached.unpersist()
+
+
+def test_frequency_index_equals_string_indexer(spark):
+    from pyspark.ml.feature import StringIndexer
+    rows = [(i, v) for i, v in enumerate(["b", "a", "b", "c", None, "a", "d", "e", "d", "c", "z", None])]
+    df = spark.createDataFrame(rows, "id int, v string")
+    ours = {r.id: r.idx for r in ky.frequency_index(df, "v", "idx").collect()}
+    model = StringIndexer(inputCol="v", outputCol="idx", handleInvalid="keep", stringOrderType="frequencyDesc").fit(df)
+    theirs = {r.id: r.idx for r in model.transform(df).collect()}
+    assert ours == theirs

@@ -7,22 +7,23 @@ are built from ``events`` (some malformed, some pointing at days without data).
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from wrenchcast.functions import scalar as sc
 from wrenchcast.ml import evaluate as ev
 from wrenchcast.ml import registry as rg
 from wrenchcast.ml import score as scr
+from wrenchcast.operators import keys as ky
 from wrenchcast.operators import matrix as mx
 from wrenchcast.plans import tables as tb
 
 
 def string_index(spark, sf_dir):
+    """I1 over a column whose vocabulary grows with the data: the distributed
+    frequency index gives StringIndexer's numbers without a driver-side label
+    list (the saved model pipeline still uses StringIndexer, see ml/features)."""
     events = tb.table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("asset"))
-    model = StringIndexer(inputCol="asset", outputCol="asset_index", stringOrderType="frequencyDesc",
-                          handleInvalid="keep").fit(events)
-    return model.transform(events).select("event_id", "asset_index")
+    return ky.frequency_index(events, "asset", "asset_index").select("event_id", "asset_index")
 
 
 def metric_accuracy(spark, sf_dir):
