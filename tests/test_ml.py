@@ -190,3 +190,17 @@ def test_split_by_day(spark):
     train, test = split_matrix(m, first_test_day=D0 + dt.timedelta(days=15))
     assert train.agg(F.max("day")).first()[0] < test.agg(F.min("day")).first()[0]
     assert train.count() + test.count() == 100
+
+
+def test_asset_feature_options(spark):
+    m = _planted(spark)
+    cont = ft.feature_pipeline(asset_feature="continuous").fit(m)
+    out = cont.transform(m)
+    attrs = out.schema["features"].metadata["ml_attr"]["attrs"]
+    assert "nominal" not in attrs or all(a["name"] != "feat_asset_rank" for a in attrs["nominal"])
+    assert ft.feature_width(cont) == 7
+    assert ft.feature_width(ft.feature_pipeline(asset_feature="none").fit(m)) == 6
+    res = train_models(m, models=("DecisionTree",), depths=(3,), bins=(4,), folds=2, asset_feature="continuous")
+    assert res[0].params["max_bins"] == 4
+    with pytest.raises(ValueError, match="continuous"):
+        train_models(m, models=("DecisionTree",), depths=(3,), bins=(4,), folds=2)

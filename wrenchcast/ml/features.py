@@ -13,7 +13,8 @@ from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 NUMERIC_FEATURES = ["avg_sensor", "flighthours", "flightcycles", "delayedminutes"]
 
 
-def feature_pipeline(date_feature: str = "calendar", handle_invalid: str = "skip") -> Pipeline:
+def feature_pipeline(date_feature: str = "calendar", handle_invalid: str = "skip",
+                     asset_feature: str = "category") -> Pipeline:
     """Stages that turn matrix rows into ``features``.
 
     date_feature:
@@ -22,6 +23,12 @@ def feature_pipeline(date_feature: str = "calendar", handle_invalid: str = "skip
       ``maxBins`` >= number of days; checked by the trainer).
     handle_invalid: rows with a null feature are skipped in training; scoring
     keeps them and marks them by status instead.
+    asset_feature:
+      ``category`` (default, as in the reference): the asset index is a
+      nominal feature, so trees need ``maxBins`` > number of assets;
+      ``continuous``: the same index (assets by frequency) as a number, for
+      fleets too large for one bin per asset;
+      ``none``: no asset feature.
     """
     prep = SQLTransformer(statement=(
         "SELECT *, CAST(asset_id AS STRING) AS feat_asset, CAST(day AS STRING) AS feat_day, "
@@ -30,7 +37,17 @@ def feature_pipeline(date_feature: str = "calendar", handle_invalid: str = "skip
     # Ties of frequency are broken alphabetically; unseen assets get an extra index.
     stages = [prep, StringIndexer(inputCol="feat_asset", outputCol="feat_asset_index", handleInvalid="keep",
                                   stringOrderType="frequencyDesc")]
-    inputs = ["feat_asset_index"]
+    if asset_feature == "category":
+        inputs = ["feat_asset_index"]
+    elif asset_feature == "continuous":
+        # A new column from an expression carries no nominal metadata.
+        stages.append(SQLTransformer(statement="SELECT *, feat_asset_index + 0.0 AS feat_asset_rank FROM __THIS__"))
+        inputs = ["feat_asset_rank"]
+    elif asset_feature == "none":
+        stages = stages[:1]
+        inputs = []
+    else:
+        raise ValueError("asset_feature must be 'category', 'continuous' or 'none'")
     if date_feature == "index":
         stages.append(StringIndexer(inputCol="feat_day", outputCol="feat_day_index", handleInvalid="keep"))
         inputs.append("feat_day_index")

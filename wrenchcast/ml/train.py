@@ -68,7 +68,8 @@ def split_matrix(matrix: DataFrame, seed: int = DEFAULT_SEED, test_fraction: flo
 def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), depths=DEFAULT_DEPTHS,
                  bins=DEFAULT_BINS, folds: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED,
                  test_fraction: float = DEFAULT_TEST_FRACTION, date_feature: str = "calendar",
-                 parallelism: int = 4, first_test_day=None) -> list[TrainedModel]:
+                 parallelism: int = 4, first_test_day=None,
+                 asset_feature: str = "category") -> list[TrainedModel]:
     """Fit every model class over the grid with k-fold CV; evaluate the best
     of each on the held-out rows.
 
@@ -78,12 +79,15 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
     fit; if none is left a ValueError names the needed value.
     """
     train, test = split_matrix(matrix, seed, test_fraction, first_test_day)
-    features = feature_pipeline(date_feature).fit(train)
-    needed = max(category_sizes(features).values(), default=2)
+    features = feature_pipeline(date_feature, asset_feature=asset_feature).fit(train)
+    sizes = category_sizes(features)
+    if asset_feature != "category":
+        sizes.pop("feat_asset_index", None)
+    needed = max(sizes.values(), default=2)
     usable_bins = [b for b in bins if b >= needed]
     if not usable_bins:
         raise ValueError(f"maxBins must be >= {needed} (values of the largest categorical feature); "
-                         f"grid has {list(bins)}")
+                         f"grid has {list(bins)}; for large fleets use asset_feature='continuous'")
     width = feature_width(features)
 
     key = F.concat_ws("|", F.col("asset_id").cast("string"), F.col("day").cast("string"))
