@@ -212,3 +212,20 @@ def test_one_scan_daily_table_equals_two_sources(spark, rows):
         return sorted((r.asset_id, r.day, None if r.avg_sensor is None else round(r.avg_sensor, 9), r.flighthours,
                        r.flightcycles, r.delayedminutes, r.has_sensor, r.has_kpi) for r in df.collect())
     assert norm(one) == norm(two)
+
+
+def test_empty_inputs_keep_schema(spark):
+    readings = spark.createDataFrame([], "asset_id bigint, day date, value double")
+    kpis = spark.createDataFrame([], "asset_id bigint, day date, flighthours double, flightcycles int, delayedminutes int")
+    ev = spark.createDataFrame([], "asset_id bigint, event_day date")
+    out = mx.build_matrix(readings, kpis, ev)
+    assert out.isEmpty() and out.columns == mx.MATRIX_COLUMNS
+    assert mx.label_days(ev, 0, include_today=False).schema["asset_id"].dataType.simpleString() == "bigint"
+    m = spark.createDataFrame([(1, E, 1.0)], "asset_id bigint, day date, avg_sensor double")
+    assert mx.label_within_horizon(m, ev, 0, include_today=False).first().label == 0
+    assert mx.band_join_left(m, ev).first().event_day is None
+
+
+def test_dedup_when_key_is_every_column(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
+    assert sorted(map(tuple, mx.first_row_per_key(df, ["k", "v"]).collect())) == [(1, "a"), (2, "b")]

@@ -200,3 +200,9 @@ def test_frequency_index_equals_string_indexer(spark):
     model = StringIndexer(inputCol="v", outputCol="idx", handleInvalid="keep", stringOrderType="frequencyDesc").fit(df)
     theirs = {r.id: r.idx for r in model.transform(df).collect()}
     assert ours == theirs
+
+
+def test_keys_on_empty_input(spark):
+    empty = spark.createDataFrame([], "v string")
+    assert ky.add_row_number(empty, [F.col("v")], "rn").isEmpty()
+    assert ky.frequency_index(empty, "v", "i").isEmpty()

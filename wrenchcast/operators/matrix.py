@@ -56,6 +56,8 @@ def first_row_per_key(df: DataFrame, keys: list[str], order_by: list[str] | None
     """
     order_by = list(order_by or [])
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.select(*keys).distinct()
     ordered = order_by + [c for c in rest if c not in order_by]
     packed = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(ordered)])
     best = df.groupBy(*keys).agg(F.min(packed).alias("_best"))
@@ -74,9 +76,10 @@ def label_days(interruptions: DataFrame, horizon_days: int = DEFAULT_HORIZON_DAY
     if horizon_days < 0:
         raise ValueError("horizon_days must be >= 0")
     last = 0 if include_today else 1
-    if horizon_days < last:
-        return interruptions.sparkSession.createDataFrame([], "asset_id string, day date").limit(0)
     e = F.col("event_day")
+    if horizon_days < last:
+        # Nothing can be labelled; keep the key types of the input.
+        return interruptions.select("asset_id", e.alias("day")).where(F.lit(False))
     days = F.sequence(F.date_sub(e, horizon_days), F.date_sub(e, last))
     return (interruptions.where(e.isNotNull() & F.col("asset_id").isNotNull())
             .select("asset_id", F.explode(days).alias("day"))
@@ -119,6 +122,8 @@ def band_join_left(matrix: DataFrame, interruptions: DataFrame,
     of a key that received no event are dropped, so each row without any
     event still appears exactly once.
     """
+    if events_per_task < 1:
+        raise ValueError("events_per_task must be >= 1")
     e = F.col("event_day")
     spread = (interruptions.where(e.isNotNull() & F.col("asset_id").isNotNull())
               .select("asset_id", e, F.explode(F.sequence(F.date_sub(e, horizon_days), e)).alias("day")))
