@@ -13,7 +13,7 @@ caller can stop the query once one has been seen.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,8 +24,8 @@ EXIT_WORD = "exit"
 
 
 def read_request_stream(spark: SparkSession, folder: str, fmt: str = "csv",
-                        max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(REQUESTS)
+                        max_files_per_trigger: int | None = None, schema=REQUESTS) -> DataFrame:
+    reader = spark.readStream.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
     if max_files_per_trigger:
@@ -34,16 +34,16 @@ def read_request_stream(spark: SparkSession, folder: str, fmt: str = "csv",
 
 
 def scored_stream(requests: DataFrame, sensor_daily: DataFrame | None, kpis: DataFrame | None,
-                  model: PipelineModel, daily: DataFrame | None = None) -> DataFrame:
+                  model: PipelineModel, daily: DataFrame | None = None, valid: Column | None = None) -> DataFrame:
     """The same plan as the batch job (K4), on a streaming frame.
 
     Pass ``daily``, the stored table of ``operators.matrix.daily_table``: the
     static side of a stream-static join is read again for every micro-batch.
     """
-    is_exit = (F.lower(F.col("day")) == EXIT_WORD) | (F.lower(F.col("asset_id")) == EXIT_WORD)
-    tagged = requests.withColumn("_exit", is_exit)
-    completed = (complete_requests_daily(tagged, daily) if daily is not None
-                 else complete_requests(tagged, sensor_daily, kpis))
+    is_exit = (F.lower(F.col("day")) == EXIT_WORD) | (F.lower(F.col("asset_id").cast("string")) == EXIT_WORD)
+    tagged = requests.withColumn("_exit", F.coalesce(is_exit, F.lit(False)))
+    completed = (complete_requests_daily(tagged, daily, valid) if daily is not None
+                 else complete_requests(tagged, sensor_daily, kpis, valid))
     completed = completed.withColumn(
         "status", F.when(F.col("_exit"), F.lit(STATUS_EXIT)).otherwise(F.col("status"))).drop("_exit")
     return score_requests(completed, model)
@@ -52,9 +52,15 @@ def scored_stream(requests: DataFrame, sensor_daily: DataFrame | None, kpis: Dat
 def start_scoring(spark: SparkSession, request_folder: str, sensor_daily: DataFrame | None,
                   kpis: DataFrame | None, model: PipelineModel, output_path: str, checkpoint_path: str,
                   available_now: bool = False, processing_time: str | None = None,
-                  fmt: str = "csv", daily: DataFrame | None = None) -> StreamingQuery:
-    """Start the scoring query; ``available_now`` processes what is there and stops."""
-    scored = scored_stream(read_request_stream(spark, request_folder, fmt), sensor_daily, kpis, model, daily)
+                  fmt: str = "csv", daily: DataFrame | None = None, valid: Column | None = None,
+                  schema=REQUESTS, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the scoring query; ``available_now`` processes what is there and stops.
+
+    ``valid`` replaces the default request-format check (day ``YYYY-MM-DD``,
+    asset ``XX-XXX``), ``schema`` the request schema of the source files.
+    """
+    requests = read_request_stream(spark, request_folder, fmt, max_files_per_trigger, schema)
+    scored = scored_stream(requests, sensor_daily, kpis, model, daily, valid)
     writer = (scored.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint_path))
     if available_now:
