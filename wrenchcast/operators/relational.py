@@ -197,25 +197,33 @@ def describe_stats(df: DataFrame, cols: Sequence[str], value_scale: int | None =
     """count, mean, stddev (sample), min, max per column as typed rows.
 
     One aggregation pass computes every statistic of every column; the wide
-    row is then unpivoted with ``stack``. With ``value_scale`` the sums are
-    exact decimals, so the numbers do not depend on task order.
+    row is then turned into one row per column (explode of an array of
+    structs). Without ``value_scale`` mean and stddev are Spark's
+    numerically stable ``avg`` / ``stddev_samp``. With ``value_scale`` (inputs
+    with that many decimals) the sums of values and squares are exact
+    decimals, so the numbers do not depend on task order, and mean and
+    stddev are rounded to 6 digits.
     """
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        sq = (F.col(c).cast(f"decimal(18,{value_scale})") * F.col(c).cast(f"decimal(18,{value_scale})")) \
-            if value_scale is not None else x * x
-        aggs += [F.count(c).alias(f"n{i}"),
-                 exact_sum(c, value_scale).alias(f"s{i}") if value_scale is not None else F.sum(x).alias(f"s{i}"),
-                 (F.sum(sq).cast("double")).alias(f"q{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        aggs += [F.count(c).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        if value_scale is None:
+            aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"sd{i}")]
+        else:
+            d = F.col(c).cast(f"decimal(18,{value_scale})")
+            aggs += [exact_sum(c, value_scale).alias(f"s{i}"), F.sum(d * d).cast("double").alias(f"q{i}")]
     wide = df.agg(*aggs)
     parts = []
     for i, c in enumerate(cols):
-        n, s, q = F.col(f"n{i}"), F.col(f"s{i}"), F.col(f"q{i}")
-        mean = F.round(s / n, 6)
-        var = (q - s * s / n) / (n - 1)
-        std = F.when(n > 1, F.round(F.sqrt(F.greatest(var, F.lit(0.0))), 6))
+        n = F.col(f"n{i}")
+        if value_scale is None:
+            mean, std = F.col(f"m{i}"), F.col(f"sd{i}")
+        else:
+            s, q = F.col(f"s{i}"), F.col(f"q{i}")
+            mean = F.round(s / n, 6)
+            var = (q - s * s / n) / (n - 1)
+            std = F.when(n > 1, F.round(F.sqrt(F.greatest(var, F.lit(0.0))), 6))
         parts.append(F.struct(F.lit(c).alias("column"), n.alias("count"), mean.alias("mean"),
                               std.alias("stddev"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max")))
     return wide.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
