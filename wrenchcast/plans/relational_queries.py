@@ -134,19 +134,28 @@ def replace_values(spark, sf_dir):
     return rel.replace_values(li, [3, 4, 5], [33, 44, None], ["l_linenumber"])
 
 
+def _sql(spark, sf_dir, template: str, *names: str):
+    """SQL text over driver tables; each ``{name}`` placeholder is bound to
+    the DataFrame of that table (no session-wide temp view is created)."""
+    return spark.sql(template, **{n: _t(spark, sf_dir, n) for n in names})
+
+
+def _as_tables(template: str, *names: str) -> str:
+    """The same SQL text for the oracle, reading the views of the same names."""
+    return template.format(**{n: n for n in names})
+
+
 def sql_join_group_order(spark, sf_dir):
-    for name in ("orders", "customer", "nation"):
-        _t(spark, sf_dir, name).createOrReplaceTempView(name)
-    return spark.sql(SQL_JOIN_GROUP_ORDER)
+    return _sql(spark, sf_dir, SQL_JOIN_GROUP_ORDER, "orders", "customer", "nation")
 
 
 SQL_JOIN_GROUP_ORDER = """
     SELECT n.n_name AS nation, c.c_mktsegment AS segment,
            CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
            count(*) AS n_orders
-    FROM orders o
-    JOIN customer c ON c.c_custkey = o.o_custkey
-    JOIN nation n ON n.n_nationkey = c.c_nationkey
+    FROM {orders} o
+    JOIN {customer} c ON c.c_custkey = o.o_custkey
+    JOIN {nation} n ON n.n_nationkey = c.c_nationkey
     WHERE n.n_regionkey = 1
     GROUP BY n.n_name, c.c_mktsegment
     ORDER BY total_price DESC"""
@@ -182,12 +191,11 @@ def cross_filter_join(spark, sf_dir):
 SQL_AVG_GROUP = """
     SELECT o_orderpriority, o_orderstatus,
            round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice), 6) AS avg_price
-    FROM orders GROUP BY o_orderpriority, o_orderstatus ORDER BY o_orderpriority, o_orderstatus"""
+    FROM {orders} GROUP BY o_orderpriority, o_orderstatus ORDER BY o_orderpriority, o_orderstatus"""
 
 
 def sql_avg_group(spark, sf_dir):
-    _t(spark, sf_dir, "orders").createOrReplaceTempView("orders")
-    return spark.sql(SQL_AVG_GROUP)
+    return _sql(spark, sf_dir, SQL_AVG_GROUP, "orders")
 
 
 def group_count(spark, sf_dir):
@@ -433,14 +441,14 @@ ORACLE = {
         coalesce(o_totalprice, 3.3) AS o_totalprice, o_orderdate, o_orderpriority FROM {NULLABLE} t""",
     "replace_values": """SELECT l_orderkey, CASE l_linenumber WHEN 3 THEN 33 WHEN 4 THEN 44 WHEN 5 THEN NULL
         ELSE l_linenumber END AS l_linenumber FROM lineitem""",
-    "sql_join_group_order": SQL_JOIN_GROUP_ORDER,
+    "sql_join_group_order": _as_tables(SQL_JOIN_GROUP_ORDER, "orders", "customer", "nation"),
     "join_null_keys": f"""SELECT a.o_orderkey, a.o_totalprice, b.o_orderkey AS r_orderkey, b.o_totalprice AS r_totalprice
         FROM {NULLABLE} a JOIN {NULLABLE} b ON a.o_orderkey = b.o_orderkey AND a.o_totalprice = b.o_totalprice""",
     "join_lookup": """SELECT l_orderkey, l_linenumber, p_name, p_brand
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "cross_join": "SELECT (SELECT count(*) FROM customer) * (SELECT count(*) FROM supplier) AS n_pairs",
     "cross_filter_join": """SELECT o_orderkey, c_name FROM orders, customer WHERE o_custkey = c_custkey""",
-    "sql_avg_group": SQL_AVG_GROUP,
+    "sql_avg_group": _as_tables(SQL_AVG_GROUP, "orders"),
     "group_count": f"SELECT o_orderstatus, count(*) AS count FROM {NULLABLE} t GROUP BY o_orderstatus",
     "group_max": f"""SELECT o_orderstatus, max(o_custkey) AS max_o_custkey, max(o_totalprice) AS max_o_totalprice
         FROM {NULLABLE} t GROUP BY o_orderstatus""",
