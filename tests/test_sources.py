@@ -162,3 +162,25 @@ def test_jdbc_on_embedded_derby(spark):
     assert "PushedFilters" in one._jdf.queryExecution().executedPlan().toString()
     inter = jdbc.read_interruptions(spark, url, DERBY, table="EVENTS").collect()
     assert [(r.asset_id, str(r.event_day)) for r in inter] == [("XY-001", "2024-01-05")]
+
+
+def test_management_stage_from_files_and_jdbc(spark, sensor_folder, tmp_path):
+    from wrenchcast.jobs import load_sources, run_management
+    url = "jdbc:derby:memory:wrenchcast_jobs;create=true"
+    kpis = spark.createDataFrame([("XY-SHM", "2015-06-01", 3.5, 2, 10), ("XY-SHM", "2015-06-02", 1.5, 1, 0),
+                                  ("XY-LOL", "2015-06-02", 2.0, 1, 5)],
+                                 "aircraftid string, timeid string, flighthours double, flightcycles int, "
+                                 "delayedminutes int").withColumn("timeid", F.col("timeid").cast("date"))
+    kpis.write.format("jdbc").options(url=url, dbtable="UTIL", createTableColumnTypes="aircraftid VARCHAR(16)",
+                                      **DERBY).mode("overwrite").save()
+    ev = spark.createDataFrame([("XY-SHM", "3453", "2015-06-08"), ("XY-LOL", "1111", "2015-06-03")],
+                               "aircraftregistration string, subsystem string, starttime string")
+    ev.write.format("jdbc").options(url=url, dbtable="INTERRUPTS", **DERBY,
+                                    createTableColumnTypes="aircraftregistration VARCHAR(16), subsystem VARCHAR(8), "
+                                                           "starttime VARCHAR(32)").mode("overwrite").save()
+    sources = load_sources(spark, sensor_folder, url, DERBY, url, DERBY, kpi_table="UTIL", event_table="INTERRUPTS")
+    matrix = run_management(sources, str(tmp_path / "matrix"))
+    got = {(r.asset_id, str(r.day)): (r.avg_sensor, r.label) for r in matrix.collect()}
+    # 2015-06-01 + 7 = 2015-06-08: labelled; 06-02 too; the other subsystem's event does not count.
+    assert got == {("XY-SHM", "2015-06-01"): (15.0, 1), ("XY-SHM", "2015-06-02"): (40.0, 1),
+                   ("XY-LOL", "2015-06-02"): (7.5, 0)}

@@ -19,6 +19,8 @@ from wrenchcast.ml.score import complete_requests_daily, score_requests
 from wrenchcast.ml.train import train_models
 from wrenchcast.operators.matrix import daily_table, matrix_from_daily
 from wrenchcast.sources.files import read_matrix
+from wrenchcast.sources.jdbc import INTERRUPTION_TABLE, KPI_TABLE, read_interruptions, read_kpis
+from wrenchcast.sources.readings import read_readings
 from wrenchcast.sources.sinks import write_matrix
 
 STAGES = ("all", "management", "analysis", "classifier")
@@ -31,6 +33,20 @@ class Sources:
     interruptions: DataFrame  # asset_id, event_day
 
 
+def load_sources(spark: SparkSession, sensor_folder: str, warehouse_url: str, warehouse_props: dict,
+                 events_url: str, events_props: dict, kpi_partitioning: dict | None = None,
+                 event_partitioning: dict | None = None, kpi_table: str = KPI_TABLE,
+                 event_table: str = INTERRUPTION_TABLE) -> Sources:
+    """The three inputs as the application has them: a folder of sensor CSV
+    files, a KPI table in the warehouse and an interruption table in the
+    operations database. ``*_partitioning`` are the parallel JDBC read options
+    (``partition_column``, ``lower_bound``, ``upper_bound``, ``num_partitions``)."""
+    return Sources(read_readings(spark, sensor_folder),
+                   read_kpis(spark, warehouse_url, warehouse_props, table=kpi_table, **(kpi_partitioning or {})),
+                   read_interruptions(spark, events_url, events_props, table=event_table,
+                                      **(event_partitioning or {})))
+
+
 def daily_path(matrix_path: str) -> str:
     return matrix_path.rstrip("/") + "_daily"
 
