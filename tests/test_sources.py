@@ -184,3 +184,35 @@ def test_management_stage_from_files_and_jdbc(spark, sensor_folder, tmp_path):
     # 2015-06-01 + 7 = 2015-06-08: labelled; 06-02 too; the other subsystem's event does not count.
     assert got == {("XY-SHM", "2015-06-01"): (15.0, 1), ("XY-SHM", "2015-06-02"): (40.0, 1),
                    ("XY-LOL", "2015-06-02"): (7.5, 0)}
+
+
+def test_sensor_corpus_shape_single_scan(spark, tmp_path):
+    """A folder shaped like the reference corpus (376 files, 5 to 49 readings
+    each, 20 aircraft, files crossing midnight) read in one scan; the daily
+    averages equal a plain-Python computation over the same files."""
+    import datetime as dt
+    import random
+    import time
+
+    from wrenchcast.operators.matrix import daily_average
+
+    rnd = random.Random(7)
+    folder = str(tmp_path / "corpus")
+    expected = {}
+    for i in range(376):
+        aircraft = f"XY-{chr(65 + i % 20)}{chr(65 + (i * 7) % 26)}Z"
+        start = dt.datetime(2015, 1, 1) + dt.timedelta(days=rnd.randrange(130), hours=rnd.randrange(24))
+        rows = []
+        for k in range(rnd.randint(5, 49)):
+            ts = start + dt.timedelta(minutes=10 * k)
+            v = round(rnd.uniform(2.0, 83.0), 2)
+            rows.append((ts.strftime("%Y-%m-%d %H:%M:%S.000"), f"{v}"))
+            expected.setdefault((aircraft, ts.date()), []).append(v)
+        _sensor_file(folder, f"{start:%d%m%y}-AAA-BBB-{i:04d}-{aircraft}.csv", rows)
+    t0 = time.perf_counter()
+    got = {(r.asset_id, r.day): r.avg_sensor
+           for r in daily_average(readings.read_readings(spark, folder), value_scale=2).collect()}
+    elapsed = time.perf_counter() - t0
+    assert set(got) == set(expected)
+    assert all(abs(got[k] - sum(v) / len(v)) < 1e-6 for k, v in expected.items())
+    print(f"corpus: {len(expected)} groups from 376 files in {elapsed:.2f} s")
