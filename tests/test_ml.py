@@ -204,3 +204,18 @@ def test_asset_feature_options(spark):
     assert res[0].params["max_bins"] == 4
     with pytest.raises(ValueError, match="continuous"):
         train_models(m, models=("DecisionTree",), depths=(3,), bins=(4,), folds=2)
+
+
+def test_score_until_exit_stops_on_exit_request(spark, tmp_path, trained):
+    from wrenchcast.operators.matrix import daily_table
+    sensor, kpis = _daily(spark)
+    daily = daily_table(sensor.select("asset_id", "day", F.col("avg_sensor").alias("value")), kpis)
+    inbox = str(tmp_path / "inbox")
+    reqs = _requests(spark).unionByName(
+        spark.createDataFrame([(99, "exit", "exit")], "request_id long, day string, asset_id string"))
+    reqs.coalesce(1).write.option("header", True).csv(inbox)
+    stopped = stream.score_until_exit(spark, inbox, daily, trained[0].model, str(tmp_path / "out"),
+                                      str(tmp_path / "ckpt"), processing_time="1 second", timeout_seconds=90)
+    assert stopped
+    out = {r.request_id: r.status for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert out[99] == "exit" and {k: v for k, v in out.items() if k != 99} == EXPECTED_STATUS

@@ -76,3 +76,41 @@ def exit_seen(spark: SparkSession, output_path: str) -> bool:
         return not spark.read.parquet(output_path).where(F.col("status") == STATUS_EXIT).isEmpty()
     except Exception:  # noqa: BLE001 - no output yet
         return False
+
+
+def score_until_exit(spark: SparkSession, request_folder: str, daily: DataFrame, model: PipelineModel,
+                     output_path: str, checkpoint_path: str, valid: Column | None = None,
+                     schema=REQUESTS, fmt: str = "csv", processing_time: str = "2 seconds",
+                     timeout_seconds: float | None = None) -> bool:
+    """Score arriving requests until one of them is ``exit`` (the reference's
+    prompt loop as a stream). Returns True when stopped by an exit request.
+
+    Each micro-batch is written to ``output_path/batch_id=<n>`` with overwrite,
+    so a batch replayed after a failure replaces its own output instead of
+    appending duplicates. The exit check reads the batch already being
+    written; nothing else is collected.
+    """
+    seen = {"exit": False}
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/batch_id={batch_id}")
+        written = spark.read.parquet(f"{output_path.rstrip('/')}/batch_id={batch_id}")
+        if not written.where(F.col("status") == STATUS_EXIT).isEmpty():
+            seen["exit"] = True
+
+    requests = read_request_stream(spark, request_folder, fmt, schema=schema)
+    scored = scored_stream(requests, None, None, model, daily, valid)
+    query = (scored.writeStream.foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint_path)
+             .trigger(processingTime=processing_time).start())
+    waited = 0.0
+    step = 0.5
+    try:
+        while query.isActive and not seen["exit"]:
+            query.awaitTermination(step)
+            waited += step
+            if timeout_seconds is not None and waited >= timeout_seconds:
+                break
+    finally:
+        query.stop()
+    return seen["exit"]
