@@ -27,9 +27,10 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Set the runtime SQL options. The checkpoint folder is resolved only by
+    the operators that checkpoint (``ensure_checkpoint_dir``)."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
