@@ -206,3 +206,15 @@ def test_keys_on_empty_input(spark):
     empty = spark.createDataFrame([], "v string")
     assert ky.add_row_number(empty, [F.col("v")], "rn").isEmpty()
     assert ky.frequency_index(empty, "v", "i").isEmpty()
+
+
+def test_lookup_with_repeated_key_fans_out_and_is_detected(spark):
+    flights = spark.createDataFrame([("Big", 10), ("SEA", 5)], "origin string, delay int")
+    airports = spark.createDataFrame([("Big", "A"), ("Big", "B"), ("Big", "C"), ("SEA", "Seattle")],
+                                     "IATA string, City string")
+    joined = rel.lookup_join(flights, airports, "origin", "IATA")
+    assert joined.count() == 4  # SQL semantics: the flight from 'Big' matches three airports
+    assert [tuple(r) for r in rel.duplicate_keys(airports, "IATA").collect()] == [("Big", 3)]
+    with pytest.raises(ValueError, match="Big"):
+        rel.check_unique_keys(airports, "IATA")
+    rel.check_unique_keys(flights, "origin")

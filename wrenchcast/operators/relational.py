@@ -160,6 +160,21 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     return fact.join(side, fact[fact_key] == side[dim_key], how)
 
 
+def duplicate_keys(dim: DataFrame, *keys: str) -> DataFrame:
+    """Keys that occur more than once in a lookup table, with their count.
+    A join against such a table repeats fact rows (SQL semantics); run this
+    to check a lookup before relying on one match per fact row."""
+    return dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def check_unique_keys(dim: DataFrame, *keys: str, show: int = 5) -> None:
+    """Raise ValueError when a lookup key repeats; an explicit action that
+    brings back at most ``show`` offending keys."""
+    dupes = duplicate_keys(dim, *keys).orderBy(F.desc("n"), *keys).limit(show).collect()
+    if dupes:
+        raise ValueError(f"lookup keys {list(keys)} repeat: " + ", ".join(str(tuple(r)) for r in dupes))
+
+
 def cross_product_count(left: DataFrame, right: DataFrame) -> DataFrame:
     """Row count of the cross product (C6) without forming any pair:
     count(left) x count(right) from one aggregate over the tagged union of
