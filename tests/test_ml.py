@@ -43,7 +43,7 @@ def test_models_beat_majority(trained):
     for t in trained:
         assert t.metrics["accuracy"] > 0.8  # majority class is 0.6
         assert t.metrics["weighted_recall"] == pytest.approx(t.metrics["accuracy"])
-        assert t.params == {"num_features": 7, "max_depth": 4, "max_bins": 32}
+        assert t.params == {"num_features": 7, "max_depth": 4, "max_bins": 32, "skipped_rows": 0}
 
 
 def test_same_seed_same_predictions(spark, trained):
@@ -219,3 +219,10 @@ def test_score_until_exit_stops_on_exit_request(spark, tmp_path, trained):
     assert stopped
     out = {r.request_id: r.status for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert out[99] == "exit" and {k: v for k, v in out.items() if k != 99} == EXPECTED_STATUS
+
+
+def test_rows_with_null_features_are_counted(spark):
+    m = _planted(spark, 200).withColumn("flighthours", F.when(F.col("flightcycles") == 0, None)
+                                        .otherwise(F.col("flighthours")))
+    res = train_models(m, models=("DecisionTree",), depths=(3,), bins=(32,), folds=2)
+    assert res[0].params["skipped_rows"] > 0

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wrenchcast.ml.evaluate import summary_metrics
-from wrenchcast.ml.features import category_sizes, feature_pipeline, feature_width
+from wrenchcast.ml.features import NUMERIC_FEATURES, category_sizes, feature_pipeline, feature_width
 from wrenchcast.operators.sampling import by_day_split, hash_folds, hash_split
 
 # Fixed values of the reference's tuning: depth 5/10/15 x bins 120/140/160,
@@ -89,6 +89,11 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
         raise ValueError(f"maxBins must be >= {needed} (values of the largest categorical feature); "
                          f"grid has {list(bins)}; for large fleets use asset_feature='continuous'")
     width = feature_width(features)
+    # Rows the assembler skips (a null feature), counted in one pass over the training split.
+    any_null = F.lit(False)
+    for c in NUMERIC_FEATURES:
+        any_null = any_null | F.col(c).isNull()
+    skipped = train.agg(F.sum(any_null.cast("int")).alias("n")).first()["n"] or 0
 
     key = F.concat_ws("|", F.col("asset_id").cast("string"), F.col("day").cast("string"))
     train_f = hash_folds(features.transform(train), key, folds, seed, "fold") \
@@ -106,7 +111,7 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
             best = cv.fit(train_f).bestModel
             metrics = summary_metrics(best.transform(test_f)).first().asDict()
             params = {"num_features": width, "max_depth": best.getOrDefault("maxDepth"),
-                      "max_bins": best.getOrDefault("maxBins")}
+                      "max_bins": best.getOrDefault("maxBins"), "skipped_rows": int(skipped)}
             results.append(TrainedModel(type(best).__name__, PipelineModel(features.stages + [best]),
                                         metrics, params))
     finally:
