@@ -216,3 +216,11 @@ def test_sensor_corpus_shape_single_scan(spark, tmp_path):
     assert set(got) == set(expected)
     assert all(abs(got[k] - sum(v) / len(v)) < 1e-6 for k, v in expected.items())
     print(f"corpus: {len(expected)} groups from 376 files in {elapsed:.2f} s")
+
+
+def test_append_table_adds_rows(spark, tmp_path):
+    path = str(tmp_path / "appended")
+    first = spark.createDataFrame([(1, "a")], "k int, v string")
+    sinks.append_table(first, path)
+    sinks.append_table(spark.createDataFrame([(2, "b")], "k int, v string"), path)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b")]

@@ -76,9 +76,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local_dir = tempfile.mkdtemp(prefix="wrenchcast-ckpt-")
     sc.setCheckpointDir(local_dir)
     return sc.getCheckpointDir()
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
