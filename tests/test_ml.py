@@ -226,3 +226,23 @@ def test_rows_with_null_features_are_counted(spark):
                                         .otherwise(F.col("flighthours")))
     res = train_models(m, models=("DecisionTree",), depths=(3,), bins=(32,), folds=2)
     assert res[0].params["skipped_rows"] > 0
+
+
+def test_daily_for_requests_prunes_partitions(spark, tmp_path):
+    from wrenchcast.sources.sinks import write_daily
+    from wrenchcast.operators.matrix import daily_table
+    from wrenchcast.ml.score import daily_for_requests
+    m = _planted(spark, 100)
+    readings = m.select("asset_id", "day", F.col("avg_sensor").alias("value"))
+    kpis = m.select("asset_id", "day", "flighthours", "flightcycles", "delayedminutes")
+    path = str(tmp_path / "daily")
+    write_daily(daily_table(readings, kpis), path)
+    stored = spark.read.parquet(path)
+    reqs = spark.createDataFrame([(1, "2024-01-03", "XY-AAA"), (2, "2024-01-05", "XY-BBB"), (3, "bad", "x")],
+                                 "request_id long, day string, asset_id string")
+    part = daily_for_requests(reqs, stored)
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "2024-01-03" in plan
+    assert {str(r.day) for r in part.select("day").distinct().collect()} == {"2024-01-03", "2024-01-04", "2024-01-05"}
+    empty = daily_for_requests(reqs.where("request_id = 3"), stored)
+    assert empty.isEmpty()

@@ -21,7 +21,7 @@ from wrenchcast.operators.matrix import daily_table, matrix_from_daily
 from wrenchcast.sources.files import read_matrix
 from wrenchcast.sources.jdbc import INTERRUPTION_TABLE, KPI_TABLE, read_interruptions, read_kpis
 from wrenchcast.sources.readings import read_readings
-from wrenchcast.sources.sinks import write_matrix
+from wrenchcast.sources.sinks import write_daily, write_matrix
 
 STAGES = ("all", "management", "analysis", "classifier")
 
@@ -57,8 +57,7 @@ def run_management(sources: Sources, matrix_path: str, horizon_days: int = 7,
     labelled matrix derived from the stored daily table: the raw readings
     are scanned once, and the written table cuts the lineage."""
     spark = sources.readings.sparkSession
-    daily_table(sources.readings, sources.kpis, value_scale) \
-        .write.mode("overwrite").parquet(daily_path(matrix_path))
+    write_daily(daily_table(sources.readings, sources.kpis, value_scale), daily_path(matrix_path))
     stored = spark.read.parquet(daily_path(matrix_path))
     matrix = matrix_from_daily(stored, sources.interruptions, horizon_days)
     write_matrix(matrix, matrix_path)

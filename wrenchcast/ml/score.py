@@ -56,6 +56,18 @@ def complete_requests_daily(requests: DataFrame, daily: DataFrame, valid: Column
     return _complete(requests, [d], valid, day_text_col)
 
 
+def daily_for_requests(requests: DataFrame, daily: DataFrame, day_text_col: str = "day") -> DataFrame:
+    """The part of a (day-partitioned) daily table a request frame can match:
+    days between the earliest and latest requested day. One small aggregate
+    over the requests gives the two bounds; the filter on the partition
+    column then prunes folders at the scan."""
+    bounds = requests.select(parse_date(F.col(day_text_col)).alias("d")) \
+        .agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
+    if bounds["lo"] is None:
+        return daily.where(F.lit(False))
+    return daily.where(F.col("day").between(F.lit(bounds["lo"]), F.lit(bounds["hi"])))
+
+
 def _complete(requests: DataFrame, sides: list[DataFrame], valid: Column | None, day_text_col: str) -> DataFrame:
     valid = valid if valid is not None else valid_request(day_text_col, "asset_id")
     reqs = requests.withColumn("_valid", valid)

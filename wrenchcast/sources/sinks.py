@@ -32,6 +32,14 @@ def write_matrix(matrix: DataFrame, path: str, mode: str = "overwrite") -> None:
      .write.mode(mode).partitionBy("month").parquet(path))
 
 
+def write_daily(daily: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store the daily table partitioned by ``day``: scoring a batch of
+    requests reads only the folders of the requested days. Range-partitioned
+    on (day, asset_id) so each task writes a run of consecutive days."""
+    (daily.repartitionByRange("day", "asset_id")
+     .write.mode(mode).partitionBy("day").parquet(path))
+
+
 def write_matrix_csv(matrix: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The reference's layout: CSV with header, ``aircraft id`` and text ``date``."""
     out = matrix.select(F.col("asset_id").alias("aircraft id"), F.col("day").cast("string").alias("date"),

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wrenchcast.ml.score import STATUS_EXIT, complete_requests, complete_requests_daily, score_requests
+from wrenchcast.ml.score import (STATUS_EXIT, complete_requests, complete_requests_daily, daily_for_requests,
+                                 score_requests)
 from wrenchcast.schemas import REQUESTS
 
 EXIT_WORD = "exit"
@@ -85,22 +86,23 @@ def score_until_exit(spark: SparkSession, request_folder: str, daily: DataFrame,
     """Score arriving requests until one of them is ``exit`` (the reference's
     prompt loop as a stream). Returns True when stopped by an exit request.
 
-    Each micro-batch is written to ``output_path/batch_id=<n>`` with overwrite,
-    so a batch replayed after a failure replaces its own output instead of
-    appending duplicates. The exit check reads the batch already being
-    written; nothing else is collected.
+    Each micro-batch is scored against the days it asks about only (the
+    daily table is partitioned by day, so the other days' folders are not
+    read), then written to ``output_path/batch_id=<n>`` with overwrite, so a
+    batch replayed after a failure replaces its own output instead of
+    appending duplicates. Per batch only two day bounds reach the driver.
     """
     seen = {"exit": False}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/batch_id={batch_id}")
-        written = spark.read.parquet(f"{output_path.rstrip('/')}/batch_id={batch_id}")
-        if not written.where(F.col("status") == STATUS_EXIT).isEmpty():
+        target = f"{output_path.rstrip('/')}/batch_id={batch_id}"
+        scored = scored_stream(batch, None, None, model, daily_for_requests(batch, daily), valid)
+        scored.write.mode("overwrite").parquet(target)
+        if not spark.read.parquet(target).where(F.col("status") == STATUS_EXIT).isEmpty():
             seen["exit"] = True
 
     requests = read_request_stream(spark, request_folder, fmt, schema=schema)
-    scored = scored_stream(requests, None, None, model, daily, valid)
-    query = (scored.writeStream.foreachBatch(write_batch)
+    query = (requests.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_path)
              .trigger(processingTime=processing_time).start())
     waited = 0.0
