@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from wrenchcast.ml.registry import RunRegistry
-from wrenchcast.ml.score import complete_requests_daily, score_requests
+from wrenchcast.ml.score import complete_requests_daily, daily_for_requests, score_requests
 from wrenchcast.ml.train import train_models
 from wrenchcast.operators.matrix import daily_table, matrix_from_daily
 from wrenchcast.sources.files import read_matrix
@@ -79,7 +79,7 @@ def run_classifier(spark: SparkSession, requests: DataFrame, matrix_path: str, r
                    experiment: str, choice: str | None = None, idx: int = 0) -> DataFrame:
     """Score requests against the stored daily table with the chosen saved pipeline."""
     model = RunRegistry(spark, registry_root).load_best_model(experiment, choice, idx)
-    daily = spark.read.parquet(daily_path(matrix_path))
+    daily = daily_for_requests(requests, spark.read.parquet(daily_path(matrix_path)))
     return score_requests(complete_requests_daily(requests, daily), model)
 
 
