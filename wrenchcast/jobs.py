@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from wrenchcast.ml.registry import RunRegistry
 from wrenchcast.ml.score import complete_requests_daily, daily_for_requests, score_requests
@@ -76,11 +76,13 @@ def run_analysis(spark: SparkSession, matrix_path: str, registry_root: str, expe
 
 
 def run_classifier(spark: SparkSession, requests: DataFrame, matrix_path: str, registry_root: str,
-                   experiment: str, choice: str | None = None, idx: int = 0) -> DataFrame:
-    """Score requests against the stored daily table with the chosen saved pipeline."""
+                   experiment: str, choice: str | None = None, idx: int = 0,
+                   valid: Column | None = None) -> DataFrame:
+    """Score requests against the stored daily table with the chosen saved
+    pipeline. ``valid`` replaces the default request-format check."""
     model = RunRegistry(spark, registry_root).load_best_model(experiment, choice, idx)
     daily = daily_for_requests(requests, spark.read.parquet(daily_path(matrix_path)))
-    return score_requests(complete_requests_daily(requests, daily), model)
+    return score_requests(complete_requests_daily(requests, daily, valid), model)
 
 
 def run_stages(spark: SparkSession, stage: str, sources: Sources, matrix_path: str, registry_root: str,
