@@ -269,3 +269,14 @@ def test_all_stages_on_driver_tables(spark, tmp_path):
     statuses = {r.status for r in scored.select("status").distinct().collect()}
     assert "ok" in statuses and statuses <= {"ok", "invalid", "no_sensor", "no_kpi", "incomplete"}
     assert scored.where("status = 'ok' AND prediction IS NULL").isEmpty()
+
+
+def test_split_methods(spark):
+    from wrenchcast.ml.train import split_matrix
+    from wrenchcast.operators.sampling import bernoulli_sample
+    m = _planted(spark, 300)
+    for method in ("hash", "random"):
+        train, test = split_matrix(m, method=method)
+        assert train.count() + test.count() == 300
+        assert train.join(test, ["asset_id", "day"]).isEmpty()
+    assert 0 < bernoulli_sample(m, 0.4, seed=666).count() < 300

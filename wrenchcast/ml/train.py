@@ -55,8 +55,15 @@ def _estimators(seed: int, names):
 
 
 def split_matrix(matrix: DataFrame, seed: int = DEFAULT_SEED, test_fraction: float = DEFAULT_TEST_FRACTION,
-                 first_test_day=None) -> tuple[DataFrame, DataFrame]:
-    """Train / test rows. By key hash by default; by time when ``first_test_day`` is given."""
+                 first_test_day=None, method: str = "hash") -> tuple[DataFrame, DataFrame]:
+    """Train / test rows. By key hash by default; by time when ``first_test_day``
+    is given; ``method='random'`` is the reference's ``randomSplit``, whose rows
+    change with the partitioning of the matrix."""
+    if method == "random":
+        train, test = matrix.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
+        return train, test
+    if method != "hash":
+        raise ValueError("method must be 'hash' or 'random'")
     if first_test_day is not None:
         train, test = by_day_split(matrix, "day", first_test_day)
         return train, test

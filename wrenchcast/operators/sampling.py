@@ -30,6 +30,13 @@ def hash_sample(df: DataFrame, key: Column | str, fraction: float, seed: int = 0
     return df.where(seeded_bucket(key, seed) < F.lit(int(round(fraction * RESOLUTION))))
 
 
+def bernoulli_sample(df: DataFrame, fraction: float, seed: int | None = None,
+                     with_replacement: bool = False) -> DataFrame:
+    """Spark's per-partition sample (H1 as in the reference). The chosen rows
+    depend on the partitioning; ``hash_sample`` is the reproducible form."""
+    return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
+
+
 def hash_split_column(df: DataFrame, key: Column | str, weights: Sequence[float] = (0.8, 0.2),
                       names: Sequence[str] = ("train", "test"), seed: int = 0,
                       name: str = "split") -> DataFrame:
