@@ -76,7 +76,7 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
                  bins=DEFAULT_BINS, folds: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED,
                  test_fraction: float = DEFAULT_TEST_FRACTION, date_feature: str = "calendar",
                  parallelism: int = 4, first_test_day=None,
-                 asset_feature: str = "category") -> list[TrainedModel]:
+                 asset_feature: str = "category", split_method: str = "hash") -> list[TrainedModel]:
     """Fit every model class over the grid with k-fold CV; evaluate the best
     of each on the held-out rows.
 
@@ -85,7 +85,7 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
     Grid points below that are left out up front instead of failing inside a
     fit; if none is left a ValueError names the needed value.
     """
-    train, test = split_matrix(matrix, seed, test_fraction, first_test_day)
+    train, test = split_matrix(matrix, seed, test_fraction, first_test_day, split_method)
     features = feature_pipeline(date_feature, asset_feature=asset_feature).fit(train)
     sizes = category_sizes(features)
     if asset_feature != "category":
