@@ -280,3 +280,9 @@ def test_split_methods(spark):
         assert train.count() + test.count() == 300
         assert train.join(test, ["asset_id", "day"]).isEmpty()
     assert 0 < bernoulli_sample(m, 0.4, seed=666).count() < 300
+
+
+def test_score_until_exit_after_restart_returns_at_once(spark, tmp_path):
+    out = str(tmp_path / "out")
+    spark.createDataFrame([(99, "exit")], "request_id long, status string").write.parquet(out + "/batch_id=0")
+    assert stream.score_until_exit(spark, str(tmp_path / "inbox"), None, None, out, str(tmp_path / "ckpt"))

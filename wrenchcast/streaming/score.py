@@ -92,6 +92,9 @@ def score_until_exit(spark: SparkSession, request_folder: str, daily: DataFrame,
     batch replayed after a failure replaces its own output instead of
     appending duplicates. Per batch only two day bounds reach the driver.
     """
+    if exit_seen(spark, output_path):
+        # A restarted driver: the exit request was already processed and committed.
+        return True
     seen = {"exit": False}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
