@@ -35,6 +35,17 @@ def feature_matrix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                            value_scale=VALUE_SCALE)
 
 
+def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table request scoring joins with (K3): sensor average and
+    KPIs of every (asset, day) with either, one scan of the event log."""
+    ev = _events(spark, sf_dir)
+    et = F.col("event_type")
+    return mx.daily_table_from_log(
+        ev, asset=F.col("user_id"), day=F.to_date("ts"), value=F.col("value"),
+        is_reading=et != tb.SENSOR_EXCLUDED_TYPE, is_kpi=et.isin(*tb.KPI_TYPES),
+        kpi_aggs=tb.kpi_aggregates(), value_scale=VALUE_SCALE)
+
+
 def daily_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mx.daily_average(tb.readings(_events(spark, sf_dir)), VALUE_SCALE)
 
@@ -71,6 +82,7 @@ def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "feature_matrix": feature_matrix,
     "feature_matrix_sources": feature_matrix_sources,
+    "daily_table": daily_table,
     "daily_avg": daily_avg,
     "join_inner_multikey": join_inner_multikey,
     "join_band_left": join_band_left,
@@ -89,6 +101,11 @@ _FEATURE_MATRIX_SQL = f"""
 ORACLE = {
     "feature_matrix": _FEATURE_MATRIX_SQL,
     "feature_matrix_sources": _FEATURE_MATRIX_SQL,
+    "daily_table": f"""
+        SELECT coalesce(s.asset_id, k.asset_id) AS asset_id, coalesce(s.day, k.day) AS day, s.avg_sensor,
+               k.flighthours, k.flightcycles, k.delayedminutes,
+               s.asset_id IS NOT NULL AS has_sensor, k.asset_id IS NOT NULL AS has_kpi
+        FROM {SENSOR_SQL} s FULL OUTER JOIN {KPIS_SQL} k ON s.asset_id = k.asset_id AND s.day = k.day""",
     "daily_avg": f"SELECT * FROM {SENSOR_SQL} s",
     "join_inner_multikey": f"""
         SELECT s.asset_id, s.day, s.avg_sensor, k.flighthours, k.flightcycles, k.delayedminutes
