@@ -229,3 +229,14 @@ def test_empty_inputs_keep_schema(spark):
 def test_dedup_when_key_is_every_column(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
     assert sorted(map(tuple, mx.first_row_per_key(df, ["k", "v"]).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_band_join_salted_equals_default_on_driver_tables(spark):
+    from wrenchcast.plans import tables as tb
+    from .conftest import SF_SMALL
+    ev = tb.table(spark, SF_SMALL, "events")
+    sensor = mx.daily_average(tb.readings(ev), tb.VALUE_SCALE)
+    inter = tb.interruptions(ev)
+    default = sorted(map(tuple, mx.band_join_left(sensor, inter).collect()), key=str)
+    salted = sorted(map(tuple, mx.band_join_left(sensor, inter, events_per_task=1).collect()), key=str)
+    assert salted == default and len(default) > 0
