@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wrenchcast.operators import matrix as mx
 from wrenchcast.plans import tables as tb
-from wrenchcast.plans.tables import (INTERRUPTIONS_SQL, KPIS_SQL, READINGS_SQL,
+from wrenchcast.plans.tables import (INTERRUPTIONS_SQL, KPIS_SQL,
                                      SENSOR_SQL, VALUE_SCALE)
 
 
