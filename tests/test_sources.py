@@ -224,3 +224,12 @@ def test_append_table_adds_rows(spark, tmp_path):
     sinks.append_table(first, path)
     sinks.append_table(spark.createDataFrame([(2, "b")], "k int, v string"), path)
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_sensor_folder_recursive(spark, tmp_path):
+    root = str(tmp_path / "nested")
+    _sensor_file(os.path.join(root, "2015-06-01"), "010615-RNS-PAE-9797-XY-SHM.csv", [("2015-06-01 10:00:00.000", "1.0")])
+    _sensor_file(os.path.join(root, "2015-06-02"), "020615-RNS-PAE-9798-XY-SHM.csv", [("2015-06-02 10:00:00.000", "3.0")])
+    assert readings.read_readings(spark, root).isEmpty()
+    got = sorted((str(r.day), r.value) for r in readings.read_readings(spark, root, recursive=True).collect())
+    assert got == [("2015-06-01", 1.0), ("2015-06-02", 3.0)]

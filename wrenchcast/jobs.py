@@ -36,12 +36,12 @@ class Sources:
 def load_sources(spark: SparkSession, sensor_folder: str, warehouse_url: str, warehouse_props: dict,
                  events_url: str, events_props: dict, kpi_partitioning: dict | None = None,
                  event_partitioning: dict | None = None, kpi_table: str = KPI_TABLE,
-                 event_table: str = INTERRUPTION_TABLE) -> Sources:
+                 event_table: str = INTERRUPTION_TABLE, recursive: bool = False) -> Sources:
     """The three inputs as the application has them: a folder of sensor CSV
     files, a KPI table in the warehouse and an interruption table in the
     operations database. ``*_partitioning`` are the parallel JDBC read options
     (``partition_column``, ``lower_bound``, ``upper_bound``, ``num_partitions``)."""
-    return Sources(read_readings(spark, sensor_folder),
+    return Sources(read_readings(spark, sensor_folder, recursive=recursive),
                    read_kpis(spark, warehouse_url, warehouse_props, table=kpi_table, **(kpi_partitioning or {})),
                    read_interruptions(spark, events_url, events_props, table=event_table,
                                       **(event_partitioning or {})))

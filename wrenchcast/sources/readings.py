@@ -21,18 +21,21 @@ SENSOR_SEPARATOR = ";"
 SENSOR_GLOB = "*.csv"
 
 
-def read_raw_readings(spark: SparkSession, folder: str, asset_id: str | None = None) -> DataFrame:
+def read_raw_readings(spark: SparkSession, folder: str, asset_id: str | None = None,
+                      recursive: bool = False) -> DataFrame:
     """Rows of every sensor CSV in ``folder`` with the file name attached.
 
     ``asset_id`` restricts the scan to that asset's files by name (A2) so the
     other files are never opened. A missing or empty folder gives an empty
-    frame with the full schema (A3), never ``None``.
+    frame with the full schema (A3), never ``None``. ``recursive`` also reads
+    sub-folders (for example one per day): millions of files are better kept
+    in many folders, which Spark lists in parallel, than in one.
     """
     glob = f"*-{asset_id}.csv" if asset_id else SENSOR_GLOB
     reader = (spark.read.schema(READING_CSV)
               .option("header", True).option("sep", SENSOR_SEPARATOR)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-              .option("pathGlobFilter", glob).option("recursiveFileLookup", False))
+              .option("pathGlobFilter", glob).option("recursiveFileLookup", recursive))
     try:
         raw = reader.csv(folder)
     except AnalysisException as exc:
@@ -55,16 +58,17 @@ def normalise_readings(raw: DataFrame) -> DataFrame:
                       F.col("value"))
 
 
-def read_readings(spark: SparkSession, folder: str, asset_id: str | None = None) -> DataFrame:
+def read_readings(spark: SparkSession, folder: str, asset_id: str | None = None,
+                  recursive: bool = False) -> DataFrame:
     """Readings of a sensor folder; rows whose value did not parse are dropped
     here and can be counted with ``bad_reading_count``."""
-    raw = read_raw_readings(spark, folder, asset_id)
+    raw = read_raw_readings(spark, folder, asset_id, recursive)
     good = raw.where(F.col("value").isNotNull() & F.col("_corrupt_record").isNull())
     return normalise_readings(good).select([F.col(f.name).cast(f.dataType) for f in READINGS.fields])
 
 
-def bad_reading_count(spark: SparkSession, folder: str) -> DataFrame:
+def bad_reading_count(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """Rows whose value is not a number: one row ``bad_rows``, counted by executors."""
-    raw = read_raw_readings(spark, folder)
+    raw = read_raw_readings(spark, folder, recursive=recursive)
     bad = F.col("_corrupt_record").isNotNull() | F.col("value").isNull()
     return raw.agg(F.sum(bad.cast("int")).alias("bad_rows"))
