@@ -18,16 +18,21 @@ from wrenchcast.functions.scalar import hash_bucket
 RESOLUTION = 10_000
 
 
-def seeded_bucket(key: Column | str, seed: int, buckets: int = RESOLUTION) -> Column:
+def seeded_bucket(key: Column | str, seed: int, buckets: int = RESOLUTION, method: str = "xxhash64") -> Column:
     k = F.col(key) if isinstance(key, str) else key
-    return hash_bucket(F.concat(F.lit(f"{seed}:"), k.cast("string")), buckets)
+    if method == "xxhash64":
+        return F.pmod(F.xxhash64(F.lit(seed), k), F.lit(buckets))
+    if method == "md5":
+        return hash_bucket(F.concat(F.lit(f"{seed}:"), k.cast("string")), buckets)
+    raise ValueError("method must be 'xxhash64' or 'md5'")
 
 
-def hash_sample(df: DataFrame, key: Column | str, fraction: float, seed: int = 0) -> DataFrame:
+def hash_sample(df: DataFrame, key: Column | str, fraction: float, seed: int = 0,
+                method: str = "xxhash64") -> DataFrame:
     """Bernoulli-like sample without replacement, reproducible per key (H1)."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
-    return df.where(seeded_bucket(key, seed) < F.lit(int(round(fraction * RESOLUTION))))
+    return df.where(seeded_bucket(key, seed, method=method) < F.lit(int(round(fraction * RESOLUTION))))
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int | None = None,
@@ -39,12 +44,12 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int | None = None,
 
 def hash_split_column(df: DataFrame, key: Column | str, weights: Sequence[float] = (0.8, 0.2),
                       names: Sequence[str] = ("train", "test"), seed: int = 0,
-                      name: str = "split") -> DataFrame:
+                      name: str = "split", method: str = "xxhash64") -> DataFrame:
     """Label every row with its split (H2); no row is dropped."""
     if len(weights) != len(names):
         raise ValueError("one name per weight")
     total = float(sum(weights))
-    bucket = seeded_bucket(key, seed)
+    bucket = seeded_bucket(key, seed, method=method)
     expr, acc = None, 0.0
     for w, n in zip(weights[:-1], names[:-1]):
         acc += w / total
@@ -55,16 +60,17 @@ def hash_split_column(df: DataFrame, key: Column | str, weights: Sequence[float]
 
 
 def hash_split(df: DataFrame, key: Column | str, weights: Sequence[float] = (0.8, 0.2),
-               seed: int = 0) -> list[DataFrame]:
+               seed: int = 0, method: str = "xxhash64") -> list[DataFrame]:
     """``randomSplit`` that depends only on the key: disjoint, complete."""
     names = [f"s{i}" for i in range(len(weights))]
-    tagged = hash_split_column(df, key, weights, names, seed, "_split")
+    tagged = hash_split_column(df, key, weights, names, seed, "_split", method)
     return [tagged.where(F.col("_split") == n).drop("_split") for n in names]
 
 
-def hash_folds(df: DataFrame, key: Column | str, k: int = 3, seed: int = 0, name: str = "fold") -> DataFrame:
+def hash_folds(df: DataFrame, key: Column | str, k: int = 3, seed: int = 0, name: str = "fold",
+               method: str = "xxhash64") -> DataFrame:
     """Fold number in [0, k) per row for k-fold cross validation (I8 ``foldCol``)."""
-    return df.withColumn(name, F.pmod(seeded_bucket(key, seed, 1 << 30), F.lit(k)).cast("int"))
+    return df.withColumn(name, F.pmod(seeded_bucket(key, seed, 1 << 30, method), F.lit(k)).cast("int"))
 
 
 def by_day_split(df: DataFrame, day_col: str, first_test_day) -> list[DataFrame]:

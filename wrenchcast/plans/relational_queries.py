@@ -307,17 +307,17 @@ def decode_prediction(spark, sf_dir):
 
 # ----------------------------------------------------------------- sampling
 def hash_sample(spark, sf_dir):
-    return smp.hash_sample(_t(spark, sf_dir, "orders"), "o_orderkey", 0.4, seed=666)
+    return smp.hash_sample(_t(spark, sf_dir, "orders"), "o_orderkey", 0.4, seed=666, method="md5")
 
 
 def hash_split(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id")
-    return smp.hash_split_column(ev, "event_id", (0.8, 0.2), ("train", "test"), seed=69)
+    return smp.hash_split_column(ev, "event_id", (0.8, 0.2), ("train", "test"), seed=69, method="md5")
 
 
 def hash_folds(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id")
-    return smp.hash_folds(ev, "event_id", k=3, seed=69)
+    return smp.hash_folds(ev, "event_id", k=3, seed=69, method="md5")
 
 
 # ----------------------------------------------------------------- row transforms
