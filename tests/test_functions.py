@@ -58,3 +58,11 @@ def test_exact_sum_is_order_independent(spark):
     b = spark.createDataFrame([(round(v, 2),) for v in reversed(vals)], "v double").repartition(3)
     assert a.agg(sc.exact_sum("v", 2)).first()[0] == b.agg(sc.exact_sum("v", 2)).first()[0]
     assert a.select(sc.hash_bucket("v", 10).alias("b")).where("b < 0 OR b >= 10").count() == 0
+
+
+def test_fast_day_parse_equals_pattern_parse(spark):
+    vals = ["2024-01-05", "2024-02-30", "2024-13-01", "+024-01-05", " 024-01-05", "0000-01-01", "2024-1-05",
+            "20X5-AA-01", "2024-01-05 ", "9999-12-31", "2024-02-29", "2023-02-29", None]
+    df = spark.createDataFrame([(v,) for v in vals], "d string")
+    rows = df.select(sc.parse_date("d").cast("string").alias("a"), sc.parse_iso_day("d").cast("string").alias("b")).collect()
+    assert all(r.a == r.b for r in rows)

@@ -35,6 +35,16 @@ def parse_date(text, fmt: str = "yyyy-MM-dd") -> Column:
     return F.try_to_date(_col(text), fmt)
 
 
+def parse_iso_day(text) -> Column:
+    """``yyyy-MM-dd`` text to DATE, null when malformed; same result as
+    ``parse_date(text)`` for that pattern. Once the text has the digit shape
+    (a cheap regex) the plain cast to DATE does the parse (it rejects
+    impossible dates such as 2024-02-30 too); it is several times cheaper per
+    row than a pattern-based parse, which matters on raw readings."""
+    t = _col(text)
+    return F.when(t.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), t.try_cast("date"))
+
+
 def asset_from_file_name(name) -> Column:
     """Aircraft id from a sensor file name, e.g. ``...-XY-SHM.csv`` -> ``XY-SHM``."""
     name = _col(name)

@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wrenchcast.functions.scalar import decode_prediction, parse_date, valid_request
+from wrenchcast.functions.scalar import decode_prediction, parse_iso_day, valid_request
 from wrenchcast.ml.features import NUMERIC_FEATURES, with_invalid_kept
 from wrenchcast.operators.matrix import KEYS
 
@@ -61,7 +61,7 @@ def daily_for_requests(requests: DataFrame, daily: DataFrame, day_text_col: str
     days between the earliest and latest requested day. One small aggregate
     over the requests gives the two bounds; the filter on the partition
     column then prunes folders at the scan."""
-    bounds = requests.select(parse_date(F.col(day_text_col)).alias("d")) \
+    bounds = requests.select(parse_iso_day(F.col(day_text_col)).alias("d")) \
         .agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
     if bounds["lo"] is None:
         return daily.where(F.lit(False))
@@ -74,7 +74,7 @@ def _complete(requests: DataFrame, sides: list[DataFrame], valid: Column | None,
     if day_text_col == "day":
         reqs = reqs.withColumnRenamed("day", "day_text")
         day_text_col = "day_text"
-    joined = reqs.withColumn("day", F.when(F.col("_valid"), parse_date(F.col(day_text_col))))
+    joined = reqs.withColumn("day", F.when(F.col("_valid"), parse_iso_day(F.col(day_text_col))))
     for side in sides:
         joined = joined.join(side, KEYS, "left")
     status = (F.when(~F.col("_valid"), F.lit(STATUS_INVALID))

@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wrenchcast.functions.scalar import asset_from_file_name, day_text, parse_date
+from wrenchcast.functions.scalar import asset_from_file_name, day_text, parse_iso_day
 from wrenchcast.schemas import READING_CSV, READINGS
 
 # Fixed values of the sensor files: ';'-separated with a header row.
@@ -54,7 +54,7 @@ def normalise_readings(raw: DataFrame) -> DataFrame:
     another date.
     """
     return raw.select(asset_from_file_name("file_name").alias("asset_id"),
-                      parse_date(day_text("date")).alias("day"),
+                      parse_iso_day(day_text("date")).alias("day"),
                       F.col("value"))
 
 
