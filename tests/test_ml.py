@@ -286,3 +286,18 @@ def test_score_until_exit_after_restart_returns_at_once(spark, tmp_path):
     out = str(tmp_path / "out")
     spark.createDataFrame([(99, "exit")], "request_id long, status string").write.parquet(out + "/batch_id=0")
     assert stream.score_until_exit(spark, str(tmp_path / "inbox"), None, None, out, str(tmp_path / "ckpt"))
+
+
+def test_streaming_in_several_micro_batches(spark, tmp_path, trained):
+    sensor, kpis = _daily(spark)
+    inbox = str(tmp_path / "inbox")
+    reqs = _requests(spark)
+    for i, part in enumerate([(1, 2), (3, 4), (5, 6)]):
+        reqs.where(F.col("request_id").isin(*part)).coalesce(1).write.option("header", True).csv(f"{inbox}/f{i}")
+    # one folder per file: read all sub-folders through a glob
+    q = stream.start_scoring(spark, f"{inbox}/*", sensor, kpis, trained[0].model, str(tmp_path / "out"),
+                             str(tmp_path / "ckpt"), available_now=True, max_files_per_trigger=1)
+    q.awaitTermination(120)
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+    streamed = {r.request_id: r.status for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert streamed == EXPECTED_STATUS
