@@ -233,3 +233,15 @@ def test_sensor_folder_recursive(spark, tmp_path):
     assert readings.read_readings(spark, root).isEmpty()
     got = sorted((str(r.day), r.value) for r in readings.read_readings(spark, root, recursive=True).collect())
     assert got == [("2015-06-01", 1.0), ("2015-06-02", 3.0)]
+
+
+def test_matrix_reload_prunes_months(spark, tmp_path):
+    m = spark.createDataFrame([("A", f"2015-{mo:02d}-10", 1.0, 1.0, 1, 0, 0) for mo in range(1, 7)],
+                              "asset_id string, day string, avg_sensor double, flighthours double, "
+                              "flightcycles int, delayedminutes int, label int").withColumn("day", F.col("day").cast("date"))
+    pq = str(tmp_path / "matrix")
+    sinks.write_matrix(m, pq)
+    part = files.read_matrix(spark, pq, days=("2015-02-01", "2015-03-31"))
+    assert sorted(str(r.day) for r in part.collect()) == ["2015-02-10", "2015-03-10"]
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan

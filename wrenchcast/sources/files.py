@@ -44,16 +44,24 @@ def rows_to_frame(spark: SparkSession, rows: Iterable, schema: T.StructType | st
     return spark.createDataFrame(rows, schema=list(schema) if isinstance(schema, tuple) else schema)
 
 
-def read_matrix(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_matrix(spark: SparkSession, path: str, fmt: str = "parquet", days: tuple | None = None) -> DataFrame:
     """Reload the stored feature matrix with its types.
 
-    Parquet keeps types and is partitioned by month, so a date filter prunes
-    folders. The reference's CSV layout (``aircraft id``, text ``date``) is
-    read with a declared schema and renamed.
+    Parquet keeps types and is partitioned by month. ``days=(first, last)``
+    keeps those days and also filters the ``month`` partition column, so only
+    the matching month folders are listed and read (Spark cannot derive a
+    month filter from a day filter by itself). The reference's CSV layout
+    (``aircraft id``, text ``date``) is read with a declared schema and renamed.
     """
     if fmt == "parquet":
         df = spark.read.parquet(path)
+        if days is not None:
+            first, last = (F.lit(d).cast("date") for d in days)
+            df = df.where(F.col("month").between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM"))
+                          & F.col("day").between(first, last))
         return df.select(*[F.col(f.name).cast(f.dataType) for f in MATRIX.fields])
     df = spark.read.schema(MATRIX_CSV).option("header", True).csv(path)
-    df = df.withColumnsRenamed({"aircraft id": "asset_id", "date": "day"})
-    return cast_matrix(df)
+    df = cast_matrix(df.withColumnsRenamed({"aircraft id": "asset_id", "date": "day"}))
+    if days is not None:
+        df = df.where(F.col("day").between(*(F.lit(d).cast("date") for d in days)))
+    return df
