@@ -24,7 +24,7 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite", num_files: int
 
 def write_matrix(matrix: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store the matrix as Parquet partitioned by month of ``day``: a reload
-    with a day filter reads only the matching folders. A range shuffle on
+    with ``read_matrix(days=...)`` reads only the matching month folders. A range shuffle on
     (day, asset_id) gives each task a run of consecutive days, so a folder
     gets few files and a busy month is still written by several tasks."""
     month = F.date_format("day", "yyyy-MM")
