@@ -99,8 +99,12 @@ def score_until_exit(spark: SparkSession, request_folder: str, daily: DataFrame,
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         target = f"{output_path.rstrip('/')}/batch_id={batch_id}"
-        scored = scored_stream(batch, None, None, model, daily_for_requests(batch, daily), valid)
-        scored.write.mode("overwrite").parquet(target)
+        batch.persist()  # read by the day bounds and by the scoring below
+        try:
+            scored = scored_stream(batch, None, None, model, daily_for_requests(batch, daily), valid)
+            scored.write.mode("overwrite").parquet(target)
+        finally:
+            batch.unpersist()
         if not spark.read.parquet(target).where(F.col("status") == STATUS_EXIT).isEmpty():
             seen["exit"] = True
 
