@@ -301,3 +301,16 @@ def test_streaming_in_several_micro_batches(spark, tmp_path, trained):
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
     streamed = {r.request_id: r.status for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert streamed == EXPECTED_STATUS
+
+
+def test_indexers_fitted_on_training_rows_only(spark):
+    late = spark.createDataFrame([("XY-NEW", D0 + dt.timedelta(days=150 + i), 50.0, 1.0, 1, 0, 0) for i in range(5)],
+                                 "asset_id string, day date, avg_sensor double, flighthours double, "
+                                 "flightcycles int, delayedminutes int, label int")
+    m = _planted(spark, 500).unionByName(late)
+    res = train_models(m, models=("DecisionTree",), depths=(3,), bins=(32,), folds=2,
+                       first_test_day=D0 + dt.timedelta(days=90))
+    indexer = [s for s in res[0].model.stages if hasattr(s, "labelsArray")][0]
+    assert "XY-NEW" not in indexer.labelsArray[0] and len(indexer.labelsArray[0]) == 5
+    scored = res[0].model.transform(late).select("prediction").collect()
+    assert len(scored) == 5  # the unseen asset is scored through the extra index
