@@ -41,7 +41,8 @@ def daily_average(readings: DataFrame, value_scale: int | None = None) -> DataFr
     """Mean reading per (asset_id, day) as ``avg_sensor``.
 
     ``value_scale``: readings carry that many decimals; the sum is then exact
-    (DECIMAL) and the mean rounded to 6 digits, so it is reproducible.
+    (an integer sum of 10^-scale units) and the mean rounded to 6 digits, so
+    it is reproducible.
     """
     return readings.groupBy(*KEYS).agg(exact_avg("value", value_scale).alias("avg_sensor"))
 

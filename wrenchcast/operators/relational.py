@@ -215,8 +215,8 @@ def describe_stats(df: DataFrame, cols: Sequence[str], value_scale: int | None =
     row is then turned into one row per column (explode of an array of
     structs). Without ``value_scale`` mean and stddev are Spark's
     numerically stable ``avg`` / ``stddev_samp``. With ``value_scale`` (inputs
-    with that many decimals) the sums of values and squares are exact
-    decimals, so the numbers do not depend on task order, and mean and
+    with that many decimals) the sums of values (integer units) and of
+    squares (DECIMAL) are exact, so the numbers do not depend on task order, and mean and
     stddev are rounded to 6 digits.
     """
     aggs = []
