@@ -128,7 +128,8 @@ def band_join_left(matrix: DataFrame, interruptions: DataFrame,
     e = F.col("event_day")
     spread = (interruptions.where(e.isNotNull() & F.col("asset_id").isNotNull())
               .select("asset_id", e, F.explode(F.sequence(F.date_sub(e, horizon_days), e)).alias("day")))
-    # Deterministic and with the same output in both uses, so they share one exchange.
+    # Used by both sides below; Spark plans it twice (the inner join adds inferred
+    # not-null filters), which re-reads only the interruption events, a small input.
     counts = spread.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
 
     def n_salts(n):
