@@ -314,3 +314,17 @@ def test_indexers_fitted_on_training_rows_only(spark):
     assert "XY-NEW" not in indexer.labelsArray[0] and len(indexer.labelsArray[0]) == 5
     scored = res[0].model.transform(late).select("prediction").collect()
     assert len(scored) == 5  # the unseen asset is scored through the extra index
+
+
+def test_load_best_model_by_index(spark, tmp_path, trained):
+    reg = rg.RunRegistry(spark, str(tmp_path / "registry"))
+    dt_model, rf_model = trained
+    # Log the random forest with a higher accuracy so the order is known.
+    reg.log_run("exp", dt_model.model, dt_model.model_class, {**dt_model.metrics, "accuracy": 0.7}, dt_model.params)
+    reg.log_run("exp", rf_model.model, rf_model.model_class, {**rf_model.metrics, "accuracy": 0.9}, rf_model.params)
+    first = reg.load_best_model("exp", None, idx=0)
+    second = reg.load_best_model("exp", None, idx=1)
+    assert type(first.stages[-1]).__name__ == "RandomForestClassificationModel"
+    assert type(second.stages[-1]).__name__ == "DecisionTreeClassificationModel"
+    with pytest.raises(LookupError):
+        reg.load_best_model("exp", None, idx=2)
