@@ -240,3 +240,18 @@ def test_band_join_salted_equals_default_on_driver_tables(spark):
     default = sorted(map(tuple, mx.band_join_left(sensor, inter).collect()), key=str)
     salted = sorted(map(tuple, mx.band_join_left(sensor, inter, events_per_task=1).collect()), key=str)
     assert salted == default and len(default) > 0
+
+
+def test_flagship_scan_reads_only_needed_columns(spark):
+    import contextlib
+    import io
+    import re
+    from wrenchcast.plans.matrix_queries import feature_matrix
+    from .conftest import SF_SMALL
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        feature_matrix(spark, SF_SMALL).explain("formatted")
+    schemas = re.findall(r"ReadSchema: struct<(.*)>", buf.getvalue())
+    assert len(schemas) == 1
+    assert sorted(c.split(":")[0] for c in schemas[0].split(",")) == ["event_type", "ts", "user_id", "value"]
+    assert "PushedFilters: [Or(" in buf.getvalue()
