@@ -245,3 +245,15 @@ def test_matrix_reload_prunes_months(spark, tmp_path):
     assert sorted(str(r.day) for r in part.collect()) == ["2015-02-10", "2015-03-10"]
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan
+
+
+def test_jdbc_properties_form_equals_options_form(spark):
+    url = "jdbc:derby:memory:wrenchcast_forms;create=true"
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "rowid int, v string")
+    df.write.format("jdbc").options(url=url, dbtable="T", createTableColumnTypes="v VARCHAR(8)", **DERBY) \
+        .mode("overwrite").save()
+    a = jdbc.read_table(spark, url, "T", DERBY, "ROWID", 0, 20, 4, form="options")
+    b = jdbc.read_table(spark, url, "T", DERBY, "ROWID", 0, 20, 4, form="properties")
+    assert a.rdd.getNumPartitions() == b.rdd.getNumPartitions() == 4
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() == 20
+    assert jdbc.read_table(spark, url, "T", DERBY, form="properties").count() == 20

@@ -21,12 +21,26 @@ SENSOR_SUBSYSTEM = "3453"
 
 def read_table(spark: SparkSession, url: str, table: str, properties: dict | None = None,
                partition_column: str | None = None, lower_bound: int | None = None,
-               upper_bound: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Options form of a JDBC scan; parallel when a partition column is given."""
+               upper_bound: int | None = None, num_partitions: int | None = None,
+               form: str = "options") -> DataFrame:
+    """A JDBC scan; parallel range queries when a partition column is given.
+
+    ``form='options'`` (A5) goes through ``format('jdbc').options(...)``;
+    ``form='properties'`` (A4) through ``spark.read.jdbc(url, table, ...,
+    properties=...)``. Both build the same relation.
+    """
+    if partition_column is not None and None in (lower_bound, upper_bound, num_partitions):
+        raise ValueError("partitioned JDBC read needs lower_bound, upper_bound and num_partitions")
+    if form == "properties":
+        if partition_column is None:
+            return spark.read.jdbc(url, table, properties=dict(properties or {}))
+        return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
+                               upperBound=upper_bound, numPartitions=num_partitions,
+                               properties=dict(properties or {}))
+    if form != "options":
+        raise ValueError("form must be 'options' or 'properties'")
     opts = {"url": url, "dbtable": table, **(properties or {})}
     if partition_column is not None:
-        if None in (lower_bound, upper_bound, num_partitions):
-            raise ValueError("partitioned JDBC read needs lower_bound, upper_bound and num_partitions")
         opts.update(partitionColumn=partition_column, lowerBound=str(lower_bound),
                     upperBound=str(upper_bound), numPartitions=str(num_partitions))
     return spark.read.format("jdbc").options(**opts).load()
