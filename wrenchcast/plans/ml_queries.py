@@ -49,9 +49,12 @@ def topk_runs(spark, sf_dir):
 def _requests(spark, sf_dir):
     events = tb.table(spark, sf_dir, "events")
     eid = F.col("event_id")
-    day = (F.when(eid % 13 == 0, F.regexp_replace(sc.day_text("ts"), "-", "/"))
+    # The day of a timestamp as text: to_date + cast equals the first 10
+    # characters of the timestamp text and is cheaper per row.
+    day_text = F.to_date("ts").cast("string")
+    day = (F.when(eid % 13 == 0, F.regexp_replace(day_text, "-", "/"))
            .when(eid % 7 == 0, F.date_add(F.to_date("ts"), 45).cast("string"))
-           .otherwise(sc.day_text("ts")))
+           .otherwise(day_text))
     return events.select(eid.alias("request_id"), F.col("user_id").alias("asset_id"), day.alias("day"))
 
 
