@@ -180,9 +180,11 @@ def daily_table(readings: DataFrame, kpis: DataFrame, value_scale: int | None =
     not an aggregation over all raw readings. Both inputs are aggregated by
     the same keys, so the full outer join needs no further exchange.
     """
-    sensor = daily_average(readings, value_scale).withColumn("has_sensor", F.lit(True))
+    known = F.col("asset_id").isNotNull() & F.col("day").isNotNull()  # a request never matches a null key
+    sensor = daily_average(readings.where(known), value_scale).withColumn("has_sensor", F.lit(True))
     daily_kpis = first_row_per_key(
-        kpis.select(*KEYS, "flighthours", "flightcycles", "delayedminutes"), KEYS).withColumn("has_kpi", F.lit(True))
+        kpis.where(known).select(*KEYS, "flighthours", "flightcycles", "delayedminutes"), KEYS
+    ).withColumn("has_kpi", F.lit(True))
     joined = sensor.join(daily_kpis, KEYS, "full_outer")
     return joined.select(*KEYS, "avg_sensor", "flighthours", "flightcycles", "delayedminutes",
                          F.coalesce("has_sensor", F.lit(False)).alias("has_sensor"),
