@@ -279,3 +279,12 @@ def test_one_scan_matrix_equals_three_sources_with_nulls(spark, rows):
         return sorted(((r.asset_id, r.day, None if r.avg_sensor is None else round(r.avg_sensor, 9), r.flighthours,
                         r.flightcycles, r.delayedminutes, r.label) for r in df.collect()), key=str)
     assert norm(one) == norm(three)
+
+
+def test_band_join_null_assets_never_match(spark):
+    m = spark.createDataFrame([(None, E, 1.0), ("A", E, 2.0)], "asset_id string, day date, avg_sensor double")
+    ev = spark.createDataFrame([(None, E), ("A", _d(2)), ("A", _d(3))], "asset_id string, event_day date")
+    for per_task in (1 << 20, 1):
+        got = sorted(((r.asset_id, r.event_day) for r in mx.band_join_left(m, ev, events_per_task=per_task).collect()),
+                     key=str)
+        assert got == sorted([(None, None), ("A", _d(2)), ("A", _d(3))], key=str)
