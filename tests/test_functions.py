@@ -66,3 +66,15 @@ def test_fast_day_parse_equals_pattern_parse(spark):
     df = spark.createDataFrame([(v,) for v in vals], "d string")
     rows = df.select(sc.parse_date("d").cast("string").alias("a"), sc.parse_iso_day("d").cast("string").alias("b")).collect()
     assert all(r.a == r.b for r in rows)
+
+
+def test_exact_sum_never_wraps(spark):
+    big = spark.range(3).select(F.lit(9.2e16).alias("v"))  # 9.2e18 cents each: the sum overflows a long
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert big.agg(sc.exact_sum("v", 2)).first()[0] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    import pytest
+    with pytest.raises(Exception):
+        big.agg(sc.exact_sum("v", 2)).collect()

@@ -94,14 +94,25 @@ def exact_sum(c, scale: int | None, precision: int = 18) -> Column:
     than a DECIMAL sum, whose widened buffer is a BigDecimal). The result is
     independent of partitioning and task order, so re-runs after lost
     executors and the SQL oracle (a DECIMAL sum) give identical numbers.
-    The sum must stay below 2^63 units; with ANSI mode an overflow raises
-    instead of wrapping. ``precision`` is kept for the DECIMAL form's callers.
+    The sum must stay below 2^63 units. It is never silently wrong: with ANSI
+    mode (Spark 4's default) an overflow raises; in a session with ANSI off,
+    where ``sum`` would wrap around, ``try_sum`` is used and an overflow gives
+    null. ``precision`` is kept for the DECIMAL form's callers.
     """
     c = _col(c)
     if scale is None:
         return F.sum(c)
     unit = float(10 ** scale)
-    return F.sum(F.round(c * F.lit(unit)).cast("bigint")) / F.lit(unit)
+    units = F.round(c * F.lit(unit)).cast("bigint")
+    return (F.sum(units) if _ansi_enabled() else F.try_sum(units)) / F.lit(unit)
+
+
+def _ansi_enabled() -> bool:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return False  # unknown: take the overflow-safe form
+    return str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower() == "true"
 
 
 def exact_avg(c, scale: int | None, digits: int = 6) -> Column:
