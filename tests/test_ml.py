@@ -328,3 +328,10 @@ def test_load_best_model_by_index(spark, tmp_path, trained):
     assert type(second.stages[-1]).__name__ == "DecisionTreeClassificationModel"
     with pytest.raises(LookupError):
         reg.load_best_model("exp", None, idx=2)
+
+
+def test_empty_test_split_is_reported(spark):
+    m = _planted(spark, 100)
+    with pytest.raises(ValueError, match="test split is empty"):
+        train_models(m, models=("DecisionTree",), depths=(3,), bins=(32,), folds=2,
+                     first_test_day=D0 + dt.timedelta(days=400))

@@ -117,6 +117,9 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
                                 numFolds=folds, seed=seed, parallelism=parallelism, foldCol="fold")
             best = cv.fit(train_f).bestModel
             metrics = summary_metrics(best.transform(test_f)).first().asDict()
+            if not metrics.get("n"):
+                raise ValueError("the test split is empty; use more rows, another test_fraction or an earlier "
+                                 "first_test_day")
             params = {"num_features": width, "max_depth": best.getOrDefault("maxDepth"),
                       "max_bins": best.getOrDefault("maxBins"), "skipped_rows": int(skipped)}
             results.append(TrainedModel(type(best).__name__, PipelineModel(features.stages + [best]),
