@@ -335,3 +335,9 @@ def test_empty_test_split_is_reported(spark):
     with pytest.raises(ValueError, match="test split is empty"):
         train_models(m, models=("DecisionTree",), depths=(3,), bins=(32,), folds=2,
                      first_test_day=D0 + dt.timedelta(days=400))
+
+
+def test_empty_training_split_is_reported(spark):
+    m = _planted(spark, 100)
+    with pytest.raises(ValueError, match="training split is empty"):
+        train_models(m, models=("DecisionTree",), depths=(3,), bins=(32,), folds=2, first_test_day=D0)

@@ -86,6 +86,15 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
     fit; if none is left a ValueError names the needed value.
     """
     train, test = split_matrix(matrix, seed, test_fraction, first_test_day, split_method)
+    # Rows the assembler skips (a null feature), counted in one pass over the training split.
+    any_null = F.lit(False)
+    for c in NUMERIC_FEATURES:
+        any_null = any_null | F.col(c).isNull()
+    counts = train.agg(F.count(F.lit(1)).alias("rows"), F.sum(any_null.cast("int")).alias("skipped")).first()
+    if not counts["rows"]:
+        raise ValueError("the training split is empty; use more rows, another test_fraction or a later "
+                         "first_test_day")
+    skipped = counts["skipped"] or 0
     features = feature_pipeline(date_feature, asset_feature=asset_feature).fit(train)
     sizes = category_sizes(features)
     if asset_feature != "category":
@@ -96,11 +105,6 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
         raise ValueError(f"maxBins must be >= {needed} (values of the largest categorical feature); "
                          f"grid has {list(bins)}; for large fleets use asset_feature='continuous'")
     width = feature_width(features)
-    # Rows the assembler skips (a null feature), counted in one pass over the training split.
-    any_null = F.lit(False)
-    for c in NUMERIC_FEATURES:
-        any_null = any_null | F.col(c).isNull()
-    skipped = train.agg(F.sum(any_null.cast("int")).alias("n")).first()["n"] or 0
 
     key = F.concat_ws("|", F.col("asset_id").cast("string"), F.col("day").cast("string"))
     train_f = hash_folds(features.transform(train), key, folds, seed, "fold") \
