@@ -257,3 +257,25 @@ def test_jdbc_properties_form_equals_options_form(spark):
     assert a.rdd.getNumPartitions() == b.rdd.getNumPartitions() == 4
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() == 20
     assert jdbc.read_table(spark, url, "T", DERBY, form="properties").count() == 20
+
+
+def test_matrix_for_one_record(spark, sensor_folder):
+    from wrenchcast.jobs import matrix_for_record
+    url = "jdbc:derby:memory:wrenchcast_record;create=true"
+    kpis = spark.createDataFrame([("XY-SHM", "2015-06-01", 3.5, 2, 10), ("XY-SHM", "2015-06-02", 1.5, 1, 0)],
+                                 "aircraftid string, timeid string, flighthours double, flightcycles int, "
+                                 "delayedminutes int").withColumn("timeid", F.col("timeid").cast("date"))
+    kpis.write.format("jdbc").options(url=url, dbtable="UTIL", createTableColumnTypes="aircraftid VARCHAR(16)",
+                                      **DERBY).mode("overwrite").save()
+    ev = spark.createDataFrame([("XY-SHM", "3453", "2015-06-09")],
+                               "aircraftregistration string, subsystem string, starttime string")
+    ev.write.format("jdbc").options(url=url, dbtable="INTERRUPTS", **DERBY,
+                                    createTableColumnTypes="aircraftregistration VARCHAR(16), subsystem VARCHAR(8), "
+                                                           "starttime VARCHAR(32)").mode("overwrite").save()
+    one = matrix_for_record(spark, sensor_folder, url, DERBY, url, DERBY, "XY-SHM", "2015-06-02",
+                            kpi_table="UTIL", event_table="INTERRUPTS")
+    rows = one.collect()
+    # 2015-06-02: readings 30 and 50 (two files, one crossing midnight), event on 06-09 = day + 7.
+    assert [(r.asset_id, str(r.day), r.avg_sensor, r.flighthours, r.label) for r in rows] == \
+        [("XY-SHM", "2015-06-02", 40.0, 1.5, 1)]
+    assert "PushedFilters" in one._jdf.queryExecution().executedPlan().toString()

@@ -13,11 +13,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wrenchcast.ml.registry import RunRegistry
 from wrenchcast.ml.score import complete_requests_daily, daily_for_requests, score_requests
 from wrenchcast.ml.train import train_models
-from wrenchcast.operators.matrix import daily_table, matrix_from_daily
+from wrenchcast.operators.matrix import build_matrix, daily_table, matrix_from_daily
 from wrenchcast.sources.files import read_matrix
 from wrenchcast.sources.jdbc import INTERRUPTION_TABLE, KPI_TABLE, read_interruptions, read_kpis
 from wrenchcast.sources.readings import read_readings
@@ -47,6 +48,26 @@ def load_sources(spark: SparkSession, sensor_folder: str, warehouse_url: str, wa
                                       **(event_partitioning or {})))
 
 
+def matrix_for_record(spark: SparkSession, sensor_folder: str, warehouse_url: str, warehouse_props: dict,
+                      events_url: str, events_props: dict, asset_id: str, day, horizon_days: int = 7,
+                      kpi_table: str = KPI_TABLE, event_table: str = INTERRUPTION_TABLE) -> DataFrame:
+    """The matrix row of one (asset, day), as the reference's management stage
+    computed it for a single record (nothing is written).
+
+    Every restriction reaches its source: only the asset's sensor files are
+    opened (file-name glob), the KPI query carries the asset and day
+    (pushed to the database), and only the asset's interruptions in
+    [day, day + horizon] are kept.
+    """
+    the_day = F.lit(day).cast("date")
+    readings = read_readings(spark, sensor_folder, asset_id=asset_id).where(F.col("day") == the_day)
+    kpis = read_kpis(spark, warehouse_url, warehouse_props, table=kpi_table, asset_id=asset_id, day=day)
+    events = (read_interruptions(spark, events_url, events_props, table=event_table)
+              .where((F.col("asset_id") == asset_id)
+                     & F.col("event_day").between(the_day, F.date_add(the_day, horizon_days))))
+    return build_matrix(readings, kpis, events, horizon_days=horizon_days)
+
+
 def daily_path(matrix_path: str) -> str:
     return matrix_path.rstrip("/") + "_daily"
 
