@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +22,12 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
-def words(text: Column) -> Column:
-    """Runs of characters that are not ASCII white space; null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
+def word_count(text: Column) -> Column:
+    """Number of runs of characters that are not ASCII white space; 0 for null."""
+    runs = F.split(F.coalesce(text, F.lit("")), WORD_BREAK)
+    empty_first = F.coalesce(text, F.lit("")).rlike("^" + WORD_BREAK) | (F.coalesce(text, F.lit("")) == "")
+    empty_last = text.rlike(WORD_BREAK + "\\z")
+    return (F.size(runs) - empty_first.cast("int") - F.coalesce(empty_last, F.lit(False)).cast("int")).cast("long")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -29,6 +36,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="wrenchcast-")) / "wrenchcast_package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def fresh(taken: Iterable[str], *names: str) -> list[str]:
     """Column names like ``names`` that collide with none of ``taken`` (case-insensitive, as Spark resolves)."""
     used = {c.lower() for c in taken}
