@@ -1,0 +1,152 @@
+"""Operators 3, 5, 6 and 9 against plain Python."""
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import brute
+from wrenchcast.llm.components import components
+from wrenchcast.llm.exact_dedup import chunk_ends, exact_groups
+from wrenchcast.llm.line_dedup import common_blocks, dedup_lines, drop_emptied, rising_chain
+from wrenchcast.llm.repeat_dedup import repeated_starts, without_repeats
+from wrenchcast.llm.simhash import keep_one, near_components
+from wrenchcast.llm.suffix_order import suffix_order
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rng = random.Random(5)
+    long = " ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(4000))
+    passage = long[500:1300]
+    extra = [None, "", " \n\t ", "Word", "word  WORD\nÉté", "ab " * 900, "xyz" * 700, "xyz" * 300, long, long + "!",
+             "left side " + passage + " right", passage[:399], passage[:400], long[:3000], "É" * 450, "É" * 500,
+             "One line here\nand two lines\n\nthe third line of it\n", "the third line of it\nOne line here\nother words"]
+    return rows + [(1000 + i, t) for i, t in enumerate(extra)] + [(1008, long), (1003, "Word")]
+
+
+def frame(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame(rows, schema)
+
+
+def test_suffix_order_is_the_order():
+    rng = random.Random(3)
+    for _ in range(800):
+        text = [rng.randint(1, rng.choice([1, 2, 4])) for _ in range(rng.randint(0, 30))] * rng.randint(1, 3)
+        assert suffix_order(text) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_overlapping_pieces_of_one_text_are_not_repeats():
+    rng = random.Random(4)
+    text = bytes(rng.randrange(256) for _ in range(900))
+    alone = repeated_starts([text[:700], text[100:800]], [(b"t", 0), (b"t", 100)], [False, False])
+    assert alone == [[], []]
+    two = repeated_starts([text[:700], text[100:800]], [(b"t", 0), (b"u", 100)], [False, False])
+    assert two == [list(range(100, 301)), list(range(0, 201))]
+
+
+@pytest.mark.parametrize("block", [1 << 19, 1500])
+def test_repeats_match_brute_force(spark, documents, block):
+    expected = sorted(zip((i for i, _ in documents), brute.without_repeats([t for _, t in documents])))
+    out = without_repeats(frame(spark, documents).withColumn("runs", F.lit(1)).withColumn("t", F.lit("x")), True, block)
+    rows = out.collect()
+    assert sorted((r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in rows) == expected
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in rows)
+
+
+@pytest.mark.parametrize("hash_bits", [64, 2])
+def test_exact_groups_match_brute_force(spark, documents, hash_bits):
+    by_text = {}
+    for i, t in documents:
+        by_text.setdefault(t or "", []).append(i)
+    expected = sorted((i, max(by_text[t or ""]), len(by_text[t or ""]), i == max(by_text[t or ""]),
+                       hashlib.sha256((t or "").encode()).hexdigest()) for i, t in documents)
+    out = exact_groups(frame(spark, documents).withColumn("h", F.lit("x")).withColumn("recipe", F.lit(0)), hash_bits)
+    assert sorted(map(tuple, out.collect())) == expected
+
+
+def test_chunks_follow_content():
+    rng = random.Random(1)
+    data = bytes(rng.randrange(256) for _ in range(60_000))
+    ends = chunk_ends(data)
+    assert ends[-1] == len(data) and len(ends) > 10
+    moved = [e - 1000 for e in chunk_ends(bytes(1000) + data)]
+    assert set(ends[1:]) <= set(moved)  # an insertion in front changes the first chunk only
+    assert chunk_ends(b"") == [] and max(chunk_ends(b"\0" * 200_000)) == 200_000
+
+
+@pytest.mark.parametrize("paired", [64, 1])
+def test_near_components_match_brute_force(spark, documents, paired):
+    from wrenchcast.llm.simhash import near_groups
+    base = documents[0][1]
+    rows = documents + [(2000 + k, base.replace(" ", "  ", k) + " tail" * (k % 3)) for k in range(12)]
+    expected = brute.near_components(rows)
+    out = near_groups(frame(spark, rows).withColumn("fp", F.lit(1)).withColumn("root", F.lit(1)), paired=paired)
+    got = sorted((r.doc_id, r.fp & (1 << 64) - 1, r.component_id) for r in out.collect())
+    assert got == sorted((i, p, c) for (i, _), (p, c) in zip(rows, expected))
+    hexed = {r.fingerprint for r in near_components(frame(spark, rows)).collect()}
+    assert hexed == {f"{p:016x}" for p, _ in expected}
+
+
+def test_keep_one_keeps_a_row_per_component(spark, documents):
+    schema = SCHEMA + ", near_key string, hash int"
+    rows = [(i, t, "a", 1) for i, t in documents] + [(None, "only null here and there", "b", None)] * 2
+    expected = {c for _, c in brute.near_components(documents)}
+    kept = keep_one(frame(spark, rows, schema)).collect()
+    assert kept[0].__fields__ == ["doc_id", "text", "near_key", "hash"]
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(expected)
+    assert sum(r.doc_id is None for r in kept) == 1
+
+
+def test_components_of_long_chains_and_hubs(spark):
+    rng = random.Random(2)
+    chain = list(range(60))
+    rng.shuffle(chain)
+    edges = [*zip(chain, chain[1:]), *((100, 100 + k) for k in range(1, 40)), (300, 300), (7, 7)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(60)}, **{100 + k: 100 for k in range(40)}}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rising_chain_is_longest():
+    rng = random.Random(6)
+    for _ in range(300):
+        values = rng.sample(range(50), rng.randint(1, 20))
+        found = rising_chain(values)
+        assert len(found) == len(brute.chain(values))
+        assert all(values[a] < values[b] for a, b in zip(found, found[1:]))
+
+
+def test_common_blocks_need_neighbours_and_words():
+    assert common_blocks([(0, 5, 0, 2), (1, 6, 1, 1), (3, 8, 4, 2), (4, 2, 5, 9)]) == [0, 1]
+    assert common_blocks([(0, 0, 0, 2)]) == [] and common_blocks([(0, 0, 3, 3)]) == [3]
+
+
+def test_line_dedup_matches_brute_force(spark, documents):
+    texts = {i: t for i, t in documents if t is not None}
+    expected = brute.dedup_lines(texts)
+    frame_ = frame(spark, [(i, t) for i, t in texts.items()] + [(1000, None), (None, texts[1016])])
+    got = {r.doc_id: r for r in dedup_lines(frame_.withColumn("n_lines", F.lit("x"))).collect()}
+    assert got[None].text == texts[1016] and got[1000].text is None
+    for i, (rest, n) in expected.items():
+        assert (got[i].text, got[i].n_deleted) == (rest, n), i
+    assert expected[1017] == ("other words", 2) or expected[1017][1] >= 1
+    kept = drop_emptied(frame_.withColumn("n_deleted", F.lit("x")).withColumn("text_lines", F.lit(1)))
+    assert kept.columns == ["doc_id", "text", "n_deleted", "text_lines"]
+    assert sorted(r.doc_id for r in kept.where("doc_id is not null and text is not null").collect()) == sorted(
+        i for i, (rest, n) in expected.items() if n == 0 or rest.encode().split())
+
+
+@pytest.mark.parametrize("run", [exact_groups, near_components, keep_one, without_repeats, dedup_lines, drop_emptied])
+def test_empty_tables(spark, run):
+    assert run(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("run", [exact_groups, near_components, without_repeats, dedup_lines])
+def test_all_null_rows(spark, run):
+    assert run(frame(spark, [(None, None), (None, None), (1, None)])).count() == 3

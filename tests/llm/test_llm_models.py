@@ -1,0 +1,164 @@
+"""Operators 4 and 7 against plain Python and held-out accuracy."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wrenchcast.llm import class_lm, queries
+from wrenchcast.llm.language_id import Model, grams, held_out, identify, letters, train
+
+SF = "/root/testdata/sf0.001"
+TEXTS = [(1, None), (2, ""), (3, "The cat."), (4, "the CAT.\tthe dog\n"), (5, "É é"), (5, "É é"), (None, "the the"),
+         (6, "unseen words only")]
+
+
+def test_held_out_is_the_crc_remainder(spark):
+    rows = spark.range(200).select(F.col("id"), held_out(F.col("id"), 5, 1).alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 1) for r in rows)
+
+
+def scored(spark, rows, cached=1 << 18, n_classes=6):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "doc_id", held_out(F.col("doc_id"), 5, 1).alias("held_out"),
+        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    model = class_lm.train(docs.where("not held_out").select("text"), n_classes, 3, cached)
+    return model, class_lm.score(docs, model).collect()
+
+
+@pytest.mark.parametrize("cached", [1 << 18, 3])
+def test_scores_match_plain_python(spark, cached):
+    rows = TEXTS + [(r.doc_id + 100, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()]
+    model, got = scored(spark, rows, cached)
+    training = [class_lm.tokens((t or "").encode()) for i, t in rows
+                if i is None or zlib.crc32(str(i).encode()) % 5 != 1]
+    count = Counter(w for t in training for w in t)
+    n, v = sum(count.values()) + len(training), len(count) + 1
+    element = {w: k for k, w in enumerate(model.lexicon.words[:class_lm.CLUSTERED])}
+    class_of = lambda w: int(model.classes[element.get(w, class_lm.CLUSTERED + class_lm.unit(w))])
+    follow, in_class = Counter(), Counter()
+    for t in training:
+        path = [0, *map(class_of, t), 0]
+        follow.update(zip(path, path[1:]))
+        in_class.update(path[1:])
+    types = Counter(class_of(w) for w in count)
+    from_class = Counter()
+    for (a, _), k in follow.items():
+        from_class[a] += k
+
+    def log_step(a, b):
+        frequency = (in_class[b] + 0.5) / (n + 0.5 * 7)
+        return math.log10((follow[a, b] + class_lm.BACKOFF * frequency) / (from_class[a] + class_lm.BACKOFF))
+
+    for (i, text), r in zip(sorted(rows, key=repr), sorted(got, key=lambda r: repr((r.doc_id, "")))):
+        pass
+    expected = []
+    for i, text in rows:
+        words = class_lm.tokens((text or "").encode())
+        path = [0, *map(class_of, words), 0]
+        base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words)
+        base += math.log10((len(training) + 0.5) / (n + 0.5 * (v + 1)))
+        total = sum(log_step(a, b) for a, b in zip(path, path[1:]))
+        total += sum(math.log10((count[w] + 0.5) / (in_class[c] + 0.5 * (types[c] + 1))) for w, c in zip(words, path[1:]))
+        expected.append((repr(i), len(words) + 1, sum(count[w] > 0 for w in words) + 1, round(base, 6), round(total, 6)))
+    assert sorted((repr(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in got) == sorted(
+        expected)
+    assert {r.train_tokens for r in got} == {n}
+
+
+def test_class_model_beats_the_unigrams_on_held_out_texts(spark):
+    rows = queries.QUERIES["op4_class_lm"](spark, "/root/testdata/sf0.01").where("held_out").collect()
+    assert sum(r.score for r in rows) > 0.98 * sum(r.base_score for r in rows)
+    better = sum(r.score > r.base_score for r in rows)
+    assert better > 0.8 * len(rows)
+
+
+def likelihood(pairs, classes):
+    m = Counter()
+    for (a, b), n in pairs.items():
+        m[classes[a], classes[b]] += n
+    rows, cols = Counter(), Counter()
+    for (a, b), n in m.items():
+        rows[a] += n
+        cols[b] += n
+    f = lambda c: sum(n * math.log(n) for n in c.values() if n)
+    return f(m) - f(rows) - f(cols)
+
+
+def test_exchange_takes_the_best_class():
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        n, k = 12, 4
+        pairs = {(a, b): int(rng.integers(1, 9)) for a in range(n) for b in range(n) if rng.random() < 0.5}
+        classes = np.array([0, *rng.integers(1, k, n - 1)])
+        classes[1] = k - 1
+        size = classes.max() + 1
+        after, before, own = np.zeros((n, size)), np.zeros((n, size)), np.zeros(n)
+        for (a, b), c in pairs.items():
+            after[a, classes[b]] += c
+            before[b, classes[a]] += c
+            own[a] += c * (a == b)
+        moved = int(rng.integers(1, n))
+        best = max(likelihood(pairs, {**dict(enumerate(classes)), moved: c}) for c in range(1, size))
+        class_lm.exchange(after, before, own, classes, np.array([moved]))
+        assert likelihood(pairs, dict(enumerate(classes))) == pytest.approx(best)
+
+
+def test_scoring_of_nothing(spark):
+    assert scored(spark, [])[1] == []
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    _, got = scored(spark, [(held, "only held out")])
+    assert (got[0].n_tokens, got[0].n_known, got[0].train_tokens, got[0].base_score) == (4, 0, 0, 0.0)
+
+
+# 7: languages
+
+def test_grams_keep_to_words():
+    points, starts = letters(["ab c", "", "D1"])
+    text = "".join(map(chr, points.tolist()))
+    assert text == " ab c  d  " and starts.tolist() == [0, 5, 6, 9]
+    packed, at = grams(points, 2)
+    assert [text[i:i + 2] for i in at.tolist()] == [" a", "ab", "b ", " c", "c ", " d", "d "]
+    _, at = grams(points, 3)
+    assert [text[i:i + 3] for i in at.tolist()] == [" ab", "ab ", " c ", " d "]
+
+
+def test_filter_holds_all_its_grams():
+    rng = np.random.default_rng(1)
+    rows = [(f"l{i % 70}", int(g)) for i, g in enumerate(rng.integers(0, 1 << 40, 5000))]
+    names = [f"l{i}" for i in range(70)]  # more than one mask word
+    model = Model.build(names, rows)
+    gram = np.array([g for _, g in rows], dtype=np.uint64)
+    bits = len(model.slots).bit_length() - 1
+    for w in range(2):
+        mask = np.bitwise_and.reduce([model.slots[p, w] for p in Model.places(gram, bits)])
+        for (name, _), m in zip(rows, mask.tolist()):
+            i = names.index(name)
+            assert i // 64 != w or m >> (i % 64) & 1
+    assert 0 < model.rates.max() < 0.05
+
+
+def test_language_accuracy_on_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    got = queries.QUERIES["op7_language_id"](spark, "/root/testdata/sf0.01").join(docs, "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert len(held) > 200
+    assert np.mean([r.lang_pred == r.lang for r in held]) >= 0.95
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_odd_texts(spark):
+    schema = "doc_id long, text string, lang string"
+    rows = spark.createDataFrame([(1, "alpha beta gamma " * 9, "aa"), (2, "ñandú über ça " * 9, "bb"), (3, None, "aa"),
+                                  (4, "delta", None), (5, "", "aa")], schema)
+    asked = spark.createDataFrame([(1, None), (2, ""), (3, "12 .!"), (4, "ALPHA beta"), (5, "über"), (5, "über"),
+                                   (None, "qqq"), (6, "x" * 100_000)], "doc_id long, text string")
+    model = train(rows)
+    got = sorted(((r.doc_id, r.lang_pred, r.score > 0) for r in identify(asked, model).collect()), key=repr)
+    assert got == sorted([(1, "und", False), (2, "und", False), (3, "und", False), (4, "aa", True), (5, "bb", True),
+                          (5, "bb", True), (None, "aa", False), (6, "aa", False)], key=repr)
+    assert {r.lang_pred for r in identify(asked, train(rows.limit(0))).collect()} == {"und"}
+    assert identify(asked.limit(0), model).count() == 0

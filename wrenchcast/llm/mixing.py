@@ -72,3 +72,16 @@ def mixed(docs: DataFrame, targets: DataFrame, seed: str = "mix") -> DataFrame:
     copies = whole + (uniform(F.col("doc_id"), seed) < F.col(r) - whole).cast("long")
     return (docs.join(side, docs["source"].eqNullSafe(side[s]))
             .withColumn("copies", copies).drop(s, r))
+
+
+def emit_mix(docs: DataFrame, size: Column, weights: Sequence[int] = WEIGHTS, share: tuple[int, int] = SHARE,
+             max_repeat: int = MAX_REPEAT, seed: str = "mix") -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, all columns."""
+    targets = source_targets(docs.select("source", size.alias("size")), weights, share, max_repeat)
+    clash = [c for c in docs.columns if c.lower() in ("source_size", "target", "copies")]
+    aside = dict(zip(clash, fresh([*docs.columns, "source_size", "target", "copies"], *clash)))
+    times, = fresh([*docs.columns, *aside.values(), "source_size", "target", "copies"], "mix_time")
+    taken = mixed(docs.withColumnsRenamed(aside), targets, seed).where("copies > 0")
+    out = taken.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    back = [F.col(aside.get(c, c)).alias(c) for c in docs.columns]
+    return out.select(*back)
