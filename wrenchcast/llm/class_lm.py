@@ -137,12 +137,12 @@ def exchange(after: np.ndarray, before: np.ndarray, own: np.ndarray, classes: np
         m[:, a] -= left
         m[a, a] += own[e]
         np.maximum(m, 0, out=m)
-        # likelihood if e joined b: only row b, column b and the totals of b change
-        rows, cols = m.sum(1), m.sum(0)
+        # likelihood if e joined b: beside what is the same for any b, only row b, column b and the totals of b change
         moved_right = right.copy()
         moved_right[a] -= own[e]  # e's own follower moves with it
         moved_left = left.copy()
         moved_left[a] -= own[e]
+        rows, cols = m.sum(1) + moved_left, m.sum(0) + moved_right
         gain = (_xlogx(m + moved_right) - _xlogx(m)).sum(1) + (_xlogx(m.T + moved_left) - _xlogx(m.T)).sum(1)
         d = m.diagonal()
         i = np.arange(n)
