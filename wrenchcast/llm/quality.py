@@ -86,6 +86,7 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
 def vector(names: list[str]) -> list[Column]:
     """Transformed statistics in whole thousandths: word length, symbols, repeated lines, repeated words."""
     n, chars, symbols, dup, repeat = (F.col(c).cast("double") for c in names)
+    n = F.nullif(n, F.lit(0.0))
     parts = [chars / n, F.log1p(20 * symbols / n), F.log1p(dup) / 2, F.sqrt(repeat / n) * 2]
     return [F.coalesce(F.round(1000 * F.least(x, F.lit(100.0))), F.lit(0)).cast("long") for x in parts]
 
