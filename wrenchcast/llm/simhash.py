@@ -2,7 +2,8 @@
 
 A fingerprint is cut into three segments. Two fingerprints that differ in at most four bits differ in at most one bit of
 some segment, so they share one of its variants with one bit wildcarded (taken out). Each distinct fingerprint is
-indexed under its 64 variants, members of a variant's bucket are paired, and pairs are verified by their bit distance.
+indexed under its 64 variants, members of a variant's bucket meet in an equality join, and the join keeps the pairs whose
+bit distance is verified, each in the first variant that the two share.
 
 A bucket of n members has n (n - 1) / 2 pairs. Beyond ``PAIRED`` members its fingerprints are linked without pairs, and
 without loss: two fingerprints are within four bits if and only if some point lies within two bits of both, so each
@@ -94,25 +95,37 @@ def ball() -> list[int]:
             *(_signed(1 << i | 1 << j) for i in range(64) for j in range(i))]
 
 
+def _first_shared(x: Column, variant: Column) -> Column:
+    """Whether ``variant`` is the first that two fingerprints of difference ``x`` share, so that a pair is met once.
+
+    Segments that are equal share all their variants, segments that differ in one bit share that bit's.
+    """
+    out = F.lit(False)
+    for first, width in reversed(SEGMENTS):
+        n = F.bit_count(F.shiftrightunsigned(x, first).bitwiseAND(F.lit((1 << width) - 1)))
+        inside = (variant >= first) & (variant < first + width) & ((n == 1) | (variant == first))
+        out = F.when(n <= 1, inside).otherwise(out)
+    return out
+
+
 def links(distinct: DataFrame, distance: int = DISTANCE, paired: int = PAIRED) -> DataFrame:
     """Edges (a, b) between fingerprints ``fp`` of ``distinct`` that connect all those within ``distance`` <= 4 bits.
 
-    Buckets of up to ``paired`` members give all their pairs; larger ones a star per shared point (distance 4 only).
+    Members of buckets of up to ``paired`` are joined and verified; larger buckets give a star per shared point
+    (distance 4 only: below that all buckets are joined).
     """
     signed = distinct.select("fp", F.explode(F.array(*signatures(F.col("fp")))).alias("key"))
-    sizes = cut(signed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    large = sizes.where(F.col("n") > paired).select("key")
-    n_large = large.count() if distance == DISTANCE else 0
-    # A distance below 4 has no ball of its own here, so all its buckets are paired.
-    small = sizes.where(F.col("n") <= paired).select("key") if distance == DISTANCE else sizes.select("key")
-    rows = signed
+    rows, large, n_large = signed, None, 0
+    if distance == DISTANCE:
+        large = cut(signed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > paired).select("key"))
+        n_large = large.count()
     if n_large:
         # taken out first, so that no task of the join below receives a large bucket
-        rows = rows.join(hint_broadcast(large, n_large, 16), "key", "left_anti")
-    members = rows.join(small, "key").groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
-    pairs = (members.select(F.posexplode("fps").alias("i", "a"), "fps")
-             .select("a", F.explode(F.slice("fps", F.col("i") + 2, F.size("fps"))).alias("b"))
-             .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance))
+        rows = signed.join(hint_broadcast(large, n_large, 16), "key", "left_anti")
+    difference = F.col("a").bitwiseXOR(F.col("b"))
+    pairs = (rows.select("key", F.col("fp").alias("a")).join(rows.select("key", F.col("fp").alias("b")), "key")
+             .where((F.col("a") < F.col("b")) & (F.bit_count(difference) <= distance)
+                    & _first_shared(difference, F.shiftright("key", 22))).select("a", "b"))
     if not n_large:
         return pairs
     crowded = cut(signed.join(hint_broadcast(large, n_large, 16), "key").select("fp").distinct())
