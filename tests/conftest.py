@@ -12,13 +12,14 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_session("local[*]", app_name="wrenchcast-tests", shuffle_partitions=8)
+    session = get_session("local[*]", app_name="wrenchcast-tests", shuffle_partitions=8,
+                          extra={"spark.sql.maxMetadataStringLength": "10000"})  # whole filter lists in plans
     yield session
 
 
 @pytest.fixture()
-def tutorial_df(spark):
-    """The tutorial's five-row frame: one null in C, one in D."""
-    rows = [("a", 1, 1.1, True), ("b", 2, 2.2, False), ("c", 3, None, True),
-            ("d", 4, 4.4, None), ("e", 5, 5.5, True)]
-    return spark.createDataFrame(rows, "A string, B bigint, C double, D boolean")
+def fleet_df(spark):
+    """Six rows of an invented fleet: one without hours, one without the flag."""
+    rows = [("zk-a", 8, 2.5, False), ("zk-b", 13, 0.75, True), ("zk-c", 21, 6.25, None),
+            ("zk-d", 34, None, False), ("zk-e", 55, 9.0, True), ("zk-f", 40, 1.5, False)]
+    return spark.createDataFrame(rows, "reg string, legs bigint, hours double, wet boolean")

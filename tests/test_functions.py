@@ -22,15 +22,16 @@ TEXT = st.text(alphabet="20X5-AB1\n .", max_size=12)
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.tuples(TEXT, TEXT), min_size=1, max_size=30))
 def test_valid_request_matches_split_rule(spark, pairs):
-    pairs += [("2024-01-05", "XY-SHM"), ("20X5-AA-01", "XY-SHM"), ("2024/01/05", "XY-SHM"), ("2024-01-05", "XYZ-SH")]
+    pairs += [("2024-01-05", "ZK-TAN"), ("20X5-AA-01", "ZK-TAN"), ("2024/01/05", "ZK-TAN"), ("2024-01-05", "XYZ-SH")]
     df = spark.createDataFrame(pairs, "day string, asset string")
     got = [(r.day, r.asset, r.ok) for r in df.select("day", "asset", sc.valid_request("day", "asset").alias("ok")).collect()]
     assert all(ok == _py_valid(d, a) for d, a, ok in got)
 
 
-def _py_asset(name: str) -> str:
-    parts = name.split("-")
-    return parts[4] + "-" + parts[5].split(".")[0]
+def _py_asset(name: str) -> str | None:
+    parts = name.removesuffix(".csv").split("-")
+    good = len(parts) == 6 and all(parts) and name.endswith(".csv") and (len(parts[4]), len(parts[5])) == (2, 3)
+    return "-".join(parts[4:]) if good else None
 
 
 PART = st.text(alphabet="ABCXYZ0123", min_size=1, max_size=5)
@@ -39,7 +40,8 @@ PART = st.text(alphabet="ABCXYZ0123", min_size=1, max_size=5)
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.lists(PART, min_size=6, max_size=7), min_size=1, max_size=20))
 def test_asset_from_file_name_matches_split_rule(spark, names):
-    files = ["-".join(p) + ".csv" for p in names]
+    files = [*("-".join(p) + ".csv" for p in names), *("-".join([*p[:4], "ZK", "TAN"]) + ".csv" for p in names),
+             "odd.csv", "a-b-c-d-ZK.csv", "a-b-c-d-ZK-TAN.CSV", "a-b-c-d-ZK-TAN.csv.csv", "a-b-c--ZK-TAN.csv"]
     df = spark.createDataFrame([(f,) for f in files], "name string")
     got = {r.name: r.asset for r in df.select("name", sc.asset_from_file_name("name").alias("asset")).collect()}
     assert got == {f: _py_asset(f) for f in files}

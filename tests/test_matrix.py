@@ -71,9 +71,9 @@ def test_band_join_equals_brute_force(spark, mrows, erows, h):
     got = sorted(((r.asset_id, r.day, r.avg_sensor, r.event_day) for r in mx.band_join_left(m, ev, h).collect()),
                  key=lambda r: (r[0], r[1], r[3] or dt.date.min))
     assert got == _brute_band(mrows, erows, h)
-    # With one event per task every key with events is split over salts: same pairs.
+    # One pair per chunk gives the same pairs.
     salted = sorted(((r.asset_id, r.day, r.avg_sensor, r.event_day)
-                     for r in mx.band_join_left(m, ev, h, events_per_task=1).collect()),
+                     for r in mx.band_join_left(m, ev, h, pairs_per_chunk=1).collect()),
                     key=lambda r: (r[0], r[1], r[3] or dt.date.min))
     assert salted == got
     # The label is the existence form of the same join, monotone in the horizon.
@@ -227,19 +227,53 @@ def test_empty_inputs_keep_schema(spark):
     assert mx.band_join_left(m, ev).first().event_day is None
 
 
+def _plan_counts(df):
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("FileScan"), plan.count("Exchange ")
+
+
+def test_band_join_plan_has_two_scans_and_four_exchanges(spark):
+    from wrenchcast.plans.matrix_queries import join_band_left
+    from .conftest import SF_SMALL
+    limits = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scans, exchanges = _plan_counts(join_band_left(spark, SF_SMALL))
+    finally:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+    assert scans == 2 and exchanges <= 4
+
+
+def test_band_join_repeats_a_hot_key(spark):
+    m = spark.createDataFrame([("A", E, 1.0), ("B", E, 2.0)], "asset_id string, day date, avg_sensor double")
+    ev = spark.range(50_000).select(F.lit("A").alias("asset_id"), F.lit(E).alias("event_day"))
+    out = mx.band_join_left(m, ev, pairs_per_chunk=1000)
+    assert {(r.asset_id, r["count"]) for r in out.groupBy("asset_id").count().collect()} == {("A", 50_000), ("B", 1)}
+
+
+def test_unique_kpis_skip_the_dedup(spark):
+    r = spark.createDataFrame([("A", E, 3.0)], "asset_id string, day date, value double")
+    k = spark.createDataFrame([("A", E, 1.0, 2, 3)], "asset_id string, day date, flighthours double, "
+                                                     "flightcycles int, delayedminutes int")
+    ev = spark.createDataFrame([], "asset_id string, event_day date")
+    assert mx.build_matrix(r, k, ev).collect() == mx.build_matrix(r, k, ev, unique_kpis=True).collect()
+
+
 def test_dedup_when_key_is_every_column(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
     assert sorted(map(tuple, mx.first_row_per_key(df, ["k", "v"]).collect())) == [(1, "a"), (2, "b")]
 
 
-def test_band_join_salted_equals_default_on_driver_tables(spark):
+def test_band_join_chunks_equal_default_on_driver_tables(spark):
     from wrenchcast.plans import tables as tb
     from .conftest import SF_SMALL
     ev = tb.table(spark, SF_SMALL, "events")
     sensor = mx.daily_average(tb.readings(ev), tb.VALUE_SCALE)
     inter = tb.interruptions(ev)
     default = sorted(map(tuple, mx.band_join_left(sensor, inter).collect()), key=str)
-    salted = sorted(map(tuple, mx.band_join_left(sensor, inter, events_per_task=1).collect()), key=str)
+    salted = sorted(map(tuple, mx.band_join_left(sensor, inter, pairs_per_chunk=1).collect()), key=str)
     assert salted == default and len(default) > 0
 
 
@@ -285,6 +319,6 @@ def test_band_join_null_assets_never_match(spark):
     m = spark.createDataFrame([(None, E, 1.0), ("A", E, 2.0)], "asset_id string, day date, avg_sensor double")
     ev = spark.createDataFrame([(None, E), ("A", _d(2)), ("A", _d(3))], "asset_id string, event_day date")
     for per_task in (1 << 20, 1):
-        got = sorted(((r.asset_id, r.event_day) for r in mx.band_join_left(m, ev, events_per_task=per_task).collect()),
+        got = sorted(((r.asset_id, r.event_day) for r in mx.band_join_left(m, ev, pairs_per_chunk=per_task).collect()),
                      key=str)
         assert got == sorted([(None, None), ("A", _d(2)), ("A", _d(3))], key=str)

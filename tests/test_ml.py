@@ -43,7 +43,8 @@ def test_models_beat_majority(trained):
     for t in trained:
         assert t.metrics["accuracy"] > 0.8  # majority class is 0.6
         assert t.metrics["weighted_recall"] == pytest.approx(t.metrics["accuracy"])
-        assert t.params == {"num_features": 7, "max_depth": 4, "max_bins": 32, "skipped_rows": 0}
+        assert t.params == {"num_features": 7, "max_depth": 4, "max_bins": 32, "skipped_rows": 0,
+                            "skipped_test_rows": 0, "dropped_bins": ""}
 
 
 def test_same_seed_same_predictions(spark, trained):
@@ -184,6 +185,35 @@ def test_streaming_exit_request_is_kept_and_seen(spark, tmp_path, trained):
     assert stream.exit_seen(spark, str(tmp_path / "out"))
 
 
+def test_stream_over_the_stored_daily_table_equals_batch(spark, tmp_path, trained):
+    from wrenchcast.operators.matrix import daily_table
+    sensor, kpis = _daily(spark)
+    daily = daily_table(sensor.select("asset_id", "day", F.col("avg_sensor").alias("value")), kpis)
+    inbox = str(tmp_path / "inbox")
+    _requests(spark).coalesce(1).write.option("header", True).csv(inbox)
+    q = stream.start_scoring(spark, inbox, None, None, trained[0].model, str(tmp_path / "out"), str(tmp_path / "ckpt"),
+                             available_now=True, daily=daily)
+    q.awaitTermination(120)
+    got = {r.request_id: (r.status, r.prediction) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    batch = scr.score_requests(scr.complete_requests_daily(_requests(spark), daily), trained[0].model)
+    assert got == {r.request_id: (r.status, r.prediction) for r in batch.collect()}
+
+
+def test_analysis_stage_goes_on_to_the_classifier(spark, tmp_path):
+    m = _planted(spark, 200)
+    readings = m.select("asset_id", "day", F.col("avg_sensor").alias("value"))
+    kpis = m.select("asset_id", "day", "flighthours", "flightcycles", "delayedminutes")
+    events = m.where("label = 1").select("asset_id", F.col("day").alias("event_day"))
+    path, reg = str(tmp_path / "matrix"), str(tmp_path / "reg")
+    assert run_stages(spark, "management", Sources(readings, kpis, events), path, reg, "exp", _requests(spark),
+                      horizon_days=0) is None
+    out = run_stages(spark, "analysis", None, path, reg, "exp", _requests(spark), models=("DecisionTree",), **SMALL)
+    assert out.count() == 6
+    assert run_stages(spark, "classifier", None, path, reg, "exp", _requests(spark), idx=0).count() == 6
+    with pytest.raises(ValueError, match="sources"):
+        run_stages(spark, "all", None, path, reg, "exp")
+
+
 def test_split_by_day(spark):
     from wrenchcast.ml.train import split_matrix
     m = _planted(spark, 100)
@@ -225,7 +255,34 @@ def test_rows_with_null_features_are_counted(spark):
     m = _planted(spark, 200).withColumn("flighthours", F.when(F.col("flightcycles") == 0, None)
                                         .otherwise(F.col("flighthours")))
     res = train_models(m, models=("DecisionTree",), depths=(3,), bins=(32,), folds=2)
-    assert res[0].params["skipped_rows"] > 0
+    params = res[0].params
+    total = m.where("flighthours IS NULL").count()
+    assert params["skipped_rows"] + params["skipped_test_rows"] == total and params["skipped_test_rows"] > 0
+
+
+def test_null_days_are_counted_and_stored(spark, tmp_path):
+    m = _planted(spark, 300).withColumn("day", F.when(F.col("flightcycles") != 1, F.col("day")))
+    res = train_models(m, models=("DecisionTree",), depths=(3,), bins=(4, 32), folds=2, on_unusable_bins="drop")
+    reg = rg.RunRegistry(spark, str(tmp_path / "reg"))
+    reg.log_run("exp", res[0].model, res[0].model_class, res[0].metrics, res[0].params)
+    run = reg.runs().first()
+    assert run.skipped_rows + run.skipped_test_rows == m.where("day IS NULL").count()
+    assert run.dropped_bins == "4"
+    with pytest.raises(ValueError, match="maxBins"):
+        train_models(m, models=("DecisionTree",), depths=(3,), bins=(4, 32), folds=2)
+
+
+def test_registry_hides_no_other_fault(spark, tmp_path):
+    assert rg.RunRegistry(spark, str(tmp_path / "none")).runs().count() == 0
+    os.makedirs(tmp_path / "bad" / "runs")
+    (tmp_path / "bad" / "runs" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        rg.RunRegistry(spark, str(tmp_path / "bad")).runs().collect()
+
+
+def test_metrics_of_no_rows(spark):
+    empty = spark.createDataFrame([], "label int, prediction double")
+    assert summary_metrics(empty).first().n == 0
 
 
 def test_daily_for_requests_prunes_partitions(spark, tmp_path):
@@ -242,8 +299,11 @@ def test_daily_for_requests_prunes_partitions(spark, tmp_path):
                                  "request_id long, day string, asset_id string")
     part = daily_for_requests(reqs, stored)
     plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan and "2024-01-03" in plan
-    assert {str(r.day) for r in part.select("day").distinct().collect()} == {"2024-01-03", "2024-01-04", "2024-01-05"}
+    assert "PartitionFilters: [day" in plan and "2024-01-03" in plan
+    assert {str(r.day) for r in part.select("day").distinct().collect()} == {"2024-01-03", "2024-01-05"}
+    stray = reqs.unionByName(spark.createDataFrame([(4, "9999-01-01", "XY-AAA")], reqs.schema))
+    assert {str(r.day) for r in daily_for_requests(stray, stored).select("day").distinct().collect()} == {
+        "2024-01-03", "2024-01-05"}
     empty = daily_for_requests(reqs.where("request_id = 3"), stored)
     assert empty.isEmpty()
 
@@ -279,6 +339,8 @@ def test_split_methods(spark):
         train, test = split_matrix(m, method=method)
         assert train.count() + test.count() == 300
         assert train.join(test, ["asset_id", "day"]).isEmpty()
+    with pytest.raises(ValueError):
+        split_matrix(m, method="random", first_test_day=D0)
     assert 0 < bernoulli_sample(m, 0.4, seed=666).count() < 300
 
 

@@ -2,15 +2,15 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from scripts.plan_audit import audit
+from wrenchcast.plans.registry import QUERIES
 
 from .conftest import SF_SMALL
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_plan_stays_in_the_jvm_without_pair_joins(spark, key):
-    df = entry.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
     a = audit(plan)

@@ -1,7 +1,9 @@
-"""Relational operators on the tutorial frame: null semantics and plan shapes."""
+"""Relational operators on a small frame: null semantics and plan shapes."""
+
+import random
+import statistics
 
 import pytest
-from pyspark.errors import PySparkTypeError
 from pyspark.sql import functions as F
 
 from wrenchcast.operators import keys as ky
@@ -10,80 +12,97 @@ from wrenchcast.operators import rows as rw
 from wrenchcast.operators import sampling as smp
 
 
-def test_projection_forms(tutorial_df):
-    df = tutorial_df
-    forms = [df.select("A", "B"), df.select(*("A", "B")), df.select(df.A, df.B), df.select(df["A"], df["B"]),
-             df.select(F.col("A"), F.col("B"))]
-    expected = [tuple(r) for r in forms[0].collect()]
-    assert all([tuple(r) for r in f.collect()] == expected for f in forms)
-    assert rel.project(df, "*").columns == ["A", "B", "C", "D"]
+def test_projection_keeps_the_asked_columns(fleet_df):
+    assert rel.project(fleet_df, "hours", "reg").columns == ["hours", "reg"]
+    assert rel.project(fleet_df, "*").columns == ["reg", "legs", "hours", "wet"]
+
+
+def test_constant_column(fleet_df):
+    assert {r.base for r in rel.with_constant(fleet_df, "base", "QQX").collect()} == {"QQX"}
+
 
+def test_join_drops_null_keys(fleet_df):
+    other = rel.rename(fleet_df, {c: f"o_{c}" for c in fleet_df.columns})
+    out = rel.equi_join(fleet_df, other, [fleet_df.reg == other.o_reg, fleet_df.hours == other.o_hours])
+    assert out.count() == 5  # of six rows one has no hours
 
-def test_constant_needs_lit(tutorial_df):
-    with pytest.raises(PySparkTypeError):
-        tutorial_df.withColumn("constant", 666)
-    assert {r.constant for r in rel.with_constant(tutorial_df, "constant", 666).collect()} == {666}
 
+def test_count_star_against_count_col(fleet_df):
+    got = {r.wet: (r.n_rows, r.n_wet) for r in rel.count_star_and_col(fleet_df, ["wet"], "wet").collect()}
+    assert got == {True: (2, 2), False: (3, 3), None: (1, 0)}
+    assert {r.wet: r["count"] for r in rel.group_count(fleet_df, "wet").collect()} == {True: 2, False: 3, None: 1}
 
-def test_join_drops_null_keys(tutorial_df):
-    ren = rel.rename(tutorial_df, {"A": "RA", "B": "RB", "C": "RC", "D": "RD"})
-    out = rel.equi_join(tutorial_df, ren, [tutorial_df.A == ren.RA, tutorial_df.C == ren.RC])
-    assert out.count() == 4
 
+def test_sort_nulls(fleet_df):
+    rows = rel.sort_rows(fleet_df, F.asc("wet"), F.desc("legs")).collect()
+    assert [(r.wet, r.legs) for r in rows] == [(None, 21), (False, 40), (False, 34), (False, 8), (True, 55), (True, 13)]
 
-def test_count_star_against_count_col(tutorial_df):
-    got = {r.D: (r.n_rows, r.n_D) for r in rel.count_star_and_col(tutorial_df, ["D"], "D").collect()}
-    assert got == {True: (3, 3), False: (1, 1), None: (1, 0)}
-    assert {r.D: r["count"] for r in rel.group_count(tutorial_df, "D").collect()} == {True: 3, False: 1, None: 1}
 
+def test_sql_text_predicates(fleet_df):
+    assert [r.reg for r in rel.filter_sql(fleet_df, "NOT wet AND hours IS NULL").collect()] == ["zk-d"]
+    assert rel.filter_sql(fleet_df, "hours IS NOT NULL").count() == 5
+    assert sorted(r.reg for r in rel.drop_nulls(fleet_df).collect()) == ["zk-a", "zk-b", "zk-e", "zk-f"]
 
-def test_sort_nulls(tutorial_df):
-    asc = [r.D for r in rel.sort_rows(tutorial_df, F.asc("D"), F.desc("B")).collect()]
-    assert asc == [None, False, True, True, True]
-    assert [r.B for r in rel.sort_rows(tutorial_df, F.asc("D"), F.desc("B")).collect()] == [4, 2, 5, 3, 1]
 
+def test_fill_and_replace(fleet_df):
+    filled = {r.reg: (r.hours, r.wet) for r in rel.fill_nulls(fleet_df, 0.5, ["hours"]).collect()}
+    assert filled["zk-d"] == (0.5, False) and filled["zk-c"] == (6.25, None)
+    both = {r.reg: (r.hours, r.wet) for r in rel.fill_nulls(fleet_df, {"hours": 0.5, "wet": True}).collect()}
+    assert both["zk-c"] == (6.25, True)
+    rep = [r.legs for r in rel.replace_values(fleet_df, [8, 13], [80, None], ["legs"]).orderBy("reg").collect()]
+    assert rep == [80, None, 21, 34, 55, 40]
 
-def test_sql_text_predicates(tutorial_df):
-    assert [r.A for r in rel.filter_sql(tutorial_df, "D AND C IS NULL").collect()] == ["c"]
-    assert rel.filter_sql(tutorial_df, "C IS NOT NULL").count() == 4
-    assert [r.A for r in rel.drop_nulls(tutorial_df).collect()] == ["a", "b", "e"]
 
+def test_describe(fleet_df):
+    stats = {r.column: r for r in rel.describe_stats(fleet_df, ["legs", "hours"], value_scale=2).collect()}
+    legs = [8, 13, 21, 34, 55, 40]
+    assert stats["legs"]["count"] == 6 and stats["hours"]["count"] == 5
+    assert stats["legs"].mean == 28.5 and (stats["legs"]["min"], stats["legs"]["max"]) == (8.0, 55.0)
+    assert stats["legs"].stddev == pytest.approx(statistics.stdev(legs), abs=1e-6)
 
-def test_fill_and_replace(tutorial_df):
-    filled = {r.A: (r.C, r.D) for r in rel.fill_nulls(tutorial_df, 3.3, ["C"]).collect()}
-    assert filled["c"] == (3.3, True) and filled["d"] == (4.4, None)
-    both = {r.A: (r.C, r.D) for r in rel.fill_nulls(tutorial_df, {"C": 3.3, "D": False}).collect()}
-    assert both["d"] == (4.4, False)
-    rep = [r.B for r in rel.replace_values(tutorial_df, [3, 4, 5], [33, 44, None], ["B"]).orderBy("A").collect()]
-    assert rep == [1, 2, 33, 44, None]
 
+@pytest.mark.parametrize("scale", [None, 2])
+def test_describe_of_no_rows(fleet_df, scale):
+    row = rel.describe_stats(fleet_df.limit(0), ["hours"], value_scale=scale).first()
+    assert (row["count"], row.mean, row.stddev, row["min"]) == (0, None, None, None)
 
-def test_describe_and_summary(tutorial_df):
-    stats = {r.column: r for r in rel.describe_stats(tutorial_df, ["B", "C"]).collect()}
-    assert stats["B"]["count"] == 5 and stats["C"]["count"] == 4
-    assert stats["B"].mean == 3.0 and stats["B"]["min"] == 1.0 and stats["B"]["max"] == 5.0
-    assert abs(stats["B"].stddev - 1.581139) < 1e-6
-    summary = {r.summary: r for r in tutorial_df.summary().collect()}
-    assert summary["50%"].B == "3"
 
+def test_describe_of_large_means_with_a_small_spread(spark):
+    values = [10_000_000_000.25 + k / 100 for k in range(1000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = rel.describe_stats(df, ["v"], value_scale=2).first()
+    assert got.stddev == pytest.approx(statistics.stdev(k / 100 for k in range(1000)), abs=1e-6)
 
-def test_distinct_and_dedup(tutorial_df):
-    assert rel.distinct_rows(tutorial_df, "D").count() == 3
+
+def test_quartiles_are_exact(spark):
+    rng = random.Random(4)
+    values = [rng.choice([3.0, 3.0, rng.uniform(-1e6, 1e6)]) for _ in range(3001)] + [None] * 5
+    df = spark.createDataFrame([(v, 7) for v in values], "v double, c int").repartition(5)
+    got = {r.column: tuple(r)[1:] for r in rel.quartiles(df, ["v", "c"]).collect()}
+    ordered = sorted(v for v in values if v is not None)
+    at = lambda k: ordered[-(-k * len(ordered) // 4) - 1]
+    assert got["v"] == (3001, ordered[0], at(1), at(2), at(3), ordered[-1])
+    assert got["c"] == (3006, 7.0, 7.0, 7.0, 7.0, 7.0)
+    assert tuple(rel.quartiles(df.where("v IS NULL"), ["v"]).first()) == ("v", 0, None, None, None, None, None)
+
+
+def test_distinct_and_dedup(fleet_df):
+    assert rel.distinct_rows(fleet_df, "wet").count() == 3
     from wrenchcast.operators.matrix import first_row_per_key
-    got = {r.D: r.A for r in first_row_per_key(tutorial_df, ["D"], ["A"]).collect()}
-    assert got == {True: "a", False: "b", None: "d"}
+    got = {r.wet: r.reg for r in first_row_per_key(fleet_df, ["wet"], ["reg"]).collect()}
+    assert got == {True: "zk-b", False: "zk-a", None: "zk-c"}
 
 
-def test_fold_and_global(tutorial_df):
-    assert rel.fold_sum(tutorial_df, "B").first().total == 15
-    assert rel.global_agg(tutorial_df).first()["count"] == 5
+def test_fold_and_global(fleet_df):
+    assert rel.fold_sum(fleet_df, "legs").first().total == 171
+    assert rel.global_agg(fleet_df).first()["count"] == 6
 
 
-def test_struct_round_trip(tutorial_df):
-    keyed = ky.add_surrogate_key(tutorial_df, "Key")
-    packed = rel.pack_struct(keyed, "Value", ["A", "B", "C", "D"], keep=["Key"])
+def test_struct_round_trip(fleet_df):
+    keyed = ky.add_surrogate_key(fleet_df, "Key")
+    packed = rel.pack_struct(keyed, "Value", fleet_df.columns, keep=["Key"])
     back = rel.unpack_struct(packed, "Value", keep=["Key"]).drop("Key")
-    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, tutorial_df.collect()), key=str)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, fleet_df.collect()), key=str)
 
 
 def test_surrogate_key_unique(spark):
@@ -100,6 +119,38 @@ def test_row_number_is_global_and_consecutive(spark, parts):
     assert sorted((r.rn, r.v, r.id) for r in got) == [(i + 1, v, k) for i, (v, k) in enumerate(expected)]
 
 
+@pytest.mark.parametrize("name", ["sql_join_group_order", "sql_avg_group"])
+def test_sql_order_by_is_the_order_of_the_rows(spark, name):
+    from wrenchcast.plans.registry import QUERIES
+    from .conftest import SF_SMALL
+    numbers = [r.row_num for r in QUERIES[name](spark, SF_SMALL).collect()]
+    assert numbers == list(range(1, len(numbers) + 1)) and len(numbers) > 3
+
+
+def test_small_fractions_draw_their_share(spark):
+    df = spark.range(0, 2_000_000)
+    for fraction in (1e-3, 1e-4, 4e-5, 5e-6):
+        for method in ("xxhash64", "md5"):
+            n = smp.hash_sample(df, "id", fraction, seed=5, method=method).count()
+            mean = 2_000_000 * fraction
+            assert abs(n - mean) < 6 * mean ** 0.5 + 1, (fraction, method, n)
+    assert smp.threshold(1e-7) > 0
+    test = smp.hash_split_column(df, "id", (0.99996, 0.00004), seed=1).where("split = 'test'").count()
+    assert 40 < test < 140
+
+
+@pytest.mark.parametrize("weights", [(), (0.0, 0.0), (1.0, -0.5), (float("nan"), 1.0), (float("inf"), 1.0)])
+def test_split_weights_are_checked(spark, weights):
+    with pytest.raises(ValueError):
+        smp.hash_split_column(spark.range(3), "id", weights, [f"s{i}" for i in range(len(weights))])
+
+
+def test_cross_count_of_empty_inputs(spark):
+    empty = spark.range(0)
+    assert rel.cross_product_count(empty, empty).first().n_pairs == 0
+    assert rel.cross_product_count(empty, spark.range(5)).first().n_pairs == 0
+
+
 def test_top_k_is_bounded(spark):
     df = spark.range(0, 1000, numPartitions=4)
     out = rel.top_k(df, [F.desc("id")], 3)
@@ -137,18 +188,19 @@ def test_safe_cast(spark):
     assert [r.v for r in rel.cast_columns(df, {"v": "int"}).collect()] == [1, None]
 
 
-def test_rows_transforms_match_python(tutorial_df):
-    rows = tutorial_df.orderBy("A").collect()
-    then = [F.col("A"), F.col("B") - 1, F.col("B") * 2, F.col("D")]
-    mapped = rw.map_rows(tutorial_df, F.col("D"), then, [None, "X", "Y", "Z"], ["c1", "c2", "c3", "c4"],
-                         keep=["A"]).orderBy("A").collect()
-    py = [(r.A, str(r.B - 1), str(r.B * 2), "true") if r.D else (None, "X", "Y", "Z") for r in rows]
+def test_rows_transforms_match_python(fleet_df):
+    rows = fleet_df.orderBy("reg").collect()
+    then = [F.col("reg"), F.col("legs") + 5, F.col("legs") * 3, F.col("wet")]
+    other = [None, "none", "dry", "-"]
+    mapped = rw.map_rows(fleet_df, F.col("wet"), then, other, ["c1", "c2", "c3", "c4"],
+                         keep=["reg"]).orderBy("reg").collect()
+    py = [(r.reg, str(r.legs + 5), str(r.legs * 3), "true") if r.wet else tuple(other) for r in rows]
     assert [(m.c1, m.c2, m.c3, m.c4) for m in mapped] == py
-    nullable = rw.map_rows_nullable(tutorial_df, F.col("D"), then, ["c1", "c2", "c3", "c4"], keep=["A"]) \
-        .orderBy("A").collect()
-    assert [m.row is None for m in nullable] == [not r.D for r in rows]
-    flat = rw.flat_map(tutorial_df, F.col("D"), [F.col("A"), F.col("A")], keep=["A"]).collect()
-    assert sorted(f.value for f in flat) == sorted(x for r in rows if r.D for x in (r.A, r.A))
+    nullable = rw.map_rows_nullable(fleet_df, F.col("wet"), then, ["c1", "c2", "c3", "c4"], keep=["reg"]) \
+        .orderBy("reg").collect()
+    assert [m.row is None for m in nullable] == [not r.wet for r in rows]
+    flat = rw.flat_map(fleet_df, F.col("wet"), [F.col("reg"), F.col("reg")], keep=["reg"]).collect()
+    assert sorted(f.value for f in flat) == sorted(x for r in rows if r.wet for x in (r.reg, r.reg))
 
 
 def test_hash_split_is_a_partition_independent_of_layout(spark):
@@ -179,14 +231,14 @@ def test_partition_control(spark):
     assert sum(r.rows for r in sizes) == 1000 and len(sizes) == 4
 
 
-def test_bounded_actions(tutorial_df):
-    cached = tutorial_df.cache()
+def test_bounded_actions(fleet_df):
+    cached = fleet_df.cache()
     try:
-        assert cached.first().A == "a"
-        assert [r.A for r in cached.take(3)] == ["a", "b", "c"]
-        assert [r.A for r in cached.head(3)] == ["a", "b", "c"]
-        assert [r.A for r in cached.tail(3)] == ["c", "d", "e"]
-        assert len(cached.collect()) == 5
+        assert cached.first().reg == "zk-a"
+        assert [r.reg for r in cached.take(2)] == ["zk-a", "zk-b"]
+        assert [r.reg for r in cached.head(2)] == ["zk-a", "zk-b"]
+        assert [r.reg for r in cached.tail(2)] == ["zk-e", "zk-f"]
+        assert len(cached.collect()) == 6
         assert not cached.isEmpty()
     finally:
         cached.unpersist()

@@ -18,7 +18,7 @@ AIRCRAFT_PARTS = (2, 3)
 PREDICTION_TEXT = {0.0: "No maintenance", 1.0: "Maintenance"}
 # Sensor file names: ``ddMMyy-FROM-TO-nnnn-XX-XXX.csv``; the aircraft id is the
 # 5th and 6th '-'-separated parts with the extension removed.
-FILE_ID_PARTS = (5, 6)
+FILE_NAME_PATTERN = r"^[^-]+-[^-]+-[^-]+-[^-]+-([^-]{2}-[^-]{3})\.csv\z"
 
 
 def _col(c) -> Column:
@@ -46,12 +46,10 @@ def parse_iso_day(text) -> Column:
 
 
 def asset_from_file_name(name) -> Column:
-    """Aircraft id from a sensor file name, e.g. ``...-XY-SHM.csv`` -> ``XY-SHM``."""
-    name = _col(name)
-    first, second = FILE_ID_PARTS
-    tail = F.split_part(name, F.lit("-"), F.lit(second))
-    return F.concat_ws("-", F.split_part(name, F.lit("-"), F.lit(first)),
-                       F.split_part(tail, F.lit("."), F.lit(1)))
+    """Aircraft id from a sensor file name, e.g. ``...-XY-SHM.csv`` -> ``XY-SHM``;
+    null when the whole name is not of the fixed form, so that no badly named
+    files merge into an aircraft that does not exist."""
+    return F.nullif(F.regexp_extract(_col(name), FILE_NAME_PATTERN, 1), F.lit(""))
 
 
 def _parts_pattern(lengths) -> str:
@@ -85,7 +83,7 @@ def decode_prediction(prediction) -> Column:
             .when(p.isNotNull(), F.lit(PREDICTION_TEXT[1.0])))
 
 
-def exact_sum(c, scale: int | None, precision: int = 18) -> Column:
+def exact_sum(c, scale: int | None) -> Column:
     """Sum of a double column.
 
     With ``scale`` (inputs carry at most that many decimals, like money or
@@ -97,7 +95,9 @@ def exact_sum(c, scale: int | None, precision: int = 18) -> Column:
     The sum must stay below 2^63 units. It is never silently wrong: with ANSI
     mode (Spark 4's default) an overflow raises; in a session with ANSI off,
     where ``sum`` would wrap around, ``try_sum`` is used and an overflow gives
-    null. ``precision`` is kept for the DECIMAL form's callers.
+    null. The sum itself is exact; as a double it has 53 bits, so above 2^53
+    units the result is the nearest double. Values with more decimals than
+    ``scale`` are rounded to it (``excess_decimals`` finds them).
     """
     c = _col(c)
     if scale is None:
@@ -107,6 +107,11 @@ def exact_sum(c, scale: int | None, precision: int = 18) -> Column:
     return (F.sum(units) if _ansi_enabled() else F.try_sum(units)) / F.lit(unit)
 
 
+def excess_decimals(c, scale: int) -> Column:
+    """True for values that ``exact_sum`` with this scale would round."""
+    return F.coalesce(F.round(_col(c), scale) != _col(c), F.lit(False))
+
+
 def _ansi_enabled() -> bool:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()

@@ -10,6 +10,7 @@ its own and the written tables cut the lineage between stages.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,16 +56,15 @@ def matrix_for_record(spark: SparkSession, sensor_folder: str, warehouse_url: st
     computed it for a single record (nothing is written).
 
     Every restriction reaches its source: only the asset's sensor files are
-    opened (file-name glob), the KPI query carries the asset and day
-    (pushed to the database), and only the asset's interruptions in
-    [day, day + horizon] are kept.
+    opened (file-name glob), and the KPI and interruption queries carry the
+    asset with the day and [day, day + horizon] to their databases.
     """
     the_day = F.lit(day).cast("date")
+    last_day = dt.date.fromisoformat(str(day)[:10]) + dt.timedelta(days=horizon_days)
     readings = read_readings(spark, sensor_folder, asset_id=asset_id).where(F.col("day") == the_day)
     kpis = read_kpis(spark, warehouse_url, warehouse_props, table=kpi_table, asset_id=asset_id, day=day)
-    events = (read_interruptions(spark, events_url, events_props, table=event_table)
-              .where((F.col("asset_id") == asset_id)
-                     & F.col("event_day").between(the_day, F.date_add(the_day, horizon_days))))
+    events = read_interruptions(spark, events_url, events_props, table=event_table, asset_id=asset_id,
+                                first_day=day, last_day=last_day)
     return build_matrix(readings, kpis, events, horizon_days=horizon_days)
 
 
@@ -102,20 +102,27 @@ def run_classifier(spark: SparkSession, requests: DataFrame, matrix_path: str, r
     """Score requests against the stored daily table with the chosen saved
     pipeline. ``valid`` replaces the default request-format check."""
     model = RunRegistry(spark, registry_root).load_best_model(experiment, choice, idx)
+    requests = requests.persist()  # read for its days now and by the join when the caller runs the result
     daily = daily_for_requests(requests, spark.read.parquet(daily_path(matrix_path)))
     return score_requests(complete_requests_daily(requests, daily, valid), model)
 
 
-def run_stages(spark: SparkSession, stage: str, sources: Sources, matrix_path: str, registry_root: str,
-               experiment: str, requests: DataFrame | None = None, choice: str | None = None,
+def run_stages(spark: SparkSession, stage: str, sources: Sources | None, matrix_path: str, registry_root: str,
+               experiment: str, requests: DataFrame | None = None, choice: str | None = None, idx: int = 0,
+               horizon_days: int = 7, value_scale: int | None = None, valid: Column | None = None,
                **train_options) -> DataFrame | None:
-    """Run ``stage`` and, like the reference, every later stage for ``all``."""
+    """Run ``stage`` and what follows it, like the reference: ``all`` runs the
+    three stages, ``analysis`` goes on to the classifier, ``management`` and
+    ``classifier`` stand alone. Only the management stage reads ``sources``. The
+    classifier scores ``requests``; without any, its result is None."""
     if stage not in STAGES:
         raise ValueError(f"stage must be one of {STAGES}")
     if stage in ("all", "management"):
-        run_management(sources, matrix_path)
+        if sources is None:
+            raise ValueError(f"stage {stage!r} needs sources")
+        run_management(sources, matrix_path, horizon_days, value_scale)
     if stage in ("all", "analysis"):
         run_analysis(spark, matrix_path, registry_root, experiment, **train_options)
-    if stage in ("all", "classifier") and requests is not None:
-        return run_classifier(spark, requests, matrix_path, registry_root, experiment, choice)
+    if stage != "management" and requests is not None:
+        return run_classifier(spark, requests, matrix_path, registry_root, experiment, choice, idx, valid)
     return None

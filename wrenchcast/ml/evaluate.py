@@ -26,7 +26,7 @@ def summary_metrics(scored: DataFrame, label_col: str = "label", prediction_col:
     per = per_class_counts(scored, label_col, prediction_col)
     n = F.sum("support")
     return per.agg(
-        n.alias("n"),
+        F.coalesce(n, F.lit(0)).alias("n"),
         F.round(F.sum("correct") / n, 6).alias("accuracy"),
         F.round(F.sum(F.col("support") * (F.col("correct") / F.col("support"))) / n, 6).alias("weighted_recall"),
         F.round(F.max(F.when(F.col("label") == F.lit(positive), F.col("correct") / F.col("support"))), 6)

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 
+#: Values of the hashed asset feature.
+HASHED_ASSETS = 1 << 20
+
 NUMERIC_FEATURES = ["avg_sensor", "flighthours", "flightcycles", "delayedminutes"]
 
 
@@ -26,8 +29,9 @@ def feature_pipeline(date_feature: str = "calendar", handle_invalid: str = "skip
     asset_feature:
       ``category`` (default, as in the reference): the asset index is a
       nominal feature, so trees need ``maxBins`` > number of assets;
-      ``continuous``: the same index (assets by frequency) as a number, for
-      fleets too large for one bin per asset;
+      ``continuous``: a hash of the asset as a number, for fleets too large for
+      one bin per asset; it needs no vocabulary, neither on the driver nor in
+      the saved model;
       ``none``: no asset feature.
     """
     prep = SQLTransformer(statement=(
@@ -40,9 +44,9 @@ def feature_pipeline(date_feature: str = "calendar", handle_invalid: str = "skip
     if asset_feature == "category":
         inputs = ["feat_asset_index"]
     elif asset_feature == "continuous":
-        # A new column from an expression carries no nominal metadata.
-        stages.append(SQLTransformer(statement="SELECT *, feat_asset_index + 0.0 AS feat_asset_rank FROM __THIS__"))
-        inputs = ["feat_asset_rank"]
+        stages = [prep, SQLTransformer(statement=(
+            f"SELECT *, CAST(pmod(xxhash64(feat_asset), {HASHED_ASSETS}) AS DOUBLE) AS feat_asset_hash FROM __THIS__"))]
+        inputs = ["feat_asset_hash"]
     elif asset_feature == "none":
         stages = stages[:1]
         inputs = []

@@ -64,13 +64,11 @@ class RunRegistry:
         """All logged runs; an empty table when nothing is logged yet."""
         try:
             return self.spark.read.schema(RUNS).parquet(self.runs_path)
-        except AnalysisException:
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], RUNS)
 
-    def experiment(self, name: str) -> str:
-        """Create-or-load is implicit: an experiment is the set of rows with its name."""
-        return name
-
     def log_run(self, experiment: str, model: PipelineModel, model_class: str, metrics: dict,
                 params: dict) -> str:
         """Save the fitted pipeline and append one run row."""
@@ -80,18 +78,18 @@ class RunRegistry:
         row = (run_id, experiment, model_class, float(metrics["accuracy"]), float(metrics["weighted_recall"]),
                None if metrics.get("recall_positive") is None else float(metrics["recall_positive"]),
                int(params["num_features"]), int(params["max_depth"]), int(params["max_bins"]), path,
-               dt.datetime.now())
+               dt.datetime.now(), params.get("skipped_rows"), params.get("skipped_test_rows"),
+               params.get("dropped_bins"))
         self.spark.createDataFrame([row], RUNS).write.mode("append").parquet(self.runs_path)
         return run_id
 
-    def best(self, experiment: str | None = None, choice: str | None = None, idx: int = 0,
-             k: int = 2) -> DataFrame:
+    def best(self, experiment: str | None = None, choice: str | None = None, k: int = 2) -> DataFrame:
         """Top-k runs of the experiment, filtered by model class."""
         return top_runs(self.runs(), k, model_class_filter(choice), experiment)
 
     def load_best_model(self, experiment: str | None = None, choice: str | None = None,
                         idx: int = 0) -> PipelineModel:
-        rows = self.best(experiment, choice, idx, k=idx + 1).where(F.col("rank") == idx + 1) \
+        rows = self.best(experiment, choice, k=idx + 1).where(F.col("rank") == idx + 1) \
             .select("model_path").collect()
         if not rows:
             raise LookupError("no run matches the selection")

@@ -25,6 +25,9 @@ STATUS_OK = "ok"
 STATUS_INCOMPLETE = "incomplete"
 STATUS_EXIT = "exit"
 
+#: Requested days that a filter lists one by one (about ten years).
+MAX_LISTED_DAYS = 4000
+
 
 def _any_null(cols) -> Column:
     out = F.lit(False)
@@ -57,15 +60,20 @@ def complete_requests_daily(requests: DataFrame, daily: DataFrame, valid: Column
 
 
 def daily_for_requests(requests: DataFrame, daily: DataFrame, day_text_col: str = "day") -> DataFrame:
-    """The part of a (day-partitioned) daily table a request frame can match:
-    days between the earliest and latest requested day. One small aggregate
-    over the requests gives the two bounds; the filter on the partition
-    column then prunes folders at the scan."""
-    bounds = requests.select(parse_iso_day(F.col(day_text_col)).alias("d")) \
-        .agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
-    if bounds["lo"] is None:
+    """The part of a (day-partitioned) daily table a request frame can match.
+
+    The distinct requested days, at most ``MAX_LISTED_DAYS`` of them, become a
+    filter on the partition column, so that only their folders are read, whatever
+    stray day a request names. A frame with more days reads all that lie between
+    its first and last."""
+    days = requests.select(parse_iso_day(F.col(day_text_col)).alias("d")).where("d IS NOT NULL").distinct()
+    listed = [r["d"] for r in days.limit(MAX_LISTED_DAYS + 1).collect()]
+    if not listed:
         return daily.where(F.lit(False))
-    return daily.where(F.col("day").between(F.lit(bounds["lo"]), F.lit(bounds["hi"])))
+    if len(listed) <= MAX_LISTED_DAYS:
+        return daily.where(F.col("day").isin(listed))
+    ends = days.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
+    return daily.where(F.col("day").between(F.lit(ends["lo"]), F.lit(ends["hi"])))
 
 
 def _complete(requests: DataFrame, sides: list[DataFrame], valid: Column | None, day_text_col: str) -> DataFrame:

@@ -59,6 +59,8 @@ def split_matrix(matrix: DataFrame, seed: int = DEFAULT_SEED, test_fraction: flo
     """Train / test rows. By key hash by default; by time when ``first_test_day``
     is given; ``method='random'`` is the reference's ``randomSplit``, whose rows
     change with the partitioning of the matrix."""
+    if method == "random" and first_test_day is not None:
+        raise ValueError("a split by day is not random: give first_test_day or method='random', not both")
     if method == "random":
         train, test = matrix.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
         return train, test
@@ -72,36 +74,53 @@ def split_matrix(matrix: DataFrame, seed: int = DEFAULT_SEED, test_fraction: flo
     return train, test
 
 
+def skipped_rows(split: DataFrame, date_feature: str, asset_feature: str) -> tuple[int, int]:
+    """Rows of a split and how many of them the assembler skips, in one pass.
+
+    A null asset or, as a category, a null day is an index of its own and is
+    kept; a null day has no calendar, and a null number has no value.
+    """
+    needed = NUMERIC_FEATURES + (["day"] if date_feature == "calendar" else [])
+    any_null = F.lit(False)
+    for c in needed:
+        any_null = any_null | F.col(c).isNull()
+    counts = split.agg(F.count(F.lit(1)).alias("rows"),
+                       F.coalesce(F.sum(any_null.cast("long")), F.lit(0)).alias("skipped")).first()
+    return int(counts["rows"]), int(counts["skipped"])
+
+
 def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), depths=DEFAULT_DEPTHS,
                  bins=DEFAULT_BINS, folds: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED,
                  test_fraction: float = DEFAULT_TEST_FRACTION, date_feature: str = "calendar",
                  parallelism: int = 4, first_test_day=None,
-                 asset_feature: str = "category", split_method: str = "hash") -> list[TrainedModel]:
+                 asset_feature: str = "category", split_method: str = "hash",
+                 on_unusable_bins: str = "error") -> list[TrainedModel]:
     """Fit every model class over the grid with k-fold CV; evaluate the best
     of each on the held-out rows.
 
     A tree needs ``maxBins`` >= the number of values of every categorical
     feature (assets + 1 for unseen ones; days with ``date_feature='index'``).
-    Grid points below that are left out up front instead of failing inside a
-    fit; if none is left a ValueError names the needed value.
+    Grid points below that raise a ValueError that names the needed value; with
+    ``on_unusable_bins='drop'`` they are left out, and each run records which
+    (``dropped_bins``). Rows the assembler skips for a null in any feature are
+    counted for the training and the test split and recorded with the run.
     """
+    if on_unusable_bins not in ("error", "drop"):
+        raise ValueError("on_unusable_bins must be 'error' or 'drop'")
     train, test = split_matrix(matrix, seed, test_fraction, first_test_day, split_method)
-    # Rows the assembler skips (a null feature), counted in one pass over the training split.
-    any_null = F.lit(False)
-    for c in NUMERIC_FEATURES:
-        any_null = any_null | F.col(c).isNull()
-    counts = train.agg(F.count(F.lit(1)).alias("rows"), F.sum(any_null.cast("int")).alias("skipped")).first()
-    if not counts["rows"]:
+    rows, skipped = skipped_rows(train, date_feature, asset_feature)
+    if not rows:
         raise ValueError("the training split is empty; use more rows, another test_fraction or a later "
                          "first_test_day")
-    skipped = counts["skipped"] or 0
+    _, skipped_test = skipped_rows(test, date_feature, asset_feature)
     features = feature_pipeline(date_feature, asset_feature=asset_feature).fit(train)
     sizes = category_sizes(features)
     if asset_feature != "category":
         sizes.pop("feat_asset_index", None)
     needed = max(sizes.values(), default=2)
     usable_bins = [b for b in bins if b >= needed]
-    if not usable_bins:
+    dropped_bins = [b for b in bins if b < needed]
+    if not usable_bins or (dropped_bins and on_unusable_bins == "error"):
         raise ValueError(f"maxBins must be >= {needed} (values of the largest categorical feature); "
                          f"grid has {list(bins)}; for large fleets use asset_feature='continuous'")
     width = feature_width(features)
@@ -125,7 +144,8 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
                 raise ValueError("the test split is empty; use more rows, another test_fraction or an earlier "
                                  "first_test_day")
             params = {"num_features": width, "max_depth": best.getOrDefault("maxDepth"),
-                      "max_bins": best.getOrDefault("maxBins"), "skipped_rows": int(skipped)}
+                      "max_bins": best.getOrDefault("maxBins"), "skipped_rows": skipped,
+                      "skipped_test_rows": skipped_test, "dropped_bins": ",".join(map(str, dropped_bins))}
             results.append(TrainedModel(type(best).__name__, PipelineModel(features.stages + [best]),
                                         metrics, params))
     finally:

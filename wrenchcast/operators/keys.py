@@ -10,7 +10,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wrenchcast.session import ensure_checkpoint_dir
+from wrenchcast.session import write_table
 
 
 def add_surrogate_key(df: DataFrame, name: str = "key") -> DataFrame:
@@ -32,18 +32,17 @@ def add_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "ro
       4. number = offset of the partition + position inside it.
     The range bounds come from a sample whose seed depends on the plan, so
     two branches planning their own exchange could cut partitions
-    differently. The numbered partitions are therefore written once with a
-    reliable checkpoint (to the cluster's shared ``spark.checkpoint.dir``)
-    and both branches read that copy; a lost executor re-reads it instead
-    of re-sampling.
+    differently. The numbered partitions are therefore written once, as a
+    table in the cluster's shared ``spark.checkpoint.dir``, and both branches
+    read that copy: the counts only its two number columns, and a query that
+    needs few columns only those; a lost executor reads it again instead of
+    re-sampling. Without ``num_partitions`` the cluster's shuffle partitions are
+    the start and AQE merges small neighbours, which keeps their order.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    dealt = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ranged = write_table(dealt.sortWithinPartitions(*order)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_base"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", "_base", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

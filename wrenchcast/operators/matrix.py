@@ -23,7 +23,7 @@ gives the same result with one scan and one shuffle (see its docstring).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wrenchcast.functions.scalar import exact_avg
@@ -51,18 +51,22 @@ def first_row_per_key(df: DataFrame, keys: list[str], order_by: list[str] | None
     """Deterministic ``dropDuplicates(keys)``.
 
     Keeps, per key, the row that is smallest by ``order_by`` then by the
-    remaining columns (nulls first). Implemented as ``min(struct(...))`` so it
-    is a partial + final aggregation: a hot key is reduced map-side instead of
-    being sorted whole inside one window partition.
+    remaining columns (nulls first). ``row_number() = 1`` plans as a window group
+    limit: each task keeps the first row per key before the shuffle, so a hot key
+    ships one row per task. (``min(struct(...))`` plans as a sort aggregate, which
+    sorts as well and carries every column in its buffer.)
     """
     order_by = list(order_by or [])
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
     ordered = order_by + [c for c in rest if c not in order_by]
-    packed = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(ordered)])
-    best = df.groupBy(*keys).agg(F.min(packed).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best._{ordered.index(c)}").alias(c) for c in rest])
+    first = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in ordered])
+    rank = "_first_row"
+    while rank in df.columns:
+        rank = "_" + rank
+    return (df.withColumn(rank, F.row_number().over(first)).where(F.col(rank) <= 1)
+            .select(*keys, *rest))
 
 
 def label_days(interruptions: DataFrame, horizon_days: int = DEFAULT_HORIZON_DAYS,
@@ -98,62 +102,47 @@ def label_within_horizon(matrix: DataFrame, interruptions: DataFrame,
             .drop("_hit"))
 
 
-# Events of one (asset, day) that one task joins before the key is split.
-EVENTS_PER_TASK = 1 << 20
+# Equal pairs that one task writes at a time.
+PAIRS_PER_CHUNK = 1 << 20
 
 
 def band_join_left(matrix: DataFrame, interruptions: DataFrame,
                    horizon_days: int = DEFAULT_HORIZON_DAYS,
-                   events_per_task: int = EVENTS_PER_TASK) -> DataFrame:
+                   pairs_per_chunk: int = PAIRS_PER_CHUNK) -> DataFrame:
     """Every (row, interruption) pair with the event in [day, day + horizon].
 
     Left outer: a row without event is kept once with a null ``event_day``.
-    The band condition is rewritten to an equi-join on (asset_id, day): each
-    event is copied to the ``horizon + 1`` days it covers, so no pair outside
-    the band is ever formed.
-
-    Skew: one (asset, day) may receive a third of all events, and a left
-    join cannot split its non-preserved side. So the events of each key are
-    counted first (a partial aggregate), a key with ``n`` events gets
-    ``s = ceil(n / events_per_task)`` salts, its matrix row is copied ``s``
-    times and its events are dealt over the salts by their row position
-    (fixed at the scan, so it is the same on a re-run). The pair join is then
-    on (asset_id, day, salt): no task holds more than about
-    ``events_per_task`` events of one key. Cold keys keep one salt. Copies
-    of a key that received no event are dropped, so each row without any
-    event still appears exactly once.
+    Events are first reduced to (asset, event day, how many), a partial
+    aggregate, and each such row is copied to the ``horizon + 1`` days it covers,
+    so the band condition is an equi-join on (asset_id, day) in which a key has
+    at most ``horizon + 1`` rows, however many events it received. Only
+    then are rows repeated as often as there were events, in chunks that a hash
+    of key and chunk number deals over the tasks.
     """
-    if events_per_task < 1:
-        raise ValueError("events_per_task must be >= 1")
+    if pairs_per_chunk < 1:
+        raise ValueError("pairs_per_chunk must be >= 1")
     e = F.col("event_day")
-    spread = (interruptions.where(e.isNotNull() & F.col("asset_id").isNotNull())
-              .select("asset_id", e, F.explode(F.sequence(F.date_sub(e, horizon_days), e)).alias("day")))
-    # Used by both sides below; Spark plans it twice (the inner join adds inferred
-    # not-null filters), which re-reads only the interruption events, a small input.
-    counts = spread.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-
-    def n_salts(n):
-        return F.ceil(n / F.lit(events_per_task)).cast("int")
-
-    cols = matrix.columns
-    left = (matrix.join(counts, KEYS, "left")
-            .select(*cols, F.coalesce(F.col("_n"), F.lit(0)).alias("_n"),
-                    F.explode(F.sequence(F.lit(0), F.coalesce(n_salts(F.col("_n")), F.lit(1)) - 1)).alias("_salt")))
-    right = (spread.withColumn("_row", F.monotonically_increasing_id())
-             .join(counts, KEYS, "inner")
-             .select(*KEYS, e, F.pmod(F.col("_row"), n_salts(F.col("_n")).cast("bigint")).cast("int").alias("_salt")))
-    paired = left.join(right, KEYS + ["_salt"], "left")
-    return paired.where(e.isNotNull() | (F.col("_n") == 0)).select(*cols, "event_day")
+    counted = (interruptions.where(e.isNotNull() & F.col("asset_id").isNotNull())
+               .groupBy("asset_id", "event_day").agg(F.count(F.lit(1)).alias("_n")))
+    spread = counted.select("asset_id", e, "_n", F.explode(F.sequence(F.date_sub(e, horizon_days), e)).alias("day"))
+    joined = matrix.join(spread, KEYS, "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
+    last = F.floor((F.col("_n") - 1) / F.lit(pairs_per_chunk)).cast("long")
+    chunks = (joined.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+              .repartition(*KEYS, "event_day", "_chunk"))
+    here = F.least(F.col("_n") - F.col("_chunk") * pairs_per_chunk, F.lit(pairs_per_chunk).cast("long"))
+    return (chunks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), here)))
+            .select(*matrix.columns, "event_day"))
 
 
 def build_matrix(readings: DataFrame, kpis: DataFrame, interruptions: DataFrame,
                  horizon_days: int = DEFAULT_HORIZON_DAYS, include_today: bool = True,
-                 value_scale: int | None = None, observed_until=None) -> DataFrame:
+                 value_scale: int | None = None, observed_until=None, unique_kpis: bool = False) -> DataFrame:
     """The management job (K1) as one DataFrame plan.
 
     readings:      asset_id, day, value             (many per key)
     kpis:          asset_id, day, flighthours, flightcycles, delayedminutes
-                   (one per key expected; duplicates resolved deterministically)
+                   (duplicates resolved deterministically; ``unique_kpis`` says that the
+                   source has one row per key, which saves that step)
     interruptions: asset_id, event_day
 
     ``observed_until`` (a date): drop rows whose horizon reaches past the end
@@ -161,8 +150,9 @@ def build_matrix(readings: DataFrame, kpis: DataFrame, interruptions: DataFrame,
     (right-censoring); by default rows are kept as in the reference.
     """
     sensor = daily_average(readings, value_scale)
-    daily_kpis = first_row_per_key(
-        kpis.select(*KEYS, "flighthours", "flightcycles", "delayedminutes"), KEYS)
+    daily_kpis = kpis.select(*KEYS, "flighthours", "flightcycles", "delayedminutes")
+    if not unique_kpis:
+        daily_kpis = first_row_per_key(daily_kpis, KEYS)
     matrix = sensor.join(daily_kpis, KEYS, "inner")
     if observed_until is not None:
         matrix = matrix.where(F.date_add(F.col("day"), horizon_days) <= F.lit(observed_until).cast("date"))

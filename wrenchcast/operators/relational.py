@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -181,7 +181,8 @@ def cross_product_count(left: DataFrame, right: DataFrame) -> DataFrame:
     both inputs; no join and no pair is formed."""
     tagged = (left.select(F.lit(1).alias("_l"), F.lit(0).alias("_r"))
               .unionByName(right.select(F.lit(0).alias("_l"), F.lit(1).alias("_r"))))
-    return tagged.agg((F.sum("_l") * F.sum("_r")).alias("n_pairs"))
+    n = [F.coalesce(F.sum(c), F.lit(0)) for c in ("_l", "_r")]
+    return tagged.agg((n[0] * n[1]).alias("n_pairs"))
 
 
 # --------------------------------------------------------------------------
@@ -215,9 +216,10 @@ def describe_stats(df: DataFrame, cols: Sequence[str], value_scale: int | None =
     row is then turned into one row per column (explode of an array of
     structs). Without ``value_scale`` mean and stddev are Spark's
     numerically stable ``avg`` / ``stddev_samp``. With ``value_scale`` (inputs
-    with that many decimals) the sums of values (integer units) and of
-    squares (DECIMAL) are exact, so the numbers do not depend on task order, and mean and
-    stddev are rounded to 6 digits.
+    with that many decimals) the sums of units and of their squares are exact
+    DECIMALs, and the variance's numerator n*q - s*s is taken in DECIMAL too, so
+    nothing cancels and nothing depends on task order; mean and stddev are
+    rounded to 6 digits.
     """
     aggs = []
     for i, c in enumerate(cols):
@@ -227,7 +229,9 @@ def describe_stats(df: DataFrame, cols: Sequence[str], value_scale: int | None =
             aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"sd{i}")]
         else:
             d = F.col(c).cast(f"decimal(18,{value_scale})")
-            aggs += [exact_sum(c, value_scale).alias(f"s{i}"), F.sum(d * d).cast("double").alias(f"q{i}")]
+            units = (d * F.lit(10 ** value_scale)).cast("decimal(18,0)")
+            aggs += [exact_sum(c, value_scale).alias(f"s{i}"), F.sum(units).cast("decimal(38,0)").alias(f"u{i}"),
+                     F.sum(units * units).cast("decimal(38,0)").alias(f"q{i}")]
     wide = df.agg(*aggs)
     parts = []
     for i, c in enumerate(cols):
@@ -235,15 +239,55 @@ def describe_stats(df: DataFrame, cols: Sequence[str], value_scale: int | None =
         if value_scale is None:
             mean, std = F.col(f"m{i}"), F.col(f"sd{i}")
         else:
-            s, q = F.col(f"s{i}"), F.col(f"q{i}")
-            mean = F.round(s / n, 6)
-            var = (q - s * s / n) / (n - 1)
-            std = F.when(n > 1, F.round(F.sqrt(F.greatest(var, F.lit(0.0))), 6))
+            mean = F.round(F.col(f"s{i}") / F.nullif(n, F.lit(0)), 6)
+            # With s = whole * n + rest the sum of squared deviations is q - whole * (s + rest) - rest^2 / n,
+            # whose first two terms are exact and of the size of the result.
+            whole = F.floor(F.col(f"u{i}") / F.nullif(n, F.lit(0))).cast("decimal(38,0)")
+            rest = F.col(f"u{i}") - whole * n
+            spread = (F.col(f"q{i}") - whole * (F.col(f"u{i}") + rest)).cast("double") \
+                - rest.cast("double") * rest.cast("double") / F.nullif(n, F.lit(0))
+            std = F.when(n > 1, F.round(F.sqrt(spread / F.nullif(n - 1, F.lit(0))) / 10 ** value_scale, 6))
         parts.append(F.struct(F.lit(c).alias("column"), n.alias("count"), mean.alias("mean"),
                               std.alias("stddev"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max")))
     return wide.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
 
 
+def quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """count, min, q1, median, q3, max per column as typed rows.
+
+    Exact discrete quartiles: the smallest value at which at least a quarter,
+    half, three quarters of the non-null values are reached. Values are counted
+    per column first (a partial aggregate, so a value that fills a third of the
+    rows is one row per task). Their running sums come in two levels, within
+    buckets of the value range and over the buckets' totals, so no task sorts a
+    whole column.
+    """
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
+                                         for c in cols])).alias("r")).select("r.*").where("x IS NOT NULL")
+    counts = long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
+    ends = counts.groupBy("column").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("all"))
+    placed = counts.join(F.broadcast(ends), "column")  # one row per column
+    place = F.floor((F.col("x") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)) * _QUARTILE_BUCKETS)
+    placed = placed.withColumn("bucket", F.coalesce(place, F.lit(0)).cast("int"))
+    totals = placed.groupBy("column", "bucket").agg(F.sum("n").alias("in_bucket"))
+    before = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("column", "bucket", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("column", "bucket").orderBy("x")
+    ranked = (placed.join(F.broadcast(starts), ["column", "bucket"])
+              .withColumn("reached", F.col("before") + F.sum("n").over(inside)))
+    quarter = [F.min(F.when(F.col("reached") * 4 >= F.col("all") * k, F.col("x"))).alias(name)
+               for k, name in ((1, "q1"), (2, "median"), (3, "q3"))]
+    found = ranked.groupBy("column").agg(F.max("all").alias("count"), F.min("x").alias("min"), *quarter,
+                                         F.max("x").alias("max"))
+    names = df.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(cols)], "column string")
+    return names.join(found, "column", "left").select(
+        "column", F.coalesce("count", F.lit(0)).alias("count"), "min", "q1", "median", "q3", "max")
+
+
+#: Buckets of a column's value range in ``quartiles``.
+_QUARTILE_BUCKETS = 1024
+
+
 def distinct_rows(df: DataFrame, *cols: str) -> DataFrame:
     return (df.select(*cols) if cols else df).distinct()
 

@@ -15,10 +15,26 @@ from pyspark.sql import functions as F
 
 from wrenchcast.functions.scalar import hash_bucket
 
-RESOLUTION = 10_000
+#: Bits of the hash that are compared with a fraction: what a double holds exactly.
+HASH_BITS = 52
 
 
-def seeded_bucket(key: Column | str, seed: int, buckets: int = RESOLUTION, method: str = "xxhash64") -> Column:
+def seeded_uniform(key: Column | str, seed: int, method: str = "xxhash64") -> Column:
+    """A hash of the key as a whole number in [0, 2^52), to be compared with ``threshold(fraction)``."""
+    k = F.col(key) if isinstance(key, str) else key
+    if method == "xxhash64":
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), k), 64 - HASH_BITS)
+    if method == "md5":
+        digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(k.cast("string"), F.lit(""))))
+        return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
+    raise ValueError("method must be 'xxhash64' or 'md5'")
+
+
+def threshold(fraction: float) -> int:
+    return round(fraction * (1 << HASH_BITS))
+
+
+def seeded_bucket(key: Column | str, seed: int, buckets: int, method: str = "xxhash64") -> Column:
     k = F.col(key) if isinstance(key, str) else key
     if method == "xxhash64":
         return F.pmod(F.xxhash64(F.lit(seed), k), F.lit(buckets))
@@ -29,10 +45,13 @@ def seeded_bucket(key: Column | str, seed: int, buckets: int = RESOLUTION, metho
 
 def hash_sample(df: DataFrame, key: Column | str, fraction: float, seed: int = 0,
                 method: str = "xxhash64") -> DataFrame:
-    """Bernoulli-like sample without replacement, reproducible per key (H1)."""
+    """Bernoulli-like sample without replacement, reproducible per key (H1).
+
+    52 bits of the hash are compared with the fraction, so fractions of a billionth still draw their share.
+    """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
-    return df.where(seeded_bucket(key, seed, method=method) < F.lit(int(round(fraction * RESOLUTION))))
+    return df.where(seeded_uniform(key, seed, method) < F.lit(threshold(fraction)))
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int | None = None,
@@ -46,14 +65,16 @@ def hash_split_column(df: DataFrame, key: Column | str, weights: Sequence[float]
                       names: Sequence[str] = ("train", "test"), seed: int = 0,
                       name: str = "split", method: str = "xxhash64") -> DataFrame:
     """Label every row with its split (H2); no row is dropped."""
-    if len(weights) != len(names):
-        raise ValueError("one name per weight")
+    if len(weights) != len(names) or not weights:
+        raise ValueError("one name per weight, and at least one")
+    if any(not 0.0 <= w < float("inf") for w in weights) or not sum(weights):
+        raise ValueError("weights must be finite, not negative and not all zero")
     total = float(sum(weights))
-    bucket = seeded_bucket(key, seed, method=method)
+    uniform = seeded_uniform(key, seed, method)
     expr, acc = None, 0.0
     for w, n in zip(weights[:-1], names[:-1]):
         acc += w / total
-        cond = bucket < F.lit(int(round(acc * RESOLUTION)))
+        cond = uniform < F.lit(threshold(acc))
         expr = F.when(cond, F.lit(n)) if expr is None else expr.when(cond, F.lit(n))
     expr = F.lit(names[-1]) if expr is None else expr.otherwise(F.lit(names[-1]))
     return df.withColumn(name, expr)

@@ -31,8 +31,9 @@ def feature_matrix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 with three separate sources (sensor files, KPI table, interruption
     table in the domain); here each is a filtered view of ``events``."""
     ev = _events(spark, sf_dir)
+    # The KPI view is an aggregate by (asset, day), so its keys are unique.
     return mx.build_matrix(tb.readings(ev), tb.kpis(ev), tb.interruptions(ev),
-                           value_scale=VALUE_SCALE)
+                           value_scale=VALUE_SCALE, unique_kpis=True)
 
 
 def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:

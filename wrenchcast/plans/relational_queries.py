@@ -59,7 +59,7 @@ def derive_column(spark, sf_dir):
 
 def constant_column(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    return rel.with_constant(li, "constant", 666)
+    return rel.with_constant(li, "constant", 58)
 
 
 def surrogate_key(spark, sf_dir):
@@ -125,13 +125,13 @@ def dropna(spark, sf_dir):
 
 
 def fillna(spark, sf_dir):
-    df = rel.fill_nulls(_nullable(spark, sf_dir), 3.3, ["o_totalprice"])
+    df = rel.fill_nulls(_nullable(spark, sf_dir), 0.5, ["o_totalprice"])
     return rel.fill_nulls(df, {"o_orderstatus": "U"})
 
 
 def replace_values(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    return rel.replace_values(li, [3, 4, 5], [33, 44, None], ["l_linenumber"])
+    return rel.replace_values(li, [2, 5, 7], [20, None, 70], ["l_linenumber"])
 
 
 def _sql(spark, sf_dir, template: str, *names: str):
@@ -149,16 +149,18 @@ def sql_join_group_order(spark, sf_dir):
     return _sql(spark, sf_dir, SQL_JOIN_GROUP_ORDER, "orders", "customer", "nation")
 
 
+# row_num is the place that ORDER BY gives a row (a test compares it with the order of the collected rows).
 SQL_JOIN_GROUP_ORDER = """
-    SELECT n.n_name AS nation, c.c_mktsegment AS segment,
-           CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
-           count(*) AS n_orders
-    FROM {orders} o
-    JOIN {customer} c ON c.c_custkey = o.o_custkey
-    JOIN {nation} n ON n.n_nationkey = c.c_nationkey
-    WHERE n.n_regionkey = 1
-    GROUP BY n.n_name, c.c_mktsegment
-    ORDER BY total_price DESC"""
+    SELECT *, CAST(row_number() OVER (ORDER BY total_price DESC, nation, segment) AS BIGINT) AS row_num FROM (
+        SELECT n.n_name AS nation, c.c_mktsegment AS segment,
+               CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
+               count(*) AS n_orders
+        FROM {orders} o
+        JOIN {customer} c ON c.c_custkey = o.o_custkey
+        JOIN {nation} n ON n.n_nationkey = c.c_nationkey
+        WHERE n.n_regionkey = 1
+        GROUP BY n.n_name, c.c_mktsegment) g
+    ORDER BY total_price DESC, nation, segment"""
 
 
 # ----------------------------------------------------------------- joins
@@ -189,9 +191,11 @@ def cross_filter_join(spark, sf_dir):
 
 # ----------------------------------------------------------------- aggregations
 SQL_AVG_GROUP = """
-    SELECT o_orderpriority, o_orderstatus,
-           round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice), 6) AS avg_price
-    FROM {orders} GROUP BY o_orderpriority, o_orderstatus ORDER BY o_orderpriority, o_orderstatus"""
+    SELECT *, CAST(row_number() OVER (ORDER BY o_orderpriority, o_orderstatus) AS BIGINT) AS row_num FROM (
+        SELECT o_orderpriority, o_orderstatus,
+               round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice), 6) AS avg_price
+        FROM {orders} GROUP BY o_orderpriority, o_orderstatus) g
+    ORDER BY o_orderpriority, o_orderstatus"""
 
 
 def sql_avg_group(spark, sf_dir):
@@ -219,6 +223,10 @@ def describe_stats(spark, sf_dir):
     return rel.describe_stats(_nullable(spark, sf_dir), ["o_totalprice", "o_custkey"], value_scale=2)
 
 
+def quartiles(spark, sf_dir):
+    return rel.quartiles(_nullable(spark, sf_dir), ["o_totalprice", "o_custkey"])
+
+
 def distinct_rows(spark, sf_dir):
     return rel.distinct_rows(_nullable(spark, sf_dir), "o_orderstatus", "o_orderpriority")
 
@@ -276,10 +284,14 @@ def parse_date(spark, sf_dir):
 
 def split_key(spark, sf_dir):
     part = _t(spark, sf_dir, "part")
-    name = F.concat(F.concat_ws("-", F.lit("010615"), F.lit("RNS"), F.lit("PAE"),
+    name = F.concat(F.concat_ws("-", F.lit("070324"), F.lit("QQX"), F.lit("QQY"),
                                 F.lpad((F.col("p_partkey") % 10000).cast("string"), 4, "0"),
                                 F.upper(F.substring("p_type", 1, 2)),
                                 F.upper(F.substring("p_name", 1, 3))), F.lit(".csv"))
+    # Some names are not of the fixed form: an extension or a part is missing, or there is a part too many.
+    kind = F.col("p_partkey") % 11
+    name = (F.when(kind == 3, F.regexp_replace(name, "[.]csv$", "")).when(kind == 5, F.substring_index(name, "-", -2))
+            .when(kind == 7, F.concat(F.lit("x-"), name)).otherwise(name))
     return part.select("p_partkey", name.alias("file_name")).withColumn(
         "asset_id", sc.asset_from_file_name("file_name"))
 
@@ -307,7 +319,7 @@ def decode_prediction(spark, sf_dir):
 
 # ----------------------------------------------------------------- sampling
 def hash_sample(spark, sf_dir):
-    return smp.hash_sample(_t(spark, sf_dir, "orders"), "o_orderkey", 0.4, seed=666, method="md5")
+    return smp.hash_sample(_t(spark, sf_dir, "orders"), "o_orderkey", 0.4, seed=58, method="md5")
 
 
 def hash_split(spark, sf_dir):
@@ -315,6 +327,25 @@ def hash_split(spark, sf_dir):
     return smp.hash_split_column(ev, "event_id", (0.8, 0.2), ("train", "test"), seed=69, method="md5")
 
 
+# Fractions far below one in ten thousand: the usual case on very large tables.
+SMALL_FRACTION, SMALL_SEED = 0.00009, 3
+
+
+def _line_keys(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return li.withColumn("line_key", F.concat_ws("/", "l_orderkey", "l_linenumber"))
+
+
+def hash_sample_small(spark, sf_dir):
+    return smp.hash_sample(_line_keys(spark, sf_dir), "line_key", SMALL_FRACTION, seed=SMALL_SEED, method="md5")
+
+
+def hash_split_small(spark, sf_dir):
+    return smp.hash_split_column(_line_keys(spark, sf_dir), "line_key", (1 - SMALL_FRACTION, SMALL_FRACTION),
+                                 ("train", "test"), seed=SMALL_SEED, method="md5").groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.min("line_key").alias("first_key"))
+
+
 def hash_folds(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id")
     return smp.hash_folds(ev, "event_id", k=3, seed=69, method="md5")
@@ -330,7 +361,7 @@ def _then():
 
 
 def map_rows(spark, sf_dir):
-    return rw.map_rows(_t(spark, sf_dir, "orders"), _urgent(), _then(), [None, "X", "Y", "Z"],
+    return rw.map_rows(_t(spark, sf_dir, "orders"), _urgent(), _then(), [None, "none", "dry", "-"],
                        ["c1", "c2", "c3", "c4"], keep=["o_orderkey"])
 
 
@@ -358,16 +389,25 @@ QUERIES = {
     "cross_filter_join": cross_filter_join,
     "sql_avg_group": sql_avg_group, "group_count": group_count, "group_max": group_max,
     "count_nulls": count_nulls, "global_agg": global_agg, "describe_stats": describe_stats,
+    "quartiles": quartiles,
     "distinct_rows": distinct_rows, "fold_sum": fold_sum,
     "sort_mixed": sort_mixed, "limit_rows": limit_rows,
     "union_all": union_all, "union_many": union_many,
     "substring_day": substring_day, "parse_date": parse_date, "split_key": split_key,
     "validate_request": validate_request, "decode_prediction": decode_prediction,
-    "hash_sample": hash_sample, "hash_split": hash_split, "hash_folds": hash_folds,
+    "hash_sample": hash_sample, "hash_sample_small": hash_sample_small, "hash_split": hash_split,
+    "hash_split_small": hash_split_small, "hash_folds": hash_folds,
     "map_rows": map_rows, "map_rows_nullable": map_rows_nullable, "flat_map": flat_map,
 }
 
 
+def _uniform_sql(key_sql: str, seed: int) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || CAST({key_sql} AS VARCHAR)), 1, 13))::BIGINT)"
+
+
+_LINE_KEYS_SQL = "(SELECT l_orderkey, l_linenumber, l_orderkey || '/' || l_linenumber AS line_key FROM lineitem)"
+
+
 def _bucket_sql(key_sql: str, seed: int) -> str:
     return f"(('0x' || substr(md5('{seed}:' || CAST({key_sql} AS VARCHAR)), 1, 8))::BIGINT)"
 
@@ -379,8 +419,7 @@ _NAMES_SQL = [
 ]
 
 _DESCRIBE_COL = """SELECT '{c}' AS "column", n{i} AS "count", round(s{i} / n{i}, 6) AS mean,
-       CASE WHEN n{i} > 1 THEN round(sqrt(greatest((q{i} - s{i} * s{i} / n{i}) / (n{i} - 1), 0.0)), 6) END AS stddev,
-       lo{i} AS "min", hi{i} AS "max" FROM w"""
+       round(sd{i}, 6) AS stddev, lo{i} AS "min", hi{i} AS "max" FROM w"""
 
 
 def _describe_sql(cols):
@@ -388,12 +427,16 @@ def _describe_sql(cols):
     for i, c in enumerate(cols):
         d = f"CAST({c} AS DECIMAL(18,2))"
         aggs.append(f"count({c}) AS n{i}, CAST(sum({d}) AS DOUBLE) AS s{i}, "
-                    f"CAST(sum({d} * {d}) AS DOUBLE) AS q{i}, "
+                    f"stddev_samp(CAST({c} AS DOUBLE)) AS sd{i}, "
                     f"CAST(min({c}) AS DOUBLE) AS lo{i}, CAST(max({c}) AS DOUBLE) AS hi{i}")
     body = " UNION ALL ".join(_DESCRIBE_COL.format(c=c, i=i) for i, c in enumerate(cols))
     return f"WITH w AS (SELECT {', '.join(aggs)} FROM {NULLABLE} t) {body}"
 
 
+_QUARTILE_COL = """SELECT '{c}' AS "column", count({c}) AS "count", min({c})::DOUBLE AS "min",
+       quantile_disc({c}::DOUBLE, 0.25) AS q1, quantile_disc({c}::DOUBLE, 0.5) AS median,
+       quantile_disc({c}::DOUBLE, 0.75) AS q3, max({c})::DOUBLE AS "max" FROM {t} t"""
+
 _THEN_SQL = ["o_orderstatus", "CAST(o_custkey - 1 AS VARCHAR)", "CAST(o_custkey * 2 AS VARCHAR)",
              "CAST(o_orderpriority = '1-URGENT' AS VARCHAR)"]
 
@@ -414,7 +457,7 @@ ORACLE = {
     "project_star": "SELECT * FROM customer",
     "derive_column": """SELECT l_orderkey, l_linenumber, l_quantity, l_quantity * 2 AS derived,
         l_linenumber - 1 AS line_minus_one FROM lineitem""",
-    "constant_column": "SELECT l_orderkey, l_linenumber, 666 AS constant FROM lineitem",
+    "constant_column": "SELECT l_orderkey, l_linenumber, 58 AS constant FROM lineitem",
     "surrogate_key": "SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) AS row_num FROM orders",
     "rename_columns": """SELECT c_custkey AS key, c_name AS name, c_nationkey, c_acctbal, c_mktsegment
         FROM customer""",
@@ -438,8 +481,8 @@ ORACLE = {
         AND o_orderstatus IS NOT NULL AND o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL
         AND o_orderpriority IS NOT NULL""",
     "fillna": f"""SELECT o_orderkey, o_custkey, coalesce(o_orderstatus, 'U') AS o_orderstatus,
-        coalesce(o_totalprice, 3.3) AS o_totalprice, o_orderdate, o_orderpriority FROM {NULLABLE} t""",
-    "replace_values": """SELECT l_orderkey, CASE l_linenumber WHEN 3 THEN 33 WHEN 4 THEN 44 WHEN 5 THEN NULL
+        coalesce(o_totalprice, 0.5) AS o_totalprice, o_orderdate, o_orderpriority FROM {NULLABLE} t""",
+    "replace_values": """SELECT l_orderkey, CASE l_linenumber WHEN 2 THEN 20 WHEN 5 THEN NULL WHEN 7 THEN 70
         ELSE l_linenumber END AS l_linenumber FROM lineitem""",
     "sql_join_group_order": _as_tables(SQL_JOIN_GROUP_ORDER, "orders", "customer", "nation"),
     "join_null_keys": f"""SELECT a.o_orderkey, a.o_totalprice, b.o_orderkey AS r_orderkey, b.o_totalprice AS r_totalprice
@@ -455,6 +498,7 @@ ORACLE = {
     "count_nulls": f"""SELECT o_orderstatus, count(*) AS n_rows, count(o_totalprice) AS n_o_totalprice
         FROM {NULLABLE} t GROUP BY o_orderstatus""",
     "global_agg": "SELECT count(*) AS count, sum(l_quantity) AS sum_qty FROM lineitem",
+    "quartiles": " UNION ALL ".join(_QUARTILE_COL.format(c=c, t=NULLABLE) for c in ("o_totalprice", "o_custkey")),
     "describe_stats": _describe_sql(["o_totalprice", "o_custkey"]),
     "distinct_rows": f"SELECT DISTINCT o_orderstatus, o_orderpriority FROM {NULLABLE} t",
     "fold_sum": "SELECT CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem",
@@ -469,26 +513,38 @@ ORACLE = {
         SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'not-a-day'
                ELSE substring(CAST(ts AS VARCHAR), 1, 10) END AS day_text FROM events) t""",
     "split_key": """SELECT p_partkey, file_name,
-        split_part(file_name, '-', 5) || '-' || split_part(split_part(file_name, '-', 6), '.', 1) AS asset_id
-        FROM (SELECT p_partkey, concat_ws('-', '010615', 'RNS', 'PAE',
+        CASE WHEN len(string_split(file_name, '-')) = 6 AND ends_with(file_name, '.csv')
+                  AND length(split_part(file_name, '-', 5)) = 2
+                  AND length(split_part(split_part(file_name, '-', 6), '.', 1)) = 3
+             THEN split_part(file_name, '-', 5) || '-' || split_part(split_part(file_name, '-', 6), '.', 1)
+        END AS asset_id
+        FROM (SELECT p_partkey, CASE p_partkey % 11 WHEN 3 THEN replace(whole, '.csv', '')
+                  WHEN 5 THEN split_part(whole, '-', 5) || '-' || split_part(whole, '-', 6)
+                  WHEN 7 THEN 'x-' || whole ELSE whole END AS file_name
+              FROM (SELECT p_partkey, concat_ws('-', '070324', 'QQX', 'QQY',
                   lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0'), upper(substring(p_type, 1, 2)),
-                  upper(substring(p_name, 1, 3))) || '.csv' AS file_name FROM part) t""",
+                  upper(substring(p_name, 1, 3))) || '.csv' AS whole FROM part) n) t""",
     "validate_request": f"""SELECT request_id, day, asset,
         coalesce(regexp_full_match(day, '[^-]{{4}}-[^-]{{2}}-[^-]{{2}}'), false)
         AND coalesce(regexp_full_match(asset, '[^-]{{2}}-[^-]{{3}}'), false) AS valid
         FROM {_REQUEST_TEXTS_SQL} r""",
     "decode_prediction": """SELECT doc_id, CASE WHEN CAST(toxic AS DOUBLE) = 0.0 THEN 'No maintenance'
         WHEN toxic IS NOT NULL THEN 'Maintenance' END AS prediction_text FROM labels""",
-    "hash_sample": f"SELECT * FROM orders WHERE {_bucket_sql('o_orderkey', 666)} % 10000 < 4000",
-    "hash_split": f"""SELECT event_id, CASE WHEN {_bucket_sql('event_id', 69)} % 10000 < 8000
+    "hash_sample": f"SELECT * FROM orders WHERE {_uniform_sql('o_orderkey', 58)} < {smp.threshold(0.4)}",
+    "hash_sample_small": f"""SELECT * FROM {_LINE_KEYS_SQL} t
+        WHERE {_uniform_sql('line_key', SMALL_SEED)} < {smp.threshold(SMALL_FRACTION)}""",
+    "hash_split_small": f"""SELECT split, count(*) AS n, min(line_key) AS first_key FROM (
+        SELECT line_key, CASE WHEN {_uniform_sql('line_key', SMALL_SEED)} < {smp.threshold(1 - SMALL_FRACTION)}
+                              THEN 'train' ELSE 'test' END AS split FROM {_LINE_KEYS_SQL} t) GROUP BY split""",
+    "hash_split": f"""SELECT event_id, CASE WHEN {_uniform_sql('event_id', 69)} < {smp.threshold(0.8)}
         THEN 'train' ELSE 'test' END AS split FROM events""",
     "hash_folds": f"""SELECT event_id, CAST(({_bucket_sql('event_id', 69)} % 1073741824) % 3 AS INTEGER) AS fold
         FROM events""",
     "map_rows": f"""SELECT o_orderkey,
         CASE WHEN o_orderpriority = '1-URGENT' THEN {_THEN_SQL[0]} ELSE NULL END AS c1,
-        CASE WHEN o_orderpriority = '1-URGENT' THEN {_THEN_SQL[1]} ELSE 'X' END AS c2,
-        CASE WHEN o_orderpriority = '1-URGENT' THEN {_THEN_SQL[2]} ELSE 'Y' END AS c3,
-        CASE WHEN o_orderpriority = '1-URGENT' THEN {_THEN_SQL[3]} ELSE 'Z' END AS c4 FROM orders""",
+        CASE WHEN o_orderpriority = '1-URGENT' THEN {_THEN_SQL[1]} ELSE 'none' END AS c2,
+        CASE WHEN o_orderpriority = '1-URGENT' THEN {_THEN_SQL[2]} ELSE 'dry' END AS c3,
+        CASE WHEN o_orderpriority = '1-URGENT' THEN {_THEN_SQL[3]} ELSE '-' END AS c4 FROM orders""",
     "map_rows_nullable": f"""SELECT o_orderkey,
         CASE WHEN o_orderpriority = '1-URGENT' THEN {_THEN_SQL[0]} END AS c1,
         CASE WHEN o_orderpriority = '1-URGENT' THEN {_THEN_SQL[1]} END AS c2,

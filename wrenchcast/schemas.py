@@ -80,4 +80,7 @@ RUNS = T.StructType([
     T.StructField("max_bins", T.IntegerType()),
     T.StructField("model_path", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
+    T.StructField("skipped_rows", T.LongType()),
+    T.StructField("skipped_test_rows", T.LongType()),
+    T.StructField("dropped_bins", T.StringType()),
 ])

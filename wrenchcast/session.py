@@ -1,16 +1,20 @@
 """Spark session settings shared by jobs, tests and the bench.
 
 On a cluster the session is normally created by the launcher; ``configure``
-then only sets runtime SQL options and never overrides what the cluster
-already decided (checkpoint folder, partition counts).
+then sets the runtime SQL options that results and plans rely on (AQE, skew
+handling, UTC) and leaves the rest to the cluster (checkpoint folder, partition
+counts, memory).
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL options every job relies on.
 RUNTIME_CONF = {
@@ -56,6 +60,18 @@ def get_session(master: str | None = None, app_name: str = "wrenchcast",
     return configure(spark)
 
 
+def write_table(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder, which cuts its
+    lineage: later readers prune its columns, lost executors read it again, and it
+    is removed when the application ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
@@ -70,9 +86,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir is not set on this cluster; "
                            "set it to a shared folder before running jobs")
     local_dir = tempfile.mkdtemp(prefix="wrenchcast-ckpt-")
+    atexit.register(shutil.rmtree, local_dir, ignore_errors=True)
     sc.setCheckpointDir(local_dir)
     return sc.getCheckpointDir()

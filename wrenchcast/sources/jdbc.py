@@ -1,13 +1,15 @@
 """JDBC tables (A4, A5): KPIs of the warehouse and interruption events.
 
-The reference read each table into ONE partition (no bounds). Giving a
-numeric ``partition_column`` with bounds splits the read into parallel range
-queries; filters and the column list written as Columns are pushed into the
-generated SQL.
+The reference read each table into ONE partition (no bounds). A
+``partition_column`` with bounds, or a list of predicates, splits the read into
+parallel queries; filters and the column list written as Columns are pushed into
+the generated SQL.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,36 +22,45 @@ SENSOR_SUBSYSTEM = "3453"
 
 
 def read_table(spark: SparkSession, url: str, table: str, properties: dict | None = None,
-               partition_column: str | None = None, lower_bound: int | None = None,
-               upper_bound: int | None = None, num_partitions: int | None = None,
-               form: str = "options") -> DataFrame:
-    """A JDBC scan; parallel range queries when a partition column is given.
+               partition_column: str | None = None, lower_bound=None, upper_bound=None,
+               num_partitions: int | None = None, predicates: list[str] | None = None,
+               form: str = "options", single_read: bool = False) -> DataFrame:
+    """A JDBC scan in parallel parts: ranges of ``partition_column`` (whole
+    numbers, dates or timestamps; bounds as values or text) or one query per
+    predicate. ``single_read`` allows one unpartitioned query, for tables or
+    filters known to be small; without it that is refused.
 
     ``form='options'`` (A5) goes through ``format('jdbc').options(...)``;
     ``form='properties'`` (A4) through ``spark.read.jdbc(url, table, ...,
     properties=...)``. Both build the same relation.
     """
-    if partition_column is not None and None in (lower_bound, upper_bound, num_partitions):
-        raise ValueError("partitioned JDBC read needs lower_bound, upper_bound and num_partitions")
-    if form == "properties":
-        if partition_column is None:
-            return spark.read.jdbc(url, table, properties=dict(properties or {}))
-        return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
-                               upperBound=upper_bound, numPartitions=num_partitions,
-                               properties=dict(properties or {}))
-    if form != "options":
+    if form not in ("options", "properties"):
         raise ValueError("form must be 'options' or 'properties'")
-    opts = {"url": url, "dbtable": table, **(properties or {})}
+    props = dict(properties or {})
+    if predicates:
+        if partition_column is not None:
+            raise ValueError("give predicates or a partition_column, not both")
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=props)
     if partition_column is not None:
-        opts.update(partitionColumn=partition_column, lowerBound=str(lower_bound),
-                    upperBound=str(upper_bound), numPartitions=str(num_partitions))
-    return spark.read.format("jdbc").options(**opts).load()
+        if None in (lower_bound, upper_bound, num_partitions):
+            raise ValueError("partitioned JDBC read needs lower_bound, upper_bound and num_partitions")
+        props |= {"partitionColumn": partition_column, "lowerBound": str(lower_bound),
+                  "upperBound": str(upper_bound), "numPartitions": str(num_partitions)}
+    elif not single_read:
+        raise ValueError(f"reading {table} whole would be one query in one task: give a partition_column with bounds, "
+                         "or predicates, or single_read=True for a small table")
+    if form == "properties":
+        return spark.read.jdbc(url, table, properties=props)
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **props).load()
 
 
 def read_kpis(spark: SparkSession, url: str, properties: dict | None = None, table: str = KPI_TABLE,
               asset_id: str | None = None, day=None, **partitioning) -> DataFrame:
     """Daily KPIs as (asset_id, day, flighthours, flightcycles, delayedminutes);
-    an optional record filter is pushed to the database (B15)."""
+    an optional record filter is pushed to the database (B15), and one record
+    needs no partitioning. The table's natural split is its date ``timeid``."""
+    if asset_id is not None and day is not None:
+        partitioning.setdefault("single_read", True)
     kpis = read_table(spark, url, table, properties, **partitioning).select(
         "aircraftid", "timeid", "flighthours", "flightcycles", "delayedminutes")
     if asset_id is not None:
@@ -65,9 +76,23 @@ def read_kpis(spark: SparkSession, url: str, properties: dict | None = None, tab
 
 def read_interruptions(spark: SparkSession, url: str, properties: dict | None = None,
                        table: str = INTERRUPTION_TABLE, subsystem: str = SENSOR_SUBSYSTEM,
-                       **partitioning) -> DataFrame:
-    """Interruptions of one subsystem as (asset_id, event_day)."""
-    src = read_table(spark, url, table, properties, **partitioning)
-    return (src.where(F.col("subsystem") == subsystem)
-            .select(F.col("aircraftregistration").cast("string").alias("asset_id"),
-                    parse_date(F.col("starttime").cast("string").substr(1, 10)).alias("event_day")))
+                       asset_id: str | None = None, first_day=None, last_day=None, **partitioning) -> DataFrame:
+    """Interruptions of one subsystem as (asset_id, event_day).
+
+    ``first_day`` and ``last_day`` (dates or ISO text) restrict the raw start time,
+    which the database evaluates; the parsed day it could not.
+    """
+    if asset_id is not None and first_day is not None and last_day is not None:
+        partitioning.setdefault("single_read", True)
+    src = read_table(spark, url, table, properties, **partitioning).where(F.col("subsystem") == subsystem)
+    if asset_id is not None:
+        src = src.where(F.col("aircraftregistration") == asset_id)
+    # ISO text sorts like its dates, so both kinds of column compare with the day's first moment.
+    kind = "string" if src.schema["starttime"].dataType.typeName() == "string" else "timestamp"
+    if first_day is not None:
+        src = src.where(F.col("starttime") >= F.lit(str(first_day)[:10]).cast(kind))
+    if last_day is not None:
+        after = dt.date.fromisoformat(str(last_day)[:10]) + dt.timedelta(days=1)
+        src = src.where(F.col("starttime") < F.lit(after.isoformat()).cast(kind))
+    return src.select(F.col("aircraftregistration").cast("string").alias("asset_id"),
+                      parse_date(F.col("starttime").cast("string").substr(1, 10)).alias("event_day"))

@@ -60,15 +60,31 @@ def normalise_readings(raw: DataFrame) -> DataFrame:
 
 def read_readings(spark: SparkSession, folder: str, asset_id: str | None = None,
                   recursive: bool = False) -> DataFrame:
-    """Readings of a sensor folder; rows whose value did not parse are dropped
-    here and can be counted with ``bad_reading_count``."""
+    """Readings of a sensor folder; rows without a value, a date or a well-formed
+    file name are dropped here and counted by reason in ``reading_issues``."""
     raw = read_raw_readings(spark, folder, asset_id, recursive)
-    good = raw.where(F.col("value").isNotNull() & F.col("_corrupt_record").isNull())
-    return normalise_readings(good).select([F.col(f.name).cast(f.dataType) for f in READINGS.fields])
+    good = raw.where(~_bad_value())
+    return normalise_readings(good).where("asset_id IS NOT NULL AND day IS NOT NULL").select([F.col(f.name).cast(f.dataType) for f in READINGS.fields])
+
+
+def _bad_value():
+    return F.col("_corrupt_record").isNotNull() | F.col("value").isNull()
+
+
+def reading_issues(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """One row, from one pass: n_rows, n_good (what ``read_readings`` returns) and
+    the rows with a bad_file_name, a bad_date and a bad_value. A row may have
+    several issues and counts for each."""
+    raw = read_raw_readings(spark, folder, recursive=recursive)
+    bad = {"bad_file_name": asset_from_file_name("file_name").isNull(),
+           "bad_date": parse_iso_day(day_text("date")).isNull(), "bad_value": _bad_value()}
+    good = ~(bad["bad_file_name"] | bad["bad_date"] | bad["bad_value"])
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    return raw.agg(F.count(F.lit(1)).alias("n_rows"), count(good).alias("n_good"),
+                   *[count(c).alias(name) for name, c in bad.items()])
 
 
 def bad_reading_count(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """Rows whose value is not a number: one row ``bad_rows``, counted by executors."""
     raw = read_raw_readings(spark, folder, recursive=recursive)
-    bad = F.col("_corrupt_record").isNotNull() | F.col("value").isNull()
-    return raw.agg(F.sum(bad.cast("int")).alias("bad_rows"))
+    return raw.agg(F.coalesce(F.sum(_bad_value().cast("int")), F.lit(0)).alias("bad_rows"))

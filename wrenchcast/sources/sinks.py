@@ -1,7 +1,8 @@
 """Writers (A13-A15, A18) and catalog helpers.
 
-All writes are done by the executors; ``mode('overwrite')`` replaces a folder
-atomically per job (the reference tried ``os.remove`` on a folder, which fails).
+All writes are done by the executors; ``mode('overwrite')`` deletes the old folder
+before the new files are committed (the reference tried ``os.remove`` on a
+folder, which fails), so readers of a folder in use need a new path per write.
 """
 
 from __future__ import annotations

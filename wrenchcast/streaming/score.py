@@ -12,6 +12,7 @@ caller can stop the query once one has been seen.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,24 +59,51 @@ def start_scoring(spark: SparkSession, request_folder: str, sensor_daily: DataFr
     """Start the scoring query; ``available_now`` processes what is there and stops.
 
     ``valid`` replaces the default request-format check (day ``YYYY-MM-DD``,
-    asset ``XX-XXX``), ``schema`` the request schema of the source files.
+    asset ``XX-XXX``), ``schema`` the request schema of the source files. With
+    ``daily`` each micro-batch reads only the days it asks about and is written to
+    its own folder ``batch_id=<n>``.
     """
     requests = read_request_stream(spark, request_folder, fmt, max_files_per_trigger, schema)
-    scored = scored_stream(requests, sensor_daily, kpis, model, daily, valid)
-    writer = (scored.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint_path))
+    if daily is not None:
+        writer = requests.writeStream.foreachBatch(_batch_writer(daily, model, output_path, valid))
+    else:
+        scored = scored_stream(requests, sensor_daily, kpis, model, None, valid)
+        writer = scored.writeStream.format("parquet").outputMode("append")
+    writer = writer.option("checkpointLocation", checkpoint_path)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start(output_path)
+    return writer.start() if daily is not None else writer.start(output_path)
+
+
+def _batch_writer(daily: DataFrame, model: PipelineModel, output_path: str, valid: Column | None,
+                  on_exit=lambda: None):
+    """Scores a micro-batch against the days it asks about only and writes it to
+    ``output_path/batch_id=<n>`` with overwrite, so that a batch replayed after a
+    failure replaces its own output."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        target = f"{output_path.rstrip('/')}/batch_id={batch_id}"
+        batch.persist()  # read for its days and by the scoring below
+        try:
+            scored = scored_stream(batch, None, None, model, daily_for_requests(batch, daily), valid)
+            scored.write.mode("overwrite").parquet(target)
+        finally:
+            batch.unpersist()
+        if not batch.sparkSession.read.parquet(target).where(F.col("status") == STATUS_EXIT).isEmpty():
+            on_exit()
+
+    return write_batch
 
 
 def exit_seen(spark: SparkSession, output_path: str) -> bool:
     """True once a request with status ``exit`` has been written."""
     try:
         return not spark.read.parquet(output_path).where(F.col("status") == STATUS_EXIT).isEmpty()
-    except Exception:  # noqa: BLE001 - no output yet
+    except AnalysisException as missing:  # no folder, or no file in it yet
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return False
 
 
@@ -86,29 +114,15 @@ def score_until_exit(spark: SparkSession, request_folder: str, daily: DataFrame,
     """Score arriving requests until one of them is ``exit`` (the reference's
     prompt loop as a stream). Returns True when stopped by an exit request.
 
-    Each micro-batch is scored against the days it asks about only (the
-    daily table is partitioned by day, so the other days' folders are not
-    read), then written to ``output_path/batch_id=<n>`` with overwrite, so a
-    batch replayed after a failure replaces its own output instead of
-    appending duplicates. Per batch only two day bounds reach the driver.
+    Micro-batches are scored and written as by ``start_scoring``.
     """
     if exit_seen(spark, output_path):
         # A restarted driver: the exit request was already processed and committed.
         return True
     seen = {"exit": False}
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        target = f"{output_path.rstrip('/')}/batch_id={batch_id}"
-        batch.persist()  # read by the day bounds and by the scoring below
-        try:
-            scored = scored_stream(batch, None, None, model, daily_for_requests(batch, daily), valid)
-            scored.write.mode("overwrite").parquet(target)
-        finally:
-            batch.unpersist()
-        if not spark.read.parquet(target).where(F.col("status") == STATUS_EXIT).isEmpty():
-            seen["exit"] = True
-
     requests = read_request_stream(spark, request_folder, fmt, schema=schema)
+    write_batch = _batch_writer(daily, model, output_path, valid, lambda: seen.update(exit=True))
     query = (requests.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_path)
              .trigger(processingTime=processing_time).start())
