@@ -212,7 +212,10 @@ def with_verdict(rows: DataFrame, names: list[str], estimates: DataFrame, kept:
     lower = [[e[f"l{i}{j}"] for j in range(i + 1)] for i in range(DIM)]
     d = _distance([c.cast("double") for c in vector(names)], [e[c] for c in _CENTRE], lower)
     failed = base_failed(F.col(names[0]), F.col(names[4]))
-    return found.withColumn(kept, ~failed & F.coalesce(d <= cutoff, F.lit(True))).select(*keep_columns, kept)
+    # One expression over both sides of the joins, so that no part of it moves below them, where the optimizer would
+    # write the statistics' expressions out in full in place of their columns.
+    good = F.when(failed, F.lit(False)).otherwise(F.coalesce(d <= cutoff, F.lit(True)))
+    return found.withColumn(kept, good).select(*keep_columns, kept)
 
 
 def judge(docs: DataFrame) -> DataFrame:
