@@ -5,19 +5,23 @@ counts in the final plan: parquet scans, shuffle exchanges, broadcast
 exchanges, join strategies, sorts, Python evaluation nodes, and whether the
 scans carry pushed filters. Prints a Markdown table.
 
-Usage: python scripts/plan_audit.py [--sf-dir DIR] [key ...]
+With ``--trees`` the operator trees of the given keys are printed instead.
+
+Usage: python scripts/plan_audit.py [--sf-dir DIR] [--trees] [key ...]
 """
 
 from __future__ import annotations
 
 import argparse
+import contextlib
+import io
 import os
 import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from wrenchcast.plans.registry import QUERIES  # noqa: E402
 from wrenchcast.session import get_session  # noqa: E402
 
 JOINS = ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct")
@@ -38,10 +42,19 @@ def audit(plan: str) -> dict:
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.1")
+    ap.add_argument("--trees", action="store_true")
     ap.add_argument("keys", nargs="*")
     args = ap.parse_args()
     spark = get_session("local[8]", shuffle_partitions=8)
-    queries = entry.queries()
+    queries = QUERIES
+    if args.trees:
+        for key in args.keys:
+            out = io.StringIO()
+            with contextlib.redirect_stdout(out):
+                queries[key](spark, args.sf_dir).explain("formatted")
+            tree = out.getvalue().split("== Physical Plan ==\n")[-1].split("\n\n")[0]
+            print(f"### {key}\n\n```\n{tree.rstrip()}\n```\n")
+        return
     print("| key | scans | shuffles | broadcasts | joins | Python | pushed filters | SinglePartition |")
     print("|---|---|---|---|---|---|---|---|")
     for key in args.keys or sorted(queries):
