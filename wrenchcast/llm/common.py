@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from ..session import write_table as write_out  # noqa: F401  the operators' way to a written table
 
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -37,16 +37,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def write_out(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared checkpoint folder, removed when the application ends."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 _SHIPPED: set[str] = set()
 
 
@@ -87,11 +77,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal rows over all shuffle partitions by ``keys``."""
-    return df.repartition(*[F.col(k) for k in keys])
-
-
 #: Spark's own default of spark.sql.autoBroadcastJoinThreshold: a table is only broadcast by hint below this many bytes.
 BROADCAST_BYTES = 10 << 20
 
