@@ -204,7 +204,11 @@ def with_verdict(rows: DataFrame, names: list[str], estimates: DataFrame, kept:
     n = estimates.count()
     found, keep_columns = rows, list(rows.columns)
     ids = fresh([*keep_columns, kept], *[f"e_{k}" for k in range(3)])
+    overall = estimates.where(F.col("g") == group_key(2, F.lit(None), F.lit(None))).select(F.struct(*_CENTRE, *_FACTOR))
     for level, e in enumerate(ids):
+        if level == 2:  # one row or none
+            found = found.withColumn(e, overall.scalar())
+            continue
         g, = fresh([*found.columns, *ids], f"g_{level}")
         side = estimates.where(F.col("g").startswith(f"{level}|")).select(
             F.col("g").alias(g), F.struct(*_CENTRE, *_FACTOR).alias(e))
