@@ -7,9 +7,10 @@ Which 400-byte strings start more than once in the corpus is decided in four ste
    lie in a repeated window. Copies of a whole text count as one text, all of whose windows repeat.
 2. All windows with an anchor lie in its context, 700 bytes around it. A context that stands in several places repeats
    as a whole.
-3. The different contexts of an anchor are brought together, one copy of each, joined by separators, and their
-   suffixes ordered (``suffix_order``): equal windows are neighbours in the order and are compared by their bytes.
-4. The repeated intervals go back to the texts, where repeats inside one text are added and the bytes cut out.
+3. The different contexts of an anchor are brought together, one copy of each, trimmed to what they share with another,
+   joined by separators, and their suffixes ordered (``suffix_order``): equal windows are neighbours in the order and
+   are compared by their bytes.
+4. The repeated intervals, and those inside one text, which are found where it is read, go back to the texts.
 
 An anchor whose different contexts exceed ``BLOCK`` bytes is not brought together: its windows are cut where the
 contexts are read, and equal ones are found by grouping their 128-bit hashes, which spreads over all tasks.
@@ -29,97 +30,78 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches
+from .common import cut, map_batches, write_out
 from .suffix_order import suffix_order
 
 WINDOW, ANCHOR, BLOCK = 400, 100, 1 << 19
 CONTEXT = 2 * WINDOW - ANCHOR
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_MIX = np.uint64(0xBF58476D1CE4E5B9)
-_PART = 1 << 20  # bytes of a text hashed at a time
+_BASE = 0x9E3779B1  # odd, so that it has an inverse
+_PART = 1 << 20  # windows of a text hashed at a time
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def _powers(base: int, n: int, kind: type) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, base, dtype=np.uint64))), dtype=np.uint64)
+        return np.cumprod(np.concatenate(([1], np.full(n, base))).astype(kind), dtype=kind)
 
 
-_UP, _DOWN = _powers(_BASE, _PART + WINDOW), _powers(_INVERSE, _PART + WINDOW)
+_UP, _DOWN = (_powers(x, _PART + WINDOW, np.uint32) for x in (_BASE, pow(_BASE, -1, 1 << 32)))
 
 
-def window_hashes(data: bytes, size: int) -> np.ndarray:
-    """Hash of the ``size`` bytes from each position."""
-    out = []
-    raw = np.frombuffer(data, dtype=np.uint8)
-    for at in range(0, len(data) - size + 1, _PART):
-        part = raw[at:at + _PART + size - 1].astype(np.uint64) + np.uint64(1)
-        with np.errstate(over="ignore"):
-            total = np.concatenate(([np.uint64(0)], np.cumsum(part * _UP[:len(part)], dtype=np.uint64)))
-            h = (total[size:] - total[:-size]) * _DOWN[:len(part) - size + 1]
-            h ^= h >> np.uint64(31)
-            h *= _MIX
-            h ^= h >> np.uint64(29)
-        out.append(h)
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
-
-
-def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
-    """Position of the least value (leftmost of equal ones) among ``width`` from each position."""
-    n = len(h) - width + 1
-    if n <= 0:
-        return np.empty(0, np.int64)
-    blocks = -(-len(h) // width)
-    padded = np.full(blocks * width, np.iinfo(np.uint64).max, dtype=np.uint64)
-    padded[:len(h)] = h
-    grid = padded.reshape(blocks, width)
+def gram_hashes(raw: np.ndarray, size: int) -> np.ndarray:
+    """32-bit hash of the ``size`` bytes from each position of at most ``_PART + WINDOW`` bytes."""
+    n = len(raw) - size + 1
+    with np.errstate(over="ignore"):
+        total = np.empty(len(raw) + 1, dtype=np.uint32)
+        total[0] = 0
+        np.cumsum((raw.astype(np.uint32) + np.uint32(1)) * _UP[:len(raw)], dtype=np.uint32, out=total[1:])
+        h = (total[size:] - total[:n]) * _DOWN[:n]
+        h ^= h >> np.uint32(15)
+        h *= np.uint32(0x85EBCA6B)
+        h ^= h >> np.uint32(13)
+    return h
+
+
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Least of ``width`` values from each position: of running minima to the right and left of block borders."""
+    n = len(values) - width + 1
+    blocks = -(-len(values) // width)
+    grid = np.full((blocks, width), np.iinfo(values.dtype).max, dtype=values.dtype)
+    grid.ravel()[:len(values)] = values
     left = np.minimum.accumulate(grid, axis=1).ravel()
     right = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(right[:n], left[width - 1:width - 1 + n])
-    # the place of a minimum: the next position from the window's start that holds this value
-    change = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    ends = np.append(change[1:], n)
-    out = np.empty(n, np.int64)
-    for a, b in zip(change.tolist(), ends.tolist()):
-        hits = a + np.flatnonzero(h[a:b + width - 1] == least[a])
-        if len(hits) == 1:
-            out[a:b] = hits[0]
-        else:
-            out[a:b] = hits[np.searchsorted(hits, np.arange(a, b))]
-    return out
+    return np.minimum(right[:n], left[width - 1:width - 1 + n])
+
+
+def anchors_of(data: bytes) -> np.ndarray:
+    """Place of the anchor of each window of ``data``: the leftmost least gram in it. Places never fall."""
+    width = WINDOW - ANCHOR + 1
+    out = []
+    for at in range(0, len(data) - WINDOW + 1, _PART):
+        raw = np.frombuffer(data, dtype=np.uint8)[at:at + _PART + WINDOW - 1]
+        h = gram_hashes(raw, ANCHOR).astype(np.uint64)
+        placed = h << np.uint64(32) | np.arange(len(h), dtype=np.uint64)
+        out.append((sliding_least(placed, width) & np.uint64(0xFFFFFFFF)).astype(np.int64) + at)
+    return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def repeats_inside(data: bytes, anchors: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """Window starts of ``data`` whose window starts elsewhere in it too, as two arrays: the first ones, the others.
+def repeats_inside(data: bytes, anchors: np.ndarray, places: np.ndarray, hashes: list[int]) -> tuple[list, list]:
+    """Windows of ``data`` that start in several of its places: the starts of all, and without the first of each.
 
-    ``anchors``: the anchor of each window; only windows whose anchor's gram stands in several places are compared.
+    ``places`` are the different ``anchors`` and ``hashes`` those of their grams: only windows whose anchor's gram
+    stands in several places are compared.
     """
-    places = np.unique(anchors)
-    _, number, count = np.unique(grams[places], return_inverse=True, return_counts=True)
-    if len(count) == 0 or count.max() == 1:
-        return np.empty((2, 0), np.int64)
+    if len(set(hashes)) == len(hashes):
+        return [], []
+    _, number, count = np.unique(np.array(hashes, dtype=np.uint64), return_inverse=True, return_counts=True)
     candidate = np.flatnonzero(count[number][np.searchsorted(places, anchors)] > 1)
-    seen: dict[bytes, int] = {}
-    whole = window_hashes(data, WINDOW)[candidate]
-    order = np.argsort(whole, kind="stable")
-    same = whole[order][1:] == whole[order][:-1]
-    maybe = np.zeros(len(order), dtype=bool)
-    maybe[1:] |= same
-    maybe[:-1] |= same
-    pairs = []
-    for start in np.sort(candidate[order[maybe]]).tolist():
-        key = hashlib.blake2b(data[start:start + WINDOW], digest_size=16).digest()
-        pairs.append((seen.setdefault(key, start), start))
-    later = [(a, b) for a, b in pairs if a != b]
-    return np.array(later, dtype=np.int64).reshape(-1, 2).T
-
-
-def anchors_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor of each window of ``data``, and the hashes of its grams."""
-    if len(data) < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    grams = window_hashes(data, ANCHOR)
-    return sliding_least(grams, WINDOW - ANCHOR + 1), grams
+    first: dict[bytes, int] = {}
+    later, every = [], set()
+    for s in candidate.tolist():
+        at = first.setdefault(data[s:s + WINDOW], s)
+        if at != s:
+            later.append(s)
+            every.update((at, s))
+    return sorted(every), later
 
 
 def text_key(data: bytes) -> bytes:
@@ -137,38 +119,39 @@ def context(data: bytes, pos: int) -> tuple[int, bytes]:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors of the windows of each text, of repeated windows only those of the first."""
+    """Anchors of the windows of each text, of repeated windows only those of the first: rows (t, pos, h, ctx).
+
+    Intervals that repeat inside a text are rows (t, pos, stop).
+    """
+    rows: list[tuple] = []
     for batch in batches:
-        keys, positions, hashes, contexts = [], [], [], []
-        held = 0
         for data in batch.column(0).to_pylist():
-            anchors, grams = anchors_of(data)
-            if len(anchors):
-                repeated = repeats_inside(data, anchors, grams)[1]
-                if len(repeated):
-                    fresh = np.ones(len(anchors), dtype=bool)
-                    fresh[repeated] = False
-                    anchors = anchors[fresh]
-                places = np.unique(anchors)
-                positions.append(places)
-                hashes.append(grams[places].view(np.int64))
-                keys += [text_key(data)] * len(places)
-                contexts += [xxhash.xxh3_64_intdigest(piece, left) for left, piece in
-                             (context(data, p) for p in places.tolist())]
-                held += len(places)
-            if held > 20_000:
-                yield _anchor_rows(keys, positions, hashes, contexts)
-                keys, positions, hashes, contexts, held = [], [], [], [], 0
-        if held:
-            yield _anchor_rows(keys, positions, hashes, contexts)
-
-
-def _anchor_rows(keys: list, positions: list, hashes: list, contexts: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.binary()), pa.array(np.concatenate(positions)), pa.array(np.concatenate(hashes)),
-         pa.array(np.array(contexts, dtype=np.uint64).view(np.int64))], ["t", "pos", "h", "ctx"])
-
-
+            t = text_key(data)
+            anchors = anchors_of(data)
+            places = anchors[np.concatenate(([True], anchors[1:] != anchors[:-1]))]
+            at = places.tolist()
+            hashes = [xxhash.xxh3_64_intdigest(data[p:p + ANCHOR]) for p in at]
+            every, later = repeats_inside(data, anchors, places, hashes)
+            if later:
+                rows += [(t, a, b, None, None) for a, b in runs(every)]
+                fresh = np.ones(len(anchors), dtype=bool)
+                fresh[later] = False
+                wanted = set(anchors[fresh].tolist())
+                at, hashes = zip(*[(p, h) for p, h in zip(at, hashes) if p in wanted])
+            for p, h in zip(at, hashes):
+                left, piece = context(data, p)
+                rows.append((t, p, None, _signed(h), _signed(xxhash.xxh3_64_intdigest(piece, left))))
+            if len(rows) > 20_000:
+                yield _batch(rows, _ANCHORS)
+                rows = []
+    yield _batch(rows, _ANCHORS)
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+_ANCHORS = [("t", pa.binary()), ("pos", pa.int64()), ("stop", pa.int64()), ("h", pa.int64()), ("ctx", pa.int64())]
 _PIECE = [("h", pa.int64()), ("t", pa.binary()), ("pos", pa.int64()), ("several", pa.bool_()),
           ("crowded", pa.bool_()), ("lead", pa.int64()), ("bytes", pa.binary())]
 
@@ -243,20 +226,57 @@ def runs(starts: list[int], offset: int = 0) -> list[list[int]]:
 _RUNS = pa.list_(pa.list_(pa.int64()))
 
 
+def common_prefix(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    x = int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")
+    return n - (x.bit_length() + 7) // 8
+
+
+def longest_shared(parts: list[bytes]) -> list[int]:
+    """How many leading bytes each part shares with some other one, which is a neighbour in their order."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    out = [0] * len(parts)
+    for i, j in zip(order, order[1:]):
+        n = common_prefix(parts[i], parts[j])
+        out[i], out[j] = max(out[i], n), max(out[j], n)
+    return out
+
+
+def repeated_runs(members: list[dict]) -> list[tuple[bytes, list[list[int]]]]:
+    """Text and repeated intervals of the different contexts (t, pos, lead, several, bytes) of one anchor.
+
+    A window with the anchor repeats no further to a side than the bytes that its context shares with another on that
+    side of the anchor, so contexts are first trimmed to these; what is too short then has no repeat. Equal trimmed
+    contexts repeat as a whole; the suffixes of the different ones are ordered to find the windows they share.
+    """
+    before = longest_shared([m["bytes"][:m["lead"]][::-1] for m in members])
+    behind = longest_shared([m["bytes"][m["lead"] + ANCHOR:] for m in members])
+    pieces: dict[tuple[int, bytes], list[dict]] = {}
+    for m, l, r in zip(members, before, behind):
+        if l + ANCHOR + r >= WINDOW:
+            pieces.setdefault((l, m["bytes"][m["lead"] - l:m["lead"] + ANCHOR + r]), []).append(m)
+    out = []
+    single = []
+    for (l, piece), at in pieces.items():
+        if len(at) > 1 or at[0]["several"]:
+            out += [(m["t"], [[m["pos"] - l, m["pos"] - l + len(piece)]]) for m in at if not m["several"]]
+        else:
+            single.append((at[0]["t"], at[0]["pos"] - l))
+    if single and len(pieces) > 1:
+        firsts = [(at[0]["t"], at[0]["pos"] - l) for (l, _), at in pieces.items()]
+        several = [len(at) > 1 or at[0]["several"] for at in pieces.values()]
+        found = repeated_starts([piece for _, piece in pieces], firsts, several)
+        out += [(t, runs(starts, at)) for (t, at), many, starts in zip(firsts, several, found) if starts and not many]
+    return out
+
+
 _FOUND = [("t", pa.binary()), ("runs", _RUNS)]
 
 
 def _sort_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeated intervals of the contexts of each anchor, of rows (members)."""
     for batch in batches:
-        out: list[tuple] = []
-        for members in batch.column(0).to_pylist():
-            firsts = [(m["t"], m["pos"] - m["lead"]) for m in members]
-            several = [m["several"] for m in members]
-            found = repeated_starts([m["bytes"] for m in members], firsts, several)
-            out += [(t, runs(starts, at)) for (t, at), many, starts in zip(firsts, several, found)
-                    if starts and not many]
-        yield _batch(out, _FOUND)
+        yield _batch([row for members in batch.column(0).to_pylist() for row in repeated_runs(members)], _FOUND)
 
 
 _CUT = [("w", pa.binary()), ("t", pa.binary()), ("start", pa.int64()), ("several", pa.bool_())]
@@ -275,7 +295,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.
     for batch in batches:
         rows = []
         for doc_id, data, copies, found in zip(*(c.to_pylist() for c in batch.columns)):
-            spans = [[0, len(data)]] if copies and len(data) >= WINDOW else removed_spans(data, found or [])
+            spans = [(0, len(data))] if copies and len(data) >= WINDOW else removed_spans(len(data), found or [])
             left, at = [], 0
             for a, b in spans:
                 left.append(data[at:a])
@@ -289,12 +309,10 @@ def _cut_out(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.
                                          ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
 
-def removed_spans(data: bytes, found: list[list[int]]) -> list[tuple[int, int]]:
-    """Maximal runs covered by ``found`` and by windows repeated inside ``data``."""
-    anchors, grams = anchors_of(data)
-    inside = np.unique(repeats_inside(data, anchors, grams)).tolist() if len(anchors) else []
+def removed_spans(n_bytes: int, found: list[list[int]]) -> list[tuple[int, int]]:
+    """Maximal runs covered by the intervals ``found`` in a text."""
     spans: list[tuple[int, int]] = []
-    for a, b in sorted([(max(0, a), min(len(data), b)) for a, b in found] + [(s, s + WINDOW) for s in inside]):
+    for a, b in sorted((max(0, a), min(n_bytes, b)) for a, b in found):
         if spans and a <= spans[-1][1]:
             spans[-1] = spans[-1][0], max(b, spans[-1][1])
         else:
@@ -308,8 +326,9 @@ def without_repeats(docs: DataFrame, with_text: bool = False, block: int = BLOCK
                         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     texts = texts.withColumn("t", _key_column(F.col("text")))
     long_texts = texts.where(F.octet_length("text") >= WINDOW)
-    # Read twice rather than kept: the anchors of all texts are many and follow from the texts alone.
-    found = map_batches(long_texts.select("text"), _anchors, "t binary, pos long, h long, ctx long")
+    rows = write_out(map_batches(long_texts.select("text"), _anchors, "t binary, pos long, stop long, h long, ctx long"))
+    inside = rows.where("stop is not null").select("t", F.array("pos", "stop").alias("run"))
+    found = rows.where("stop is null").select("t", "pos", "h", "ctx")
     place = F.xxhash64("t", "pos")
     shared = cut(found.groupBy("h").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select("h"))
     places = cut(found.join(shared, "h").withColumn("place", place).distinct())
@@ -342,6 +361,7 @@ def without_repeats(docs: DataFrame, with_text: bool = False, block: int = BLOCK
     hashed_runs = (windows.where("not several").join(twice, "w")
                    .select("t", F.array("start", F.col("start") + WINDOW).alias("run")))
     runs_of = (sorted_runs.select("t", F.explode("runs").alias("run")).unionByName(hashed_runs).unionByName(whole)
+               .unionByName(inside)
                .groupBy("t").agg(F.collect_set("run").alias("runs")))
     # Written out, so that AQE can split a text with very many copies in the join with the documents.
     side = cut(runs_of.join(owners.where("copies > 1").select("t", F.lit(True).alias("copied")), "t", "full"))
