@@ -1,0 +1,129 @@
+"""Operator 11 against a quadratic search for runs."""
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from tests.llm.brute import WORD
+from wrenchcast.llm import queries, word_runs
+from wrenchcast.llm.word_runs import collapse, find_runs, runs_of, selected
+
+DOCS = "doc_id long, text string"
+
+
+def all_runs(words, least=6):
+    """Every maximal stretch per period, largest period last, so that the smallest period of a stretch stays."""
+    n, found = len(words), {}
+    for p in range(1, n // 4 + 1):
+        start = None
+        for i in range(n - p + 1):
+            if i < n - p and words[i] == words[i + p]:
+                start = i if start is None else start
+            elif start is not None:
+                if i - start + p >= max(least, 4 * p):
+                    found.setdefault((start, i - start + p), p)
+                start = None
+    return sorted((s, length, p) for (s, length), p in found.items())
+
+
+def periodic_text(rng):
+    """Words with repeated blocks, some of blocks that are periodic themselves."""
+    words = []
+    for _ in range(rng.randint(1, 6)):
+        block = rng.choices("abcdefgh"[:rng.randint(1, 8)], k=rng.randint(1, rng.choice([3, 12, 40])))
+        if rng.random() < 0.4:
+            block = block[:3] * rng.randint(2, 12) + rng.choices("xyz", k=rng.randint(0, 3))
+        words += block * rng.randint(1, 7) + block[:rng.randint(0, len(block))] + rng.choices("abcxyz", k=rng.randint(0, 9))
+    return words
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_runs_match_the_quadratic_search(seed):
+    rng = random.Random(seed)
+    texts = [periodic_text(rng) for _ in range(60)] + [[], ["a"], ["a"] * 500, ["a", "b"] * 100 + ["a"]]
+    assert runs_of([[w.encode() for w in t] for t in texts]) == [all_runs(t) for t in texts]
+
+
+@pytest.mark.parametrize("period", [7, 8, 9, 15, 16, 17, 31, 33, 64, 100, 255, 256, 257])
+@pytest.mark.parametrize("extra", [-1, 0, 1])
+def test_each_period_at_its_shortest_run(period, extra):
+    rng = random.Random(period)
+    cycle = [f"w{i}" for i in range(period)]
+    if rng.random() < 0.5:  # the cycle ends in a run of its own
+        cycle[period // 2:] = ["w0"] * (period - period // 2)
+    for _ in range(4):
+        words = [f"x{rng.random()}" for _ in range(rng.randint(0, 50))] + (cycle * 5)[:4 * period + extra] + ["end"]
+        got = runs_of([[w.encode() for w in words]])[0]
+        assert got == all_runs(words)
+        assert (extra < 0) == (period not in [p for _, _, p in got])
+
+
+def test_selection_is_locally_consistent_and_sparse():
+    """Equal contexts are selected alike; unary text has no selected positions left at large scales."""
+    rng = np.random.default_rng(3)
+    piece = rng.integers(0, 4, 700)
+    x = np.concatenate([piece, rng.integers(0, 4, 300), piece])
+    h, size = word_runs._mix(x.astype(np.uint64)), 1
+    while size < 32:
+        h, size = word_runs._double(h, size), 2 * size
+    at = set(selected(h, 32, []).tolist())
+    assert {i for i in at if i <= 700 - 64} == {i - 1000 for i in at if i >= 1000}
+    ordered = sorted(at)
+    assert max(b - a for a, b in zip(ordered, ordered[1:])) <= 32 and len(at) < len(x) // 6
+    ones = np.zeros(1 << 16, dtype=np.int64)
+    assert word_runs.word_runs(np.concatenate([ones, [-1]]), len(ones)) == [(0, len(ones), 1)]
+
+
+def test_collapse_drops_what_follows_the_first_period():
+    words = "a b a b a b a b c".encode().split()
+    assert collapse(words, [(0, 8, 2)]) == b"a b c"
+    assert collapse(words, []) == b" ".join(words)
+
+
+ROWS = [(None, "a a a a a a"), (1, None), (2, ""), (3, " \t\n"), (4, "x " * 400), (4, "x " * 400),
+        (5, "é ü é ü é ü é ü é"), (6, "one word " * 9), (10, "a\x0bb\x0ca\rb a b\na b")]
+
+
+def expected_row(doc_id, text):
+    words = WORD.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if doc_id is not None and h % 10 == 0 and n > 0:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+    runs = all_runs(words)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    kept = [w for i, w in enumerate(words) if not any(s + p <= i < s + length for s, length, p in runs)]
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return (doc_id, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+            sha("".join(f"{s},{length},{p}\n" for s, length, p in runs)), sha(" ".join(kept)))
+
+
+def test_query_matches_brute_force(spark, tmp_path):
+    source = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+              if r.doc_id % 10 == 0 or zlib.crc32(str(r.doc_id).encode()) % 10 == 0]
+    rows = ROWS + [(i, t) for i, t in source if t is None or len(t) < 20_000]
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op11_periodic_runs"](spark, str(tmp_path))
+    assert got.dtypes == [("doc_id", "bigint"), ("n_runs", "bigint"), ("start", "bigint"), ("length", "bigint"),
+                          ("period", "bigint"), ("exponent_milli", "bigint"), ("runs_sha256", "string"),
+                          ("collapsed_sha256", "string")]
+    order = lambda r: tuple(map(str, r))
+    expected = sorted((expected_row(*r) for r in rows), key=order)
+    assert sorted(map(tuple, got.collect()), key=order) == expected
+    assert sum(r[1] > 0 for r in expected) > 20
+
+
+def test_clashing_columns_and_empty_tables(spark):
+    frame = spark.createDataFrame([(1, "a a a a a a a", 5, "x"), (2, None, None, None)],
+                                  "doc_id long, text string, runs long, `Collapsed` string")
+    got = {r.doc_id: r for r in find_runs(frame).collect()}
+    assert got[1].collapsed == "a" and [tuple(r) for r in got[1].runs] == [(0, 7, 1)]
+    assert got[2].collapsed == "" and got[2].runs == []
+    assert find_runs(frame.where("false")).count() == 0
+    assert [len(r.runs) for r in find_runs(frame, min_length=8).orderBy("doc_id").collect()] == [0, 0]

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import queries_dedup, queries_documents, queries_models, queries_packing, queries_url
+from . import queries_dedup, queries_documents, queries_models, queries_packing, queries_runs, queries_url
 
-_MODULES = [queries_url, queries_documents, queries_dedup, queries_models, queries_packing]
+_MODULES = [queries_url, queries_documents, queries_dedup, queries_models, queries_packing, queries_runs]
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
