@@ -1,0 +1,143 @@
+"""Operator 13 against numpy's symmetric eigenvectors of the exact covariance."""
+
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from wrenchcast.llm import queries
+from wrenchcast.llm.bidiagonal import bidiagonalise, dqds, right_vectors, twisted_vector
+from wrenchcast.llm.whitening import scaled_deviation, squared_length, whiten
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+COLUMNS = ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+
+
+def matrix(kind, n, rng):
+    a = np.triu(rng.standard_normal((n, n)))
+    if kind == "graded":
+        a *= np.logspace(0, -5, n)[None, :]
+    elif kind == "flat":  # all values equal
+        a = np.linalg.qr(a)[0]
+    elif kind == "low rank":
+        a[:, n // 2:] = a[:, :n - n // 2] @ rng.standard_normal((n - n // 2, n - n // 2))
+    elif kind == "pairs":
+        u, v = (np.linalg.qr(rng.standard_normal((n, n)))[0] for _ in range(2))
+        a = u @ np.diag(np.repeat(np.arange(1.0, n // 2 + 2), 2)[:n]) @ v
+    elif kind == "zero":
+        a *= 0
+    return a
+
+
+@pytest.mark.parametrize("kind", ["plain", "graded", "flat", "low rank", "pairs", "zero"])
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 64])
+def test_values_and_vectors_are_those_of_the_matrix(kind, n):
+    a = matrix(kind, n, np.random.default_rng(n))
+    values, vectors = right_vectors(a, 32)
+    exact = np.linalg.svd(a, compute_uv=False) ** 2
+    top = max(exact[0], 1e-300)
+    assert np.allclose(values, exact, rtol=1e-11, atol=1e-13 * top)
+    k = min(32, int((exact > 1e-12 * top).sum())) if exact[0] else 0
+    assert vectors.shape == (n, k)
+    assert np.allclose(vectors.T @ vectors, np.eye(k), atol=1e-12)
+    assert np.allclose(a.T @ (a @ vectors), vectors * exact[:k], atol=1e-12 * top)
+
+
+def test_dqds_is_relatively_accurate():
+    """The smallest values of a graded bidiagonal matrix keep their digits (exact determinant as the yardstick)."""
+    a, b = np.logspace(0, -7, 8), np.logspace(-1, -7, 7)
+    values = dqds(a, b)
+    product = 1
+    for x in a:
+        product *= Fraction(float(x)) ** 2
+    found = 1
+    for v in values:
+        found *= Fraction(float(v))
+    assert abs(found / product - 1) < 1e-13
+    t = np.diag(a) + np.diag(b, 1)
+    z = twisted_vector(a, b, values[-1])
+    assert np.allclose(t.T @ t @ z, values[-1] * z, atol=1e-15)
+
+
+def test_bidiagonal_form_keeps_the_matrix():
+    a = np.random.default_rng(4).standard_normal((9, 9))
+    d, e, v = bidiagonalise(a)
+    t = np.diag(d) + np.diag(e, 1)
+    assert np.allclose(v @ (t.T @ t) @ v.T, a.T @ a) and np.allclose(v.T @ v, np.eye(9))
+
+
+def test_exact_integers_beyond_longs():
+    x = np.array([[2**61, 5], [-2**61, 7]])
+    deviation = scaled_deviation(x, 2, [0, 12])
+    assert deviation.tolist() == [[2**62, -2], [-2**62, 2]]
+    assert squared_length(deviation) == [None, None]
+    assert squared_length(np.array([[3, 4]])) == [25]
+    assert squared_length(np.array([[2**31, 2**31 + 1]])) == [2**62 + (2**31 + 1) ** 2 if
+                                                             2**62 + (2**31 + 1) ** 2 < 2**63 else None]
+
+
+def expected(vectors, most=32):
+    """n, deviations, covariance eigenvalues and the whitened rows up to sign."""
+    x = np.floor(64 * np.array(vectors, dtype=np.float32).astype(float)).astype(np.int64) + 1_000_000
+    n, s = len(x), x.sum(axis=0)
+    centred = x - s / n
+    values, directions = np.linalg.eigh(centred.T @ centred / n)
+    values, directions = values[::-1], directions[:, ::-1]
+    k = min(most, int((values > 1e-12 * values[0]).sum()))
+    return n, ((n * x - s) ** 2).sum(axis=1), values, centred @ directions[:, :k] / np.sqrt(values[:k])
+
+
+def compare(rows, vectors, ids):
+    n, deviation, values, white = expected(vectors)
+    k = white.shape[1]
+    assert len(rows) == n * k
+    got = np.full(white.shape, np.nan)
+    place = {i: p for p, i in enumerate(ids)}
+    for r in rows:
+        p = place[r.vec_id]
+        assert (r.n, r.deviation) == (n, deviation[p]) and r.identity_error < 1e-9
+        assert r.explained == pytest.approx(values[r.component - 1] / values.sum(), rel=1e-9)
+        got[p, r.component - 1] = r.whitened
+    sign = np.sign((got * white).sum(axis=0))
+    gaps = np.minimum(np.append(-np.diff(values), np.inf), np.insert(-np.diff(values), 0, np.inf))[:k]
+    for c in np.flatnonzero(gaps > 1e-6 * values[0]):
+        assert np.allclose(got[:, c], sign[c] * white[:, c], atol=1e-6)
+    assert np.allclose(got.T @ got / n, np.eye(k), atol=1e-9)
+
+
+def test_query_matches_numpy(spark):
+    sf = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    got = queries.QUERIES["op13_whitening"](spark, sf)
+    assert got.columns == COLUMNS
+    assert [t for _, t in got.dtypes] == ["bigint", "int", "bigint", "bigint", "double", "double", "double"]
+    compare(got.collect(), [r.embedding for r in table], [r.vec_id for r in table])
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_many_blocks_and_unusable_rows(spark, parts):
+    rng = np.random.default_rng(parts)
+    vectors = rng.standard_normal((90, 5)).astype(np.float32)
+    vectors[30:70] = vectors[29]  # a hot vector
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    bad = [(900, None, 1), (901, [], None), (902, [1.0, None, 1.0, 1.0, 1.0], 1), (903, [float("nan")] * 5, 1),
+           (904, [float("inf"), 0.0, 0.0, 0.0, 0.0], 1), (905, [1.0, 2.0], 1), (906, [3e38] * 5, 1)]
+    frame = spark.createDataFrame(rows + bad, SCHEMA).repartition(parts)
+    clashing = frame.withColumn("n", frame.label).withColumn("component", frame.label).withColumn("vector", frame.label)
+    compare(whiten(clashing).collect(), vectors, range(90))
+
+
+def test_ties_repeats_and_no_variance(spark):
+    corners = [(i, [float(a), float(b), 0.0], 0) for i, (a, b) in enumerate([(0, 1), (1, 0), (0, -1), (-1, 0)])]
+    got = whiten(spark.createDataFrame(corners + corners, SCHEMA)).collect()
+    assert len(got) == 16 and all(abs(r.explained - 0.5) < 1e-12 and r.identity_error < 1e-12 for r in got)
+    assert whiten(spark.createDataFrame(corners[:1] * 5, SCHEMA)).count() == 0
+    for rows in ([], [(1, None, None), (None, None, None)], [(1, [], 1)]):
+        empty = whiten(spark.createDataFrame(rows, SCHEMA))
+        assert empty.columns == COLUMNS and empty.count() == 0
+
+
+def test_null_ids_stay(spark):
+    rows = [(None, [float(i), float(i * i)], 0) for i in range(6)]
+    got = whiten(spark.createDataFrame(rows, SCHEMA), most=1).collect()
+    assert len(got) == 6 and {r.vec_id for r in got} == {None} and {r.component for r in got} == {1}
