@@ -106,18 +106,16 @@ def line_places(text):
 
 
 def dedup_lines(docs, min_words=3):
-    """Remaining text and number of deleted lines by doc_id; ``docs`` maps doc_id to text."""
-    first = {}
-    for i in sorted(docs):
-        for key, occ, ordinal, _, _ in line_places(docs[i]):
-            first.setdefault((key, occ), (i, ordinal))
+    """Remaining text and number of deleted lines by doc_id, each document aligned with every earlier one that shares a
+    line; ``docs`` maps doc_id to text."""
+    holders = defaultdict(list)
     out = {}
-    for i, text in docs.items():
+    for i in sorted(docs):
         partners = defaultdict(list)
-        for key, occ, ordinal, pos, n in line_places(text):
-            holder, early = first[key, occ]
-            if holder != i:
-                partners[holder].append((ordinal, early, pos, n))
+        for key, occ, ordinal, pos, n in line_places(docs[i]):
+            for earlier, place in holders[key, occ]:
+                partners[earlier].append((ordinal, place, pos, n))
+            holders[key, occ].append((i, ordinal))
         doomed = set()
         for anchors in partners.values():
             blocks, last = [], None
@@ -130,8 +128,7 @@ def dedup_lines(docs, min_words=3):
             for b in blocks:
                 if sum(a[3] for a in b) >= min_words:
                     doomed |= {a[2] for a in b}
-        lines = text.split("\n")
-        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in doomed), len(doomed)
+        out[i] = "\n".join(x for k, x in enumerate(docs[i].split("\n")) if k not in doomed), len(doomed)
     return out
 
 
