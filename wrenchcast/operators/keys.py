@@ -10,7 +10,10 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wrenchcast.session import write_table
+from wrenchcast.operators.ranges import range_bucket
+
+#: Ranges for each shuffle partition in ``add_row_number``: more ranges than tasks even out what hashing deals a task.
+RANGES_PER_TASK = 2
 
 
 def add_surrogate_key(df: DataFrame, name: str = "key") -> DataFrame:
@@ -21,34 +24,31 @@ def add_surrogate_key(df: DataFrame, name: str = "key") -> DataFrame:
 
 def add_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "row_num",
                    num_partitions: int | None = None) -> DataFrame:
-    """1-based row number by ``order`` (must be a total order), distributed.
+    """1-based row number by ``order`` (must be a total order), distributed and lazy.
 
     ``row_number() OVER (ORDER BY ...)`` without PARTITION BY sorts every row in
     one task. Instead:
-      1. range-partition by the order and sort inside each partition;
-      2. count rows per partition (one small row per partition);
-      3. prefix-sum those counts (as many rows as partitions, a proven bound)
-         and broadcast them;
-      4. number = offset of the partition + position inside it.
-    The range bounds come from a sample whose seed depends on the plan, so
-    two branches planning their own exchange could cut partitions
-    differently. The numbered partitions are therefore written once, as a
-    table in the cluster's shared ``spark.checkpoint.dir``, and both branches
-    read that copy: the counts only its two number columns, and a query that
-    needs few columns only those; a lost executor reads it again instead of
-    re-sampling. Without ``num_partitions`` the cluster's shuffle partitions are
-    the start and AQE merges small neighbours, which keeps their order.
+      1. ``range_bucket`` cuts the order into ranges of about equal counts, by
+         split points that are a subquery of the plan;
+      2. rows are counted per range (a partial aggregate, one row per range);
+      3. prefix sums of these counts (as many rows as ranges, a proven bound)
+         are broadcast;
+      4. number = offset of the range + position inside it, the rows' only
+         shuffle.
+    Nothing runs or is written when the frame is built, and columns that a query
+    does not need are not read. ``df`` is read once more than ``range_bucket``
+    does; when it is costly to compute, or not the same on each read, write it
+    first. ``num_partitions`` (the session's shuffle partitions without it) sets
+    how many tasks the ranges are for; the numbers do not depend on it.
     """
-    dealt = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-    ranged = write_table(dealt.sortWithinPartitions(*order)
-                         .withColumn("_pid", F.spark_partition_id())
-                         .withColumn("_mid", F.monotonically_increasing_id()))
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_base"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", "_base", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_mid") - F.col("_base") + F.col("_off") + F.lit(1))
-            .drop("_pid", "_mid", "_base", "_off"))
+    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = range_bucket(df, order, RANGES_PER_TASK * parts, "_range")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return (ranged.withColumn(name, inside).join(F.broadcast(offsets), "_range", "left")
+            .withColumn(name, F.col(name) + F.col("_off")).drop("_range", "_off"))
 
 
 def frequency_index(df: DataFrame, column: str, name: str = "index") -> DataFrame:

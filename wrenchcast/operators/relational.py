@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wrenchcast.functions.scalar import exact_sum
+from wrenchcast.operators.ranges import range_bucket
 from wrenchcast.session import write_table
 
 # --------------------------------------------------------------------------
@@ -259,36 +260,38 @@ def quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Exact discrete quartiles: the smallest value at which at least a quarter,
     half, three quarters of the non-null values are reached. Values are counted
     per column first (a partial aggregate, so a value that fills a third of the
-    rows is one row per task). Their running sums come in two levels, within
-    buckets of the value range and over the buckets' totals, so no task sorts a
-    whole column.
+    rows is one row per task). The distinct values are cut into ranges of equal
+    count, wherever they lie; the ranges' totals tell which of them hold a wanted
+    rank, and only those (at most three of a column) get running sums, so no task
+    sorts a whole column, far outliers or not.
     """
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
                                          for c in cols])).alias("r")).select("r.*").where("x IS NOT NULL")
-    counts = write_table(long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")))  # read three times below
-    ends = counts.groupBy("column").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("all"))
-    placed = counts.join(F.broadcast(ends), "column")  # one row per column
-    place = F.floor((F.col("x") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)) * _QUARTILE_BUCKETS)
-    placed = placed.withColumn("bucket", F.coalesce(place, F.lit(0)).cast("int"))
-    totals = placed.groupBy("column", "bucket").agg(F.sum("n").alias("in_bucket"))
-    before = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("column", "bucket", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("before"))
+    counts = write_table(long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")))  # read again below
+    ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = range_bucket(counts, ["column", "x"], ranges, "bucket")
+    totals = placed.groupBy("column", "bucket").agg(F.sum("n").alias("held"), F.min("x").alias("lo"),
+                                                    F.max("x").alias("hi"))
+    whole = Window.partitionBy("column")  # one row per range
+    spans = totals.select(
+        "column", "bucket", (F.sum("held").over(whole.orderBy("bucket")) - F.col("held")).alias("before"), "held",
+        F.sum("held").over(whole).alias("all"), F.min("lo").over(whole).alias("min"), F.max("hi").over(whole).alias("max"))
+    wanted = F.lit(False)
+    for k in (1, 2, 3):
+        rank = F.col("all") * k
+        wanted = wanted | ((F.col("before") * 4 < rank) & ((F.col("before") + F.col("held")) * 4 >= rank))
     inside = Window.partitionBy("column", "bucket").orderBy("x")
-    ranked = (placed.join(F.broadcast(starts), ["column", "bucket"])
+    ranked = (placed.join(F.broadcast(spans.where(wanted)), ["column", "bucket"])
               .withColumn("reached", F.col("before") + F.sum("n").over(inside)))
     quarter = [F.min(F.when(F.col("reached") * 4 >= F.col("all") * k, F.col("x"))).alias(name)
                for k, name in ((1, "q1"), (2, "median"), (3, "q3"))]
-    found = ranked.groupBy("column").agg(F.max("all").alias("count"), F.min("x").alias("min"), *quarter,
-                                         F.max("x").alias("max"))
+    found = ranked.groupBy("column").agg(F.max("all").alias("count"), F.max("min").alias("min"), *quarter,
+                                         F.max("max").alias("max"))
     names = df.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(cols)], "column string")
     return names.join(found, "column", "left").select(
         "column", F.coalesce("count", F.lit(0)).alias("count"), "min", "q1", "median", "q3", "max")
 
 
-#: Buckets of a column's value range in ``quartiles``.
-_QUARTILE_BUCKETS = 1024
-
-
 def distinct_rows(df: DataFrame, *cols: str) -> DataFrame:
     return (df.select(*cols) if cols else df).distinct()
 
