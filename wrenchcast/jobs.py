@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wrenchcast.ml.registry import RunRegistry
@@ -22,8 +22,9 @@ from wrenchcast.ml.train import train_models
 from wrenchcast.operators.matrix import build_matrix, daily_table, matrix_from_daily
 from wrenchcast.sources.files import read_matrix
 from wrenchcast.sources.jdbc import INTERRUPTION_TABLE, KPI_TABLE, read_interruptions, read_kpis
-from wrenchcast.sources.readings import read_readings
+from wrenchcast.sources.readings import observed_counts, read_readings
 from wrenchcast.sources.sinks import write_daily, write_matrix
+from wrenchcast.sources.store import MatrixStore
 
 STAGES = ("all", "management", "analysis", "classifier")
 
@@ -33,6 +34,7 @@ class Sources:
     readings: DataFrame       # asset_id, day, value
     kpis: DataFrame           # asset_id, day, flighthours, flightcycles, delayedminutes
     interruptions: DataFrame  # asset_id, event_day
+    reading_counts: Observation | None = None  # filled by the first action that scans the readings
 
 
 def load_sources(spark: SparkSession, sensor_folder: str, warehouse_url: str, warehouse_props: dict,
@@ -43,10 +45,11 @@ def load_sources(spark: SparkSession, sensor_folder: str, warehouse_url: str, wa
     files, a KPI table in the warehouse and an interruption table in the
     operations database. ``*_partitioning`` are the parallel JDBC read options
     (``partition_column``, ``lower_bound``, ``upper_bound``, ``num_partitions``)."""
-    return Sources(read_readings(spark, sensor_folder, recursive=recursive),
+    counts = Observation()
+    return Sources(read_readings(spark, sensor_folder, recursive=recursive, counts=counts),
                    read_kpis(spark, warehouse_url, warehouse_props, table=kpi_table, **(kpi_partitioning or {})),
                    read_interruptions(spark, events_url, events_props, table=event_table,
-                                      **(event_partitioning or {})))
+                                      **(event_partitioning or {})), counts)
 
 
 def matrix_for_record(spark: SparkSession, sensor_folder: str, warehouse_url: str, warehouse_props: dict,
@@ -68,20 +71,24 @@ def matrix_for_record(spark: SparkSession, sensor_folder: str, warehouse_url: st
     return build_matrix(readings, kpis, events, horizon_days=horizon_days)
 
 
-def daily_path(matrix_path: str) -> str:
-    return matrix_path.rstrip("/") + "_daily"
-
-
 def run_management(sources: Sources, matrix_path: str, horizon_days: int = 7,
                    value_scale: int | None = None) -> DataFrame:
     """Write the daily table (what the classifier joins with), then the
     labelled matrix derived from the stored daily table: the raw readings
-    are scanned once, and the written table cuts the lineage."""
+    are scanned once, and the written table cuts the lineage.
+
+    Both go to a new version under ``matrix_path``, which becomes the current one
+    when both are complete (``sources.store``). Its manifest row holds what the
+    scan of the readings counted, good and bad rows, when the sources come from
+    ``load_sources``.
+    """
     spark = sources.readings.sparkSession
-    write_daily(daily_table(sources.readings, sources.kpis, value_scale), daily_path(matrix_path))
-    stored = spark.read.parquet(daily_path(matrix_path))
-    matrix = matrix_from_daily(stored, sources.interruptions, horizon_days)
-    write_matrix(matrix, matrix_path)
+    store = MatrixStore(spark, matrix_path)
+    version = store.new_version()
+    write_daily(daily_table(sources.readings, sources.kpis, value_scale), store.path(version, "daily"))
+    matrix = matrix_from_daily(store.daily(version), sources.interruptions, horizon_days)
+    write_matrix(matrix, store.matrix_path(version))
+    store.commit(version, horizon_days, observed_counts(sources.reading_counts) if sources.reading_counts else None)
     return read_matrix(spark, matrix_path)
 
 
@@ -103,7 +110,7 @@ def run_classifier(spark: SparkSession, requests: DataFrame, matrix_path: str, r
     pipeline. ``valid`` replaces the default request-format check."""
     model = RunRegistry(spark, registry_root).load_best_model(experiment, choice, idx)
     requests = requests.persist()  # read for its days now and by the join when the caller runs the result
-    daily = daily_for_requests(requests, spark.read.parquet(daily_path(matrix_path)))
+    daily = daily_for_requests(requests, MatrixStore(spark, matrix_path).daily())
     return score_requests(complete_requests_daily(requests, daily, valid), model)
 
 

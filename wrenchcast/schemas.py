@@ -67,6 +67,17 @@ REQUESTS = T.StructType([
     T.StructField("asset_id", T.StringType()),
 ])
 
+# Counts of the raw readings that a scan saw (``sources.readings``).
+READING_COUNTS = ("n_rows", "n_good", "bad_file_name", "bad_date", "bad_value")
+
+# One row per committed version of the stored tables.
+MANIFEST = T.StructType([
+    T.StructField("version", T.StringType()),
+    T.StructField("committed_at", T.TimestampType()),
+    T.StructField("horizon_days", T.IntegerType()),
+    *[T.StructField(c, T.LongType()) for c in READING_COUNTS],
+])
+
 # One row per trained model in the run table.
 RUNS = T.StructType([
     T.StructField("run_id", T.StringType()),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from wrenchcast.operators.matrix import cast_matrix
 from wrenchcast.schemas import MATRIX, MATRIX_CSV
+from wrenchcast.sources.store import MatrixStore
 
 
 def read_csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",",
@@ -52,9 +53,11 @@ def read_matrix(spark: SparkSession, path: str, fmt: str = "parquet", days: tupl
     the matching month folders are listed and read (Spark cannot derive a
     month filter from a day filter by itself). The reference's CSV layout
     (``aircraft id``, text ``date``) is read with a declared schema and renamed.
+    Where ``path`` holds versions (``sources.store``), the current one is read.
     """
     if fmt == "parquet":
-        df = spark.read.parquet(path)
+        store = MatrixStore(spark, path)
+        df = spark.read.parquet(store.matrix_path() if store.exists() else path)
         if days is not None:
             first, last = (F.lit(d).cast("date") for d in days)
             df = df.where(F.col("month").between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM"))

@@ -9,8 +9,10 @@ column, so file listing, splitting and reading are spread over executors.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wrenchcast.functions.scalar import asset_from_file_name, day_text, parse_iso_day
@@ -58,30 +60,49 @@ def normalise_readings(raw: DataFrame) -> DataFrame:
                       F.col("value"))
 
 
-def read_readings(spark: SparkSession, folder: str, asset_id: str | None = None,
-                  recursive: bool = False) -> DataFrame:
+def read_readings(spark: SparkSession, folder: str, asset_id: str | None = None, recursive: bool = False,
+                  counts: Observation | None = None) -> DataFrame:
     """Readings of a sensor folder; rows without a value, a date or a well-formed
-    file name are dropped here and counted by reason in ``reading_issues``."""
+    file name are dropped here and counted by reason.
+
+    ``counts`` is an ``Observation`` that the scan itself fills (``READING_COUNTS``):
+    after the first action on the readings, ``observed_counts`` gives them, without
+    another pass. ``reading_issues`` counts the same in a pass of its own.
+    """
     raw = read_raw_readings(spark, folder, asset_id, recursive)
+    if counts is not None:
+        raw = raw.observe(counts, *_issue_counts())
     good = raw.where(~_bad_value())
     return normalise_readings(good).where("asset_id IS NOT NULL AND day IS NOT NULL").select([F.col(f.name).cast(f.dataType) for f in READINGS.fields])
 
 
+def observed_counts(counts: Observation, seconds: float = 60.0) -> dict | None:
+    """What the first action on the observed readings has counted; None if none reports within ``seconds``."""
+    got: list[dict] = []
+    waiting = threading.Thread(target=lambda: got.append(counts.get), daemon=True)
+    waiting.start()
+    waiting.join(seconds)
+    return got[0] if got else None
+
+
 def _bad_value():
     return F.col("_corrupt_record").isNotNull() | F.col("value").isNull()
 
 
-def reading_issues(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
-    """One row, from one pass: n_rows, n_good (what ``read_readings`` returns) and
-    the rows with a bad_file_name, a bad_date and a bad_value. A row may have
-    several issues and counts for each."""
-    raw = read_raw_readings(spark, folder, recursive=recursive)
+def _issue_counts() -> list[Column]:
     bad = {"bad_file_name": asset_from_file_name("file_name").isNull(),
            "bad_date": parse_iso_day(day_text("date")).isNull(), "bad_value": _bad_value()}
     good = ~(bad["bad_file_name"] | bad["bad_date"] | bad["bad_value"])
     count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
-    return raw.agg(F.count(F.lit(1)).alias("n_rows"), count(good).alias("n_good"),
-                   *[count(c).alias(name) for name, c in bad.items()])
+    return [F.count(F.lit(1)).alias("n_rows"), count(good).alias("n_good"),
+            *[count(c).alias(name) for name, c in bad.items()]]
+
+
+def reading_issues(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """One row, from one pass: n_rows, n_good (what ``read_readings`` returns) and
+    the rows with a bad_file_name, a bad_date and a bad_value. A row may have
+    several issues and counts for each."""
+    return read_raw_readings(spark, folder, recursive=recursive).agg(*_issue_counts())
 
 
 def bad_reading_count(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:

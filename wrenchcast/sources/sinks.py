@@ -2,7 +2,8 @@
 
 All writes are done by the executors; ``mode('overwrite')`` deletes the old folder
 before the new files are committed (the reference tried ``os.remove`` on a
-folder, which fails), so readers of a folder in use need a new path per write.
+folder, which fails), so readers of a folder in use need a new path per write; the
+management stage's tables get one through ``sources.store``.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -81,17 +81,20 @@ def _batch_writer(daily: DataFrame, model: PipelineModel, output_path: str, vali
                   on_exit=lambda: None):
     """Scores a micro-batch against the days it asks about only and writes it to
     ``output_path/batch_id=<n>`` with overwrite, so that a batch replayed after a
-    failure replaces its own output."""
+    failure replaces its own output. Exit requests are counted by the write
+    itself (an observed metric); the output is not read again."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         target = f"{output_path.rstrip('/')}/batch_id={batch_id}"
         batch.persist()  # read for its days and by the scoring below
         try:
+            seen = Observation()
             scored = scored_stream(batch, None, None, model, daily_for_requests(batch, daily), valid)
-            scored.write.mode("overwrite").parquet(target)
+            exits = F.count_if(F.col("status") == STATUS_EXIT).alias("exits")
+            scored.observe(seen, exits).write.mode("overwrite").parquet(target)
         finally:
             batch.unpersist()
-        if not batch.sparkSession.read.parquet(target).where(F.col("status") == STATUS_EXIT).isEmpty():
+        if seen.get["exits"]:
             on_exit()
 
     return write_batch
