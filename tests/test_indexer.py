@@ -1,0 +1,79 @@
+"""The table-backed category index against Spark's own indexer."""
+
+import json
+import random
+
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
+from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+from wrenchcast.ml import features as ft
+from wrenchcast.ml.indexer import TableIndexer, TableIndexModel
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    rng = random.Random(8)
+    names = ["é", "", "a", "A", "tie1", "tie2", "XY-AAA"] + [f"asset{k}" for k in range(30)]
+    rows = [(i, rng.choice(names[:3] * 5 + names), None) for i in range(600)] + [(600, "tie1", 0), (601, "tie2", 0)]
+    rows = [(i, None if i % 50 == 0 else v, int(v in ("a", "é"))) for i, v, _ in rows]
+    return spark.createDataFrame(rows, "id long, v string, label int").persist()
+
+
+def numbers(model, frame):
+    return {r.id: r.n for r in model.transform(frame).select("id", "n").collect()}
+
+
+def both(frame):
+    own = StringIndexer(inputCol="v", outputCol="n", handleInvalid="keep", stringOrderType="frequencyDesc").fit(frame)
+    return own, TableIndexer(inputCol="v", outputCol="n").fit(frame)
+
+
+def test_numbers_are_those_of_string_indexer(spark, frame):
+    own, ours = both(frame)
+    assert numbers(ours, frame) == numbers(own, frame)
+    unseen = spark.createDataFrame([(1, "never"), (2, None), (3, "a")], "id long, v string")
+    assert numbers(ours, unseen) == numbers(own, unseen)
+    assert ours.categories() == len(own.labelsArray[0]) + 1
+
+
+def test_saved_pipeline_keeps_the_index_as_a_table(spark, frame, tmp_path):
+    stages = [TableIndexer(inputCol="v", outputCol="n"), VectorAssembler(inputCols=["n"], outputCol="features")]
+    model = Pipeline(stages=stages).fit(frame)
+    path = str(tmp_path / "model")
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    assert numbers(again, frame) == numbers(model, frame)
+    loaded = again.stages[0]
+    assert isinstance(loaded, TableIndexModel) and loaded.categories() == model.stages[0].categories()
+    assert loaded.uid == model.stages[0].uid
+    assert not any(name in str(loaded.__dict__) for name in ("asset7", "tie1"))
+    meta = json.dumps(again.transform(frame).schema["features"].metadata)
+    assert "num_vals" in meta and "asset7" not in meta
+
+
+def test_trees_split_it_as_a_category(spark, frame):
+    """Same tree as with Spark's indexer: the metadata makes the feature nominal."""
+    trees = []
+    for indexer in both(frame):
+        assembled = VectorAssembler(inputCols=["n"], outputCol="features").transform(indexer.transform(frame))
+        tree = DecisionTreeClassifier(labelCol="label", maxDepth=3, maxBins=64, seed=1).fit(assembled)
+        assert isinstance(tree, DecisionTreeClassificationModel)
+        trees.append(tree.toDebugString.split("\n", 1)[1])
+        with pytest.raises(Exception, match="maxBins"):
+            DecisionTreeClassifier(labelCol="label", maxBins=8).fit(assembled)
+    assert trees[0] == trees[1] and " in {" in trees[0]
+
+
+def test_feature_pipeline_sizes(spark, frame):
+    sizes = ft.category_sizes(Pipeline(stages=[TableIndexer(inputCol="v", outputCol="n")]).fit(frame))
+    assert sizes == {"n": frame.select("v").distinct().where("v IS NOT NULL").count() + 1}
+
+
+def test_empty_and_all_null_columns(spark):
+    empty = spark.createDataFrame([], "id long, v string")
+    nulls = spark.createDataFrame([(1, None)], "id long, v string")
+    for frame in (empty, nulls):
+        model = TableIndexer(inputCol="v", outputCol="n").fit(frame)
+        assert model.categories() == 1 and numbers(model, nulls) == {1: 0.0}

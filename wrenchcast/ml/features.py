@@ -8,7 +8,9 @@ indexers on the test split and on every single request).
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+
+from wrenchcast.ml.indexer import TableIndexer, TableIndexModel
 
 #: Values of the hashed asset feature.
 HASHED_ASSETS = 1 << 20
@@ -30,17 +32,15 @@ def feature_pipeline(date_feature: str = "calendar", handle_invalid: str = "skip
       ``category`` (default, as in the reference): the asset index is a
       nominal feature, so trees need ``maxBins`` > number of assets;
       ``continuous``: a hash of the asset as a number, for fleets too large for
-      one bin per asset; it needs no vocabulary, neither on the driver nor in
-      the saved model;
+      one bin per asset; it needs no vocabulary;
       ``none``: no asset feature.
     """
     prep = SQLTransformer(statement=(
         "SELECT *, CAST(asset_id AS STRING) AS feat_asset, CAST(day AS STRING) AS feat_day, "
         "CAST(dayofweek(day) AS DOUBLE) AS feat_day_of_week, CAST(month(day) AS DOUBLE) AS feat_month "
         "FROM __THIS__"))
-    # Ties of frequency are broken alphabetically; unseen assets get an extra index.
-    stages = [prep, StringIndexer(inputCol="feat_asset", outputCol="feat_asset_index", handleInvalid="keep",
-                                  stringOrderType="frequencyDesc")]
+    # Ties of frequency are broken alphabetically; unseen assets get an extra index. The index is a table (``indexer``).
+    stages = [prep, TableIndexer(inputCol="feat_asset", outputCol="feat_asset_index")]
     if asset_feature == "category":
         inputs = ["feat_asset_index"]
     elif asset_feature == "continuous":
@@ -53,7 +53,7 @@ def feature_pipeline(date_feature: str = "calendar", handle_invalid: str = "skip
     else:
         raise ValueError("asset_feature must be 'category', 'continuous' or 'none'")
     if date_feature == "index":
-        stages.append(StringIndexer(inputCol="feat_day", outputCol="feat_day_index", handleInvalid="keep"))
+        stages.append(TableIndexer(inputCol="feat_day", outputCol="feat_day_index"))
         inputs.append("feat_day_index")
     elif date_feature == "calendar":
         inputs += ["feat_day_of_week", "feat_month"]
@@ -71,12 +71,8 @@ def feature_width(model: PipelineModel) -> int:
 
 
 def category_sizes(model: PipelineModel) -> dict[str, int]:
-    """Number of values of each categorical feature (labels + 1 for unseen)."""
-    out = {}
-    for s in model.stages:
-        if hasattr(s, "labelsArray") and hasattr(s, "getOutputCol"):
-            out[s.getOutputCol()] = len(s.labelsArray[0]) + 1
-    return out
+    """Number of values of each categorical feature (one more for unseen)."""
+    return {s.getOutputCol(): s.categories() for s in model.stages if isinstance(s, TableIndexModel)}
 
 
 def with_invalid_kept(model: PipelineModel) -> PipelineModel:

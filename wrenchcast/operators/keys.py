@@ -51,19 +51,24 @@ def add_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "ro
             .withColumn(name, F.col(name) + F.col("_off")).drop("_range", "_off"))
 
 
+def value_ranks(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Each distinct value of ``column`` with its rank by falling frequency, ties by ascending value, nulls last, as a
+    DOUBLE from 0. Counts are a partial aggregate, ranks the distributed row number over them."""
+    counts = df.groupBy(F.col(column)).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.col(column).isNull().asc(), F.desc("_n"), F.asc(column)]
+    return add_row_number(counts, order, "_rank").select(column, (F.col("_rank") - 1).cast("double").alias(name))
+
+
 def frequency_index(df: DataFrame, column: str, name: str = "index") -> DataFrame:
     """Index of each value by descending frequency, ties by ascending text, as
     a DOUBLE from 0: the numbers ``StringIndexer(stringOrderType='frequencyDesc')``
     gives (I1), without bringing the vocabulary to the driver.
 
-    Counts per value are a partial aggregate; the rank over the counts is the
-    distributed row number above; the index goes back to the rows with a join
-    that AQE may broadcast when the vocabulary is small. Nulls get the index
-    after the last value, like ``handleInvalid='keep'``.
+    The index (``value_ranks``) goes back to the rows with a join that AQE may
+    broadcast when the vocabulary is small. Nulls get the index after the last
+    value, like ``handleInvalid='keep'``.
     """
     text = F.col(column).cast("string")
-    counts = df.groupBy(text.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = (add_row_number(counts, [F.col("_value").isNull().asc(), F.desc("_n"), F.asc("_value")], "_rank")
-              .select(F.col("_value").alias("_v"), (F.col("_rank") - 1).cast("double").alias(name)))
+    ranked = value_ranks(df.select(text.alias("_v")), "_v", name)
     out = df.withColumn("_value", text).join(ranked, F.col("_value").eqNullSafe(F.col("_v")), "left")
     return out.drop("_value", "_v")

@@ -21,7 +21,7 @@ from wrenchcast.plans import tables as tb
 def string_index(spark, sf_dir):
     """I1 over a column whose vocabulary grows with the data: the distributed
     frequency index gives StringIndexer's numbers without a driver-side label
-    list (the saved model pipeline still uses StringIndexer, see ml/features)."""
+    list (the saved model pipeline keeps its index as a table, see ml/indexer)."""
     events = tb.table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("asset"))
     return ky.frequency_index(events, "asset", "asset_index").select("event_id", "asset_index")
 
