@@ -16,9 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from wrenchcast.ml.registry import RunRegistry
+from wrenchcast.ml.ledger import FitLedger
+from wrenchcast.ml.registry import RunRegistry, model_class_filter
 from wrenchcast.ml.score import complete_requests_daily, daily_for_requests, score_requests
-from wrenchcast.ml.train import train_models
+from wrenchcast.ml.train import train_each
 from wrenchcast.operators.matrix import build_matrix, daily_table, matrix_from_daily
 from wrenchcast.sources.files import read_matrix
 from wrenchcast.sources.jdbc import INTERRUPTION_TABLE, KPI_TABLE, read_interruptions, read_kpis
@@ -93,13 +94,27 @@ def run_management(sources: Sources, matrix_path: str, horizon_days: int = 7,
 
 
 def run_analysis(spark: SparkSession, matrix_path: str, registry_root: str, experiment: str,
-                 **train_options) -> list[str]:
-    matrix = read_matrix(spark, matrix_path)
+                 search_id: str | None = None, **train_options) -> list[str]:
+    """Tune and log a model of each class; the run ids.
+
+    With a ``search_id`` the search can be interrupted: called again with it, only
+    the fits that are not recorded are made, and classes whose run is logged are
+    left as they are. Without one every call is a search of its own.
+    """
     registry = RunRegistry(spark, registry_root)
     run_ids = []
-    for trained in train_models(matrix, **train_options):
+    if search_id is not None:
+        logged = registry.runs().where((F.col("search_id") == search_id) & (F.col("experiment") == experiment))
+        found = {r["model_class"]: r["run_id"] for r in logged.select("model_class", "run_id").collect()}
+        names = train_options.pop("models", ("DecisionTree", "RandomForest"))
+        run_ids = [found[model_class_filter(n)] for n in names if model_class_filter(n) in found]
+        train_options["models"] = [n for n in names if model_class_filter(n) not in found]
+        train_options["ledger"] = FitLedger(spark, registry_root, search_id)
+        if not train_options["models"]:
+            return run_ids
+    for trained in train_each(read_matrix(spark, matrix_path), **train_options):
         run_ids.append(registry.log_run(experiment, trained.model, trained.model_class,
-                                        trained.metrics, trained.params))
+                                        trained.metrics, trained.params, search_id))
     return run_ids
 
 

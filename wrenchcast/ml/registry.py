@@ -70,7 +70,7 @@ class RunRegistry:
             return self.spark.createDataFrame([], RUNS)
 
     def log_run(self, experiment: str, model: PipelineModel, model_class: str, metrics: dict,
-                params: dict) -> str:
+                params: dict, search_id: str | None = None) -> str:
         """Save the fitted pipeline and append one run row."""
         run_id = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/models/{run_id}"
@@ -79,7 +79,7 @@ class RunRegistry:
                None if metrics.get("recall_positive") is None else float(metrics["recall_positive"]),
                int(params["num_features"]), int(params["max_depth"]), int(params["max_bins"]), path,
                dt.datetime.now(), params.get("skipped_rows"), params.get("skipped_test_rows"),
-               params.get("dropped_bins"))
+               params.get("dropped_bins"), search_id)
         self.spark.createDataFrame([row], RUNS).write.mode("append").parquet(self.runs_path)
         return run_id
 

@@ -7,22 +7,26 @@
 * The scored test rows are evaluated in one aggregation pass.
 * Model fits of the grid run in parallel (``parallelism``); each fit is a
   distributed Spark ML job whose split statistics are aggregated by executors.
+* With a ledger every finished fit is recorded, and a search begun again fits
+  only what is missing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wrenchcast.ml.evaluate import summary_metrics
 from wrenchcast.ml.features import NUMERIC_FEATURES, category_sizes, feature_pipeline, feature_width
+from wrenchcast.ml.ledger import FitLedger, Point, rows_key
 from wrenchcast.operators.sampling import by_day_split, hash_folds, hash_split
 
 # Fixed values of the reference's tuning: depth 5/10/15 x bins 120/140/160,
@@ -89,12 +93,47 @@ def skipped_rows(split: DataFrame, date_feature: str, asset_feature: str) -> tup
     return int(counts["rows"]), int(counts["skipped"])
 
 
-def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), depths=DEFAULT_DEPTHS,
-                 bins=DEFAULT_BINS, folds: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED,
-                 test_fraction: float = DEFAULT_TEST_FRACTION, date_feature: str = "calendar",
-                 parallelism: int = 4, first_test_day=None,
-                 asset_feature: str = "category", split_method: str = "hash",
-                 on_unusable_bins: str = "error") -> list[TrainedModel]:
+def cross_validate(estimator, name: str, points: list[Point], rows: DataFrame, folds: int, parallelism: int,
+                   ledger: FitLedger | None = None, data_key: str = "") -> tuple[Point, dict[Point, float]]:
+    """The grid point of best mean accuracy over the folds (the first of equal ones), and all means.
+
+    ``rows`` has features, label and fold. The numbers are those of Spark's ``CrossValidator`` with that fold column;
+    here each fit is a unit of its own, so that the ledger can hold it.
+    """
+    done = ledger.done(name, data_key) if ledger else {}
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
+    todo = [(p, f) for f in range(folds) for p in points if (p, f) not in done]
+    for fold in sorted({f for _, f in todo}):
+        for side, part in (("training", F.col("fold") != fold), ("validation", F.col("fold") == fold)):
+            if rows.where(part).isEmpty():
+                raise ValueError(f"no {side} rows at fold {fold}; use more rows or fewer folds")
+
+    def fit(task: tuple[Point, int]) -> tuple[tuple[Point, int], float]:
+        (depth, bins), fold = task
+        model = estimator.fit(rows.where(F.col("fold") != fold),
+                              {estimator.maxDepth: depth, estimator.maxBins: bins})
+        accuracy = evaluator.evaluate(model.transform(rows.where(F.col("fold") == fold)))
+        if ledger:
+            ledger.record(name, data_key, (depth, bins), fold, accuracy)
+        return task, accuracy
+
+    with ThreadPool(max(1, min(parallelism, len(todo)))) as pool:
+        done |= dict(pool.imap_unordered(inheritable_thread_target(rows.sparkSession)(fit), todo))
+    means = {p: sum(done[p, f] for f in range(folds)) / folds for p in points}
+    return max(points, key=lambda p: means[p]), means
+
+
+def train_models(matrix: DataFrame, **options) -> list[TrainedModel]:
+    """All of ``train_each``, whose options these are."""
+    return list(train_each(matrix, **options))
+
+
+def train_each(matrix: DataFrame, models=("DecisionTree", "RandomForest"), depths=DEFAULT_DEPTHS,
+               bins=DEFAULT_BINS, folds: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED,
+               test_fraction: float = DEFAULT_TEST_FRACTION, date_feature: str = "calendar",
+               parallelism: int = 4, first_test_day=None,
+               asset_feature: str = "category", split_method: str = "hash",
+               on_unusable_bins: str = "error", ledger: FitLedger | None = None) -> Iterator[TrainedModel]:
     """Fit every model class over the grid with k-fold CV; evaluate the best
     of each on the held-out rows.
 
@@ -104,6 +143,7 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
     ``on_unusable_bins='drop'`` they are left out, and each run records which
     (``dropped_bins``). Rows the assembler skips for a null in any feature are
     counted for the training and the test split and recorded with the run.
+    Finished fits are read from and added to the ``ledger``, if there is one.
     """
     if on_unusable_bins not in ("error", "drop"):
         raise ValueError("on_unusable_bins must be 'error' or 'drop'")
@@ -129,16 +169,12 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
     train_f = hash_folds(features.transform(train), key, folds, seed, "fold") \
         .select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     test_f = features.transform(test).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                                  metricName="accuracy")
-    results = []
+    points = [(d, b) for d in depths for b in usable_bins]
     try:
+        data_key = rows_key(train, folds, seed, date_feature, asset_feature) if ledger else ""
         for name, est in zip(models, _estimators(seed, models)):
-            grid = (ParamGridBuilder().addGrid(est.maxDepth, list(depths))
-                    .addGrid(est.maxBins, usable_bins).build())
-            cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=evaluator,
-                                numFolds=folds, seed=seed, parallelism=parallelism, foldCol="fold")
-            best = cv.fit(train_f).bestModel
+            (depth, most_bins), _ = cross_validate(est, name, points, train_f, folds, parallelism, ledger, data_key)
+            best = est.fit(train_f, {est.maxDepth: depth, est.maxBins: most_bins})
             metrics = summary_metrics(best.transform(test_f)).first().asDict()
             if not metrics.get("n"):
                 raise ValueError("the test split is empty; use more rows, another test_fraction or an earlier "
@@ -146,9 +182,7 @@ def train_models(matrix: DataFrame, models=("DecisionTree", "RandomForest"), dep
             params = {"num_features": width, "max_depth": best.getOrDefault("maxDepth"),
                       "max_bins": best.getOrDefault("maxBins"), "skipped_rows": skipped,
                       "skipped_test_rows": skipped_test, "dropped_bins": ",".join(map(str, dropped_bins))}
-            results.append(TrainedModel(type(best).__name__, PipelineModel(features.stages + [best]),
-                                        metrics, params))
+            yield TrainedModel(type(best).__name__, PipelineModel(features.stages + [best]), metrics, params)
     finally:
         train_f.unpersist()
         test_f.unpersist()
-    return results

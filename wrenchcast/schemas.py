@@ -94,4 +94,17 @@ RUNS = T.StructType([
     T.StructField("skipped_rows", T.LongType()),
     T.StructField("skipped_test_rows", T.LongType()),
     T.StructField("dropped_bins", T.StringType()),
+    T.StructField("search_id", T.StringType()),
+])
+
+# One row per finished fit of a named grid search.
+FITS = T.StructType([
+    T.StructField("search_id", T.StringType()),
+    T.StructField("data_key", T.StringType()),
+    T.StructField("model", T.StringType()),
+    T.StructField("max_depth", T.IntegerType()),
+    T.StructField("max_bins", T.IntegerType()),
+    T.StructField("fold", T.IntegerType()),
+    T.StructField("accuracy", T.DoubleType()),
+    T.StructField("finished_at", T.TimestampType()),
 ])
