@@ -9,8 +9,9 @@ the generated SQL.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wrenchcast.functions.scalar import parse_date
@@ -27,7 +28,7 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict | Non
                form: str = "options", single_read: bool = False) -> DataFrame:
     """A JDBC scan in parallel parts: ranges of ``partition_column`` (whole
     numbers, dates or timestamps; bounds as values or text) or one query per
-    predicate. ``single_read`` allows one unpartitioned query, for tables or
+    predicate (``plan_predicates`` makes even ones). ``single_read`` allows one unpartitioned query, for tables or
     filters known to be small; without it that is refused.
 
     ``form='options'`` (A5) goes through ``format('jdbc').options(...)``;
@@ -54,6 +55,92 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict | Non
     return spark.read.format("jdbc").options(url=url, dbtable=table, **props).load()
 
 
+#: A value with more than so many times a part's share of the rows is hot.
+HOT_SHARE = 1.5
+
+
+def plan_predicates(spark: SparkSession, url: str, table: str, column: str, num_parts: int,
+                    properties: dict | None = None, split_column: str | None = None) -> list[str]:
+    """Predicates for ``read_table`` that cut ``table`` into about ``num_parts`` parts of even size.
+
+    Range bounds guess that values are spread evenly; here the database counts the
+    rows of each value of ``column`` (one grouped query, so one row per distinct
+    value comes back: meant for dates or codes) and the ranges follow the counts. A
+    hot value gets parts of its own: ranges of ``split_column``, counted in a second
+    query over the hot values only, or without one a single part. Null values are a
+    part too. The parts cover every row once, also rows that are added between the
+    planning and the read.
+    """
+    if num_parts < 1:
+        raise ValueError("num_parts must be at least 1")
+    quote = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier
+    key = quote(column)
+    counted = _counts(spark, url, properties, f"SELECT {key} AS {quote('k')}, COUNT(*) AS {quote('n')} FROM {table} "
+                                              f"GROUP BY {key}").persist()
+    try:
+        sizes = counted.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("k").isNull(), F.col("n"))).alias("nulls")).first()
+        if not sizes["all"]:
+            return ["1 = 1"]
+        share = max(1.0, sizes["all"] / num_parts)
+        known = counted.where("k IS NOT NULL")
+        hot = [(r["k"], r["n"]) for r in  # fewer than num_parts
+               known.where(F.col("n") > HOT_SHARE * share).orderBy("k").collect()]
+        usual = known.where(F.col("n") <= HOT_SHARE * share)
+        starts = _starts(usual.select("k", "n", F.lit(0).alias("g")), share)
+    finally:
+        counted.unpersist()
+    out = []
+    lows = [low for _, low in starts]
+    for low, high in zip([None, *lows[1:]], [*lows[1:], None]) if lows or not hot else []:
+        apart = [f"{key} <> {_literal(v)}" for v, _ in hot if (low is None or v >= low) and (high is None or v < high)]
+        out.append(" AND ".join([_range(key, low, high), *apart]))
+    if not lows:  # only hot and null values now; any other value that is added meanwhile
+        out = [" AND ".join([f"{key} IS NOT NULL", *[f"{key} <> {_literal(v)}" for v, _ in hot]])]
+    if split_column is None:
+        out += [f"{key} = {_literal(v)}" for v, _ in hot]
+    elif hot:
+        split = quote(split_column)
+        parts = _counts(spark, url, properties, f"SELECT {key} AS {quote('g')}, {split} AS {quote('k')}, COUNT(*) AS "
+                        f"{quote('n')} FROM {table} WHERE {key} IN ({', '.join(_literal(v) for v, _ in hot)}) "
+                        f"GROUP BY {key}, {split}")
+        ranges: dict = {v: [] for v, _ in hot}
+        for g, low in _starts(parts.where("k IS NOT NULL"), share):
+            ranges[g].append(low)
+        for v, lows in ranges.items():
+            out += [f"{key} = {_literal(v)} AND {_range(split, low, high)}"
+                    for low, high in zip([None, *lows[1:]], [*lows[1:], None])] or [f"{key} = {_literal(v)} AND {split} IS NOT NULL"]
+            out.append(f"{key} = {_literal(v)} AND {split} IS NULL")
+    return out + [f"{key} IS NULL"]
+
+
+def _counts(spark: SparkSession, url: str, properties: dict | None, query: str) -> DataFrame:
+    return read_table(spark, url, f"({query}) counts", properties, single_read=True)
+
+
+def _starts(counted: DataFrame, share: float) -> list[tuple]:
+    """(g, first k) of ranges of about ``share`` rows inside each g, in order; ``counted`` has k, n, g."""
+    inside = Window.partitionBy("g").orderBy("k")
+    total = F.sum("n").over(Window.partitionBy("g"))
+    pieces = F.greatest(F.lit(1), F.round(total / F.lit(share)))
+    middle = F.sum("n").over(inside) - F.col("n") / 2
+    part = F.floor(middle * pieces / total)
+    found = counted.withColumn("part", part).groupBy("g", "part").agg(F.min("k").alias("low")).orderBy("g", "part")
+    return [(r["g"], r["low"]) for r in found.collect()]  # one row per part
+
+
+def _range(column: str, low, high) -> str:
+    bounds = ([] if low is None else [f"{column} >= {_literal(low)}"]) + \
+        ([] if high is None else [f"{column} < {_literal(high)}"])
+    return " AND ".join(bounds) or f"{column} IS NOT NULL"
+
+
+def _literal(value) -> str:
+    """SQL text of a value, as Spark's own JDBC pushdown writes it."""
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
 def read_kpis(spark: SparkSession, url: str, properties: dict | None = None, table: str = KPI_TABLE,
               asset_id: str | None = None, day=None, **partitioning) -> DataFrame:
     """Daily KPIs as (asset_id, day, flighthours, flightcycles, delayedminutes);
