@@ -12,6 +12,7 @@ from wrenchcast.ml import features as ft
 from wrenchcast.ml import registry as rg
 from wrenchcast.ml import score as scr
 from wrenchcast.ml.evaluate import summary_metrics
+from wrenchcast.ml.indexer import TableIndexModel
 from wrenchcast.ml.train import train_models
 from wrenchcast.streaming import score as stream
 
@@ -372,8 +373,9 @@ def test_indexers_fitted_on_training_rows_only(spark):
     m = _planted(spark, 500).unionByName(late)
     res = train_models(m, models=("DecisionTree",), depths=(3,), bins=(32,), folds=2,
                        first_test_day=D0 + dt.timedelta(days=90))
-    indexer = [s for s in res[0].model.stages if hasattr(s, "labelsArray")][0]
-    assert "XY-NEW" not in indexer.labelsArray[0] and len(indexer.labelsArray[0]) == 5
+    indexer = [s for s in res[0].model.stages if isinstance(s, TableIndexModel)][0]
+    known = [r.value for r in indexer.index.collect()]
+    assert "XY-NEW" not in known and len(known) == 5
     scored = res[0].model.transform(late).select("prediction").collect()
     assert len(scored) == 5  # the unseen asset is scored through the extra index
 
