@@ -1,14 +1,15 @@
 """Operator 7: language identification with language-bitmask n-gram filters.
 
 Training counts the letter n-grams of each language over all its rows. A language keeps the n-grams whose relative
-frequency in it is at least ``RATIO`` times the highest of any language, so passages in another language leave no mark.
-The kept n-grams go to one bit-sliced Bloom filter: a table of slots, each a mask with one bit per language. The AND of
+frequency in it is at least ``RATIO`` times the highest of any language, so passages in another language leave no mark,
+and at least ``MIN_SHARE`` of all its n-grams: what is rarer decides no text. The kept n-grams go to one bit-sliced Bloom filter: a table of slots, each a mask with one bit per language. The AND of
 an n-gram's slots names all languages that contain it, in one look-up whatever their number. A text's hits are counted
 per language; a language's false-positive rate, known from how full its slice is, corrects the share
 (hits / n - rate) / (1 - rate), and the largest share decides.
 
-The filter is the model: at most ``MAX_GRAMS`` n-grams per language, the most frequent first (a documented bound of the
-model's size; the counting covers all rows), so what is collected and broadcast is bounded by the number of languages.
+The filter is the model, and its size is bounded without ranking or dropping by number: at most 1 / ``MIN_SHARE``
+n-grams of a language can have that share, however long the corpus. Its slots are made on Spark (a bit-or per slot), and
+the masks alone are collected and broadcast.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; without any training row all are; ties
 and texts without a hit go to the language with the most n-grams in training, then by name; a null doc_id is not held
@@ -23,13 +24,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches
+from .common import cut, hint_broadcast, map_batches, write_out
 
 SIZES = (2, 3)
-RATIO, MIN_COUNT, MAX_GRAMS = 0.25, 2, 50_000
+RATIO, MIN_COUNT, MIN_SHARE = 0.25, 2, 2.0 ** -17
 HASHES, SLOTS_PER_GRAM = 3, 8
 _CHUNK = 1 << 19  # code points handled at a time
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -109,17 +110,10 @@ class Model:
     rates: np.ndarray  # false-positive rate of each language
 
     @staticmethod
-    def build(languages: list[str], rows: list[tuple[str, int]]) -> Model:
-        number = {lang: i for i, lang in enumerate(languages)}
-        words = max(1, -(-len(languages) // 64))
-        distinct = len({g for _, g in rows})
-        bits = max(6, int(np.ceil(np.log2(max(1, distinct) * SLOTS_PER_GRAM))))
-        slots = np.zeros((1 << bits, words), dtype=np.uint64)
-        if rows:
-            lang = np.array([number[name] for name, _ in rows])
-            gram = np.array([g for _, g in rows], dtype=np.int64).view(np.uint64)
-            for place in Model.places(gram, bits):
-                np.bitwise_or.at(slots, (place, lang // 64), np.uint64(1) << (lang % 64).astype(np.uint64))
+    def of_marks(languages: list[str], bits: int, slot: np.ndarray, word: np.ndarray, mask: np.ndarray) -> Model:
+        """The model of ``marks``."""
+        slots = np.zeros((1 << bits, max(1, -(-len(languages) // 64))), dtype=np.uint64)
+        np.bitwise_or.at(slots, (slot, word), mask.view(np.uint64))
         full = np.array([np.mean(slots[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)) for i in range(len(languages))])
         return Model(languages, slots, full ** HASHES)
 
@@ -170,13 +164,25 @@ class Model:
         return names, scores
 
 
+def filter_bits(distinct: int) -> int:
+    """Address bits of a filter for so many n-grams."""
+    return max(6, int(np.ceil(np.log2(max(1, distinct) * SLOTS_PER_GRAM))))
+
+
+def marks(lang: np.ndarray, gram: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slot, word of the slot and mask that n-grams of languages (by number) set."""
+    bit = (np.uint64(1) << (lang % 64).astype(np.uint64)).view(np.int64)
+    places = Model.places(gram.view(np.uint64), bits)
+    return np.concatenate(places), np.tile(lang // 64, HASHES), np.tile(bit, HASHES)
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text leaves the remainder ``fold``; false for null."""
     crc = F.crc32(doc_id.cast("string").cast("binary"))
     return F.coalesce(crc % folds == fold, F.lit(False))
 
 
-def train(rows: DataFrame, ratio: float = RATIO, max_grams: int = MAX_GRAMS) -> Model:
+def train(rows: DataFrame, ratio: float = RATIO, min_share: float = MIN_SHARE) -> Model:
     """Model of ``rows`` (lang, text); rows with a null are left out."""
     rows = rows.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     counted = (map_batches(rows.where("lang is not null and text is not null"), _count,
@@ -185,17 +191,28 @@ def train(rows: DataFrame, ratio: float = RATIO, max_grams: int = MAX_GRAMS) ->
     counted = cut(counted)
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
     names = [r["lang"] for r in totals.orderBy(F.desc("total"), "lang").collect()]  # one row per language
-    shared = counted.join(F.broadcast(totals), "lang").withColumn("share", F.col("n") / F.col("total"))
+    shared = (counted.join(hint_broadcast(totals, len(names), 64), "lang")
+              .withColumn("share", F.col("n") / F.col("total")))
     top = shared.groupBy("gram").agg(F.max("share").alias("top"))
-    kept = (shared.join(top, "gram").where((F.col("n") >= MIN_COUNT) & (F.col("share") >= ratio * F.col("top")))
-            .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))
-            .where(F.col("rank") <= max_grams))
-    return Model.build(names, [(r["lang"], r["gram"]) for r in kept.select("lang", "gram").collect()])
+    enough = (F.col("n") >= MIN_COUNT) & (F.col("share") >= F.greatest(ratio * F.col("top"), F.lit(min_share)))
+    kept = write_out(shared.join(top, "gram").where(enough).select("lang", "gram"))
+    bits = filter_bits(kept.select("gram").distinct().count())
+    number = {lang: i for i, lang in enumerate(names)}
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = np.fromiter(map(number.get, batch.column(0).to_pylist()), np.int64, batch.num_rows)
+            found = marks(lang, batch.column(1).to_numpy(zero_copy_only=False), bits)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["slot", "word", "mask"])
+
+    slots = (map_batches(kept, mark, "slot long, word long, mask long").groupBy("slot", "word")
+             .agg(F.bit_or("mask").alias("mask")).toPandas())
+    return Model.of_marks(names, bits, *[slots[c].to_numpy(np.int64) for c in ("slot", "word", "mask")])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with lang_pred and score."""
-    others = [c for c in docs.columns if c != text]
+    others = [c for c in docs.columns if c != text and c.lower() not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,6 +221,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(names, pa.string()),
                                               pa.array(scores, pa.float64())], [*others, "lang_pred", "score"])
 
-    rows = docs.select(F.col(text).cast("string").alias(text), *others)
+    rows = docs.select(F.col(text).cast("string").alias(text), *[F.col(f"`{c}`") for c in others])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     return map_batches(rows, run, f"{kinds}, lang_pred string, score double")
