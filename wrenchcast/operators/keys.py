@@ -47,8 +47,9 @@ def add_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "ro
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return (ranged.withColumn(name, inside).join(F.broadcast(offsets), "_range", "left")
-            .withColumn(name, F.col(name) + F.col("_off")).drop("_range", "_off"))
+    columns = [F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()]
+    return (ranged.select("*", inside.alias("_place")).join(F.broadcast(offsets), "_range", "left")
+            .select(*columns, (F.col("_place") + F.col("_off")).alias(name)))
 
 
 def value_ranks(df: DataFrame, column: str, name: str) -> DataFrame:

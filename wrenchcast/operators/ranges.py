@@ -110,7 +110,7 @@ def range_bucket(df: DataFrame, order: Sequence[Column | str | SortKey], buckets
                      (True, False): "desc_nulls_first", (True, True): "desc_nulls_last"}
         by = [getattr(F.col(f"_key.k{i}"), direction[k.descending, k.nulls_last])() for i, k in enumerate(keys)]
     total = df.agg(F.count(F.lit(1))).scalar()
-    chosen = F.lit(float(OVERSAMPLE * buckets * (1 << _BITS))) / F.nullif(total, F.lit(0))
+    chosen = F.try_divide(F.lit(float(OVERSAMPLE * buckets * (1 << _BITS))), total)
     sample = df.select(key.alias("_key")).where(F.shiftrightunsigned(F.xxhash64("_key"), 64 - _BITS) < chosen)
     ranked = sample.select(F.struct(F.row_number().over(Window.orderBy(*by)).alias("rank"), F.col("_key").alias("key"))
                            .alias("at"), F.count(F.lit(1)).over(Window.partitionBy()).alias("size"))
@@ -130,5 +130,5 @@ def range_bucket(df: DataFrame, order: Sequence[Column | str | SortKey], buckets
         at = F.aggregate(steps, F.lit(0), further)
     if plain and len(parts) == 1:  # a null key is below every split point that is not null
         at = F.when(F.col("_key").isNull(), F.lit(0)).otherwise(at)
-    return (df.select("*", key.alias("_key"), splits.alias("_splits")).withColumn(name, at)
-            .drop("_splits", "_key"))
+    return (df.select("*", key.alias("_key"), splits.alias("_splits"))
+            .select(*[F.col(f"`{c}`") for c in df.columns], at.alias(name)))
