@@ -35,7 +35,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: tu
 
     Sources take ``weights`` in turn, by code point with null last. Written to the checkpoint folder.
     """
-    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    # written, as the numbering reads its input several times
+    per_source = cut(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
     numbered = add_row_number(per_source, [F.col("source").isNull().asc(), F.col("source").asc()], "n")
     weight = F.get(F.array(*[F.lit(w) for w in weights]), ((F.col("n") - 1) % len(weights)).cast("int"))
     state = cut(numbered.select("source", "source_size", weight.cast("long").alias("weight")))
