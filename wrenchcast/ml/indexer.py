@@ -30,7 +30,7 @@ class TableIndexer(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable,
 
     def _fit(self, dataset: DataFrame) -> TableIndexModel:
         text = dataset.select(F.col(self.getInputCol()).cast("string").alias("value")).where("value IS NOT NULL")
-        index = write_table(value_ranks(text, "value", "number"))
+        index = write_table(value_ranks(text, "value", "number", written=True))
         model = TableIndexModel(index, index.count())
         model._resetUid(self.uid)
         return self._copyValues(model)

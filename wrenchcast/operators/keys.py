@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wrenchcast.operators.ranges import range_bucket
+from wrenchcast.session import write_table
 
 #: Ranges for each shuffle partition in ``add_row_number``: more ranges than tasks even out what hashing deals a task.
 RANGES_PER_TASK = 2
@@ -52,10 +53,12 @@ def add_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "ro
             .select(*columns, (F.col("_place") + F.col("_off")).alias(name)))
 
 
-def value_ranks(df: DataFrame, column: str, name: str) -> DataFrame:
+def value_ranks(df: DataFrame, column: str, name: str, written: bool = False) -> DataFrame:
     """Each distinct value of ``column`` with its rank by falling frequency, ties by ascending value, nulls last, as a
-    DOUBLE from 0. Counts are a partial aggregate, ranks the distributed row number over them."""
+    DOUBLE from 0. Counts are a partial aggregate, ranks the distributed row number over them; ``written`` counts first,
+    in a job of its own, so that a large ``df`` is read once."""
     counts = df.groupBy(F.col(column)).agg(F.count(F.lit(1)).alias("_n"))
+    counts = write_table(counts) if written else counts
     order = [F.col(column).isNull().asc(), F.desc("_n"), F.asc(column)]
     return add_row_number(counts, order, "_rank").select(column, (F.col("_rank") - 1).cast("double").alias(name))
 
