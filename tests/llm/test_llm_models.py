@@ -21,24 +21,28 @@ def test_held_out_is_the_crc_remainder(spark):
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 1) for r in rows)
 
 
-def scored(spark, rows, cached=1 << 18, n_classes=6):
+def scored(spark, rows, cached=1 << 18, n_classes=6, word_count=class_lm.WORD_COUNT):
     docs = spark.createDataFrame(rows, "doc_id long, text string").select(
         "doc_id", held_out(F.col("doc_id"), 5, 1).alias("held_out"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    model = class_lm.train(docs.where("not held_out").select("text"), n_classes, 3, cached)
+    model = class_lm.train(docs.where("not held_out").select("text"), n_classes, 3, cached, word_count)
     return model, class_lm.score(docs, model).collect()
 
 
-@pytest.mark.parametrize("cached", [1 << 18, 3])
-def test_scores_match_plain_python(spark, cached):
+@pytest.mark.parametrize("cached, clustered", [(1 << 18, class_lm.CLUSTERED), (3, class_lm.CLUSTERED), (1 << 18, 20)])
+def test_scores_match_plain_python(spark, monkeypatch, cached, clustered):
+    if clustered != class_lm.CLUSTERED:  # most words leave their units
+        monkeypatch.setattr(class_lm, "CLUSTERED", clustered)
+        monkeypatch.setattr(class_lm, "BOUNDARY", clustered + class_lm.UNITS)
+        monkeypatch.setattr(class_lm, "ELEMENTS", clustered + class_lm.UNITS + 1)
     rows = TEXTS + [(r.doc_id + 100, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()]
-    model, got = scored(spark, rows, cached)
+    model, got = scored(spark, rows, cached, word_count=2)
     training = [class_lm.tokens((t or "").encode()) for i, t in rows
                 if i is None or zlib.crc32(str(i).encode()) % 5 != 1]
     count = Counter(w for t in training for w in t)
     n, v = sum(count.values()) + len(training), len(count) + 1
-    element = {w: k for k, w in enumerate(model.lexicon.words[:class_lm.CLUSTERED])}
-    class_of = lambda w: int(model.classes[element.get(w, class_lm.CLUSTERED + class_lm.unit(w))])
+    code = {w: k for k, w in enumerate(model.lexicon.value.words)}
+    class_of = lambda w: int(model.classes[code.get(w, len(code) + class_lm.unit(w))])
     follow, in_class = Counter(), Counter()
     for t in training:
         path = [0, *map(class_of, t), 0]
@@ -74,6 +78,47 @@ def test_class_model_beats_the_unigrams_on_held_out_texts(spark):
     assert better > 0.8 * len(rows)
 
 
+def test_words_go_to_the_class_of_best_gain(spark):
+    rng = np.random.default_rng(5)
+    paths = [rng.integers(0, 60, rng.integers(0, 30)).tolist() for _ in range(80)] + [[], [7] * 9]
+    n_classes, first = 5, 12
+    classes = np.append(rng.integers(1, n_classes + 1, 60), 0)
+    movable = np.arange(61) >= first
+    movable[-1] = False
+    codes = spark.createDataFrame([(p,) for p in paths], "codes array<int>").repartition(3)
+    got, m = class_lm.place_words(codes, classes, movable, n_classes)
+
+    counts, met = np.zeros((n_classes + 1, n_classes + 1)), Counter()
+    for p in paths:
+        whole = [-1, *p, -1]
+        for a, b in zip(whole, whole[1:]):
+            counts[classes[a], classes[b]] += 1
+            met[a, "next", int(classes[b])] += 1
+            met[b, "last", int(classes[a])] += 1
+    assert (m == counts).all()
+    total = counts.sum()
+    smooth = [[counts[a, b] + 5 * counts[a].sum() * counts[:, b].sum() / total / (n_classes + 1) + 0.1
+               for b in range(n_classes + 1)] for a in range(n_classes + 1)]
+    share = [sum(row[b] for row in smooth) / sum(map(sum, smooth)) for b in range(n_classes + 1)]
+    seen = {w for p in paths for w in p}
+    for w in range(60):
+        if w < first or w not in seen:
+            assert got[w] == classes[w]
+            continue
+        gain = [sum(met[w, "next", c] * math.log(smooth[b][c] / sum(smooth[b])) +
+                    met[w, "last", c] * math.log(smooth[c][b] / sum(smooth[c]) / share[b]) for c in range(n_classes + 1))
+                for b in range(n_classes + 1)]
+        assert gain[got[w]] == pytest.approx(max(gain[1:]))
+    assert got[-1] == 0
+
+
+def test_long_words_are_met_in_the_join(spark):
+    long = "y" * 5000
+    model, got = scored(spark, [(1, f"{long} a {long}"), (2, "a b")])
+    assert long.encode() not in model.lexicon.value.words
+    assert {r.doc_id: r.n_known for r in got} == {1: 4, 2: 3}
+
+
 def likelihood(pairs, classes):
     m = Counter()
     for (a, b), n in pairs.items():

@@ -14,8 +14,7 @@ def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id"), 5, 1).alias("held_out"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    model = class_lm.train(docs.where("not held_out").select("text"))
-    return class_lm.score(docs, model).drop("perplexity")
+    return class_lm.train_and_score(docs).drop("perplexity")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
