@@ -1,5 +1,6 @@
 """Operators 1, 2, 8 and 10 and the pipeline against plain Python."""
 
+import json
 import os
 import random
 import zlib
@@ -186,6 +187,32 @@ def brute_cost(pos, penalty, limit):
     return best
 
 
+def test_ids_are_those_of_the_tokenizer_file():
+    from tokenizers import Tokenizer
+    texts = [t or "" for t, in duckdb.sql("select text from '/root/testdata/sf0.1/documents.parquet'").fetchall()]
+    encoder, whole = Encoder(default_tokenizer_file()), Tokenizer.from_file(default_tokenizer_file())
+    for text in texts + [" a  b", "x \n y", "it's 12\u00a0km", "<|endoftext|> a", "\u4e2d\u6587 \U0001f600"]:
+        ids = whole.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == np.array(ids, dtype="<u4").tobytes()
+
+
+@pytest.mark.parametrize("fault", ["pre_tokenizer", "normalizer", "merges", "model options"])
+def test_other_tokenizer_files_are_refused(tmp_path, fault):
+    with open(default_tokenizer_file(), encoding="utf-8") as f:
+        spec = json.load(f)
+    if fault == "pre_tokenizer":
+        spec["pre_tokenizer"]["add_prefix_space"] = True
+    elif fault == "normalizer":
+        spec["normalizer"] = {"type": "NFC"}
+    elif fault == "merges":
+        spec["model"]["merges"][5], spec["model"]["merges"][9] = spec["model"]["merges"][9], spec["model"]["merges"][5]
+    else:
+        spec["model"]["ignore_merges"] = True
+    (tmp_path / "other.json").write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError, match=fault):
+        Encoder(str(tmp_path / "other.json"))
+
+
 def test_cuts_are_optimal():
     rng = random.Random(8)
     for _ in range(200):

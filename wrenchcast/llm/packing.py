@@ -44,6 +44,31 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def check_spec(spec: dict) -> None:
+    """Refuse a tokenizer file that says anything ``Encoder`` does not reproduce."""
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    wrong = [name for name, ok in {
+        "model.type": model.get("type") == "BPE",
+        "normalizer": spec.get("normalizer") is None,
+        "pre_tokenizer": (pre.get("type"), pre.get("add_prefix_space"), pre.get("use_regex", True)) == (
+            "ByteLevel", False, True),
+        "truncation, padding": spec.get("truncation") is None and spec.get("padding") is None,
+        "model options": not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                                                        "end_of_word_suffix", "byte_fallback", "ignore_merges")),
+        "added_tokens": not any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip",
+                                                                             "normalized")),
+    }.items() if not ok]
+    # Ids serve as merge ranks: the merges must give all tokens but the bytes, in the order of their ids.
+    vocab, special = model["vocab"], {t["content"] for t in spec["added_tokens"]}
+    merged = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    if merged != sorted(i for token, i in vocab.items() if len(token) > 1 and token not in special):
+        wrong.append("merges")
+    if {token for token in vocab if len(token) == 1} != set(_byte_of_char()):
+        wrong.append("byte tokens")
+    if wrong:
+        raise ValueError(f"tokenizer file not supported: {', '.join(wrong)}")
+
+
 class Encoder:
     """Ids of a byte-level BPE file, by the word: a text is split before each space, and frequent words are kept."""
 
@@ -52,6 +77,7 @@ class Encoder:
 
         with open(tokenizer_file, encoding="utf-8") as f:
             spec = json.load(f)
+        check_spec(spec)
         byte = _byte_of_char()
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
