@@ -135,6 +135,13 @@ def encode(texts: DataFrame, lexicon: Broadcast[Lexicon], others: str = "") -> D
                                  others + "codes array<int>, rare array<struct<word: binary, m: bigint>>"))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of some texts, which bounds the arrays made from one."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _path(codes: pa.ListArray) -> np.ndarray:
     """The codes of all texts in a row, with the boundary before each and behind the last."""
     lengths = codes.value_lengths().to_numpy()
@@ -151,7 +158,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], elements: np.ndarray) -> Iterator[
              pa.array(n.astype(np.int64))], ["a", "b", "n"])
 
     codes, held = [], 0
-    for batch in batches:
+    for batch in _slices(batches):
         element = elements[_path(batch.column(0))]
         codes.append(element[:-1] * ELEMENTS + element[1:])
         held += len(element)
@@ -257,7 +264,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], class_of: np.ndarray, movable:
         return rows(code // slots, code % slots, count)
 
     bigrams, found, held = np.zeros(n * n, dtype=np.int64), [], 0
-    for batch in batches:
+    for batch in _slices(batches):
         path = _path(batch.column(0))
         c = class_of[path]
         bigrams += np.bincount(c[:-1] * n + c[1:], minlength=n * n)
@@ -404,7 +411,7 @@ def _sums(batches: Iterator[pa.RecordBatch], counts: np.ndarray, classes: np.nda
     log_count[:len(counts)] = np.log10(counts + 0.5)
     spread = spread.copy()
     spread[0] = 0.0  # the end is what its class stands for
-    for batch in batches:
+    for batch in _slices(batches):
         lengths = batch.column(0).value_lengths().to_numpy()
         path = _path(batch.column(0))
         c, token = classes[path], path[1:]
