@@ -29,7 +29,7 @@ def base_failed(s):
     return s[0] < 50 or 100 * s[4] > 50 * s[0]
 
 
-FLOORS = np.array([150, 250, 150, 250.0])
+FLOORS = np.array([150, 250, 150, 150.0])
 
 
 def vector(s):
