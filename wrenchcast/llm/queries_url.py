@@ -11,8 +11,17 @@ from .url_filter import Rule, host_and_path, url_verdicts
 # Fixed rules of the query.
 RULES = [Rule("allow", "org/"), Rule("block", "example.org/es/"), Rule("block", "example.org/en/1"),
          Rule("allow", "com/fr/"), Rule("block", "com/de/")]
-# A host is on the list if one of its labels, cut at '.' and '-', is one of these words.
-LISTED_WORDS = ["ads", "adult", "bets", "casino", "pills", "spam"]
+# Fixed words of the query: a host is on the list if one of its labels, cut at '.' and '-', is one of them. They are
+# the usual headings of public lists of unwanted sites (advertising, adult, gambling, drugs, fraud, malware, piracy), in
+# singular and plural; none is read off the pages.
+LISTED_WORDS = [
+    "ad", "ads", "advert", "adverts", "adserver", "banner", "banners", "tracker", "trackers",
+    "adult", "escort", "escorts", "porn", "sex", "xxx",
+    "bet", "bets", "betting", "casino", "casinos", "gambling", "lottery", "poker", "slot", "slots",
+    "drug", "drugs", "pharmacy", "pill", "pills", "viagra",
+    "fraud", "phishing", "scam", "scams", "spam",
+    "botnet", "malware", "ransomware", "spyware", "trojan", "virus",
+    "crack", "cracks", "keygen", "torrent", "torrents", "warez"]
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,10 @@ for one of these, and so on until a level errs on no key. The first level that d
 key of the universe is answered exactly, without a join of the pages with the list.
 
 A level is an array of 64-bit words, built by ``bit_or`` per word and read as a scalar subquery; its size is known
-before it is built. Lists whose levels would pass ``max_level_bits`` are cut into shards by key hash, and each shard's
-pages are judged by that shard's cascade.
+before it is built. Lists whose levels would pass ``max_level_bits`` (a few MB, as a level is gathered in one task and
+goes with the tasks that read it) are cut into shards by key hash, and each shard's pages are judged by that shard's
+cascade. Then the pages' hosts and paths are written once, sorted by shard in parts of even size, and each cascade reads
+the row groups of its shard.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is allowed unless the
 empty host is listed; null listed keys are ignored; repeated urls get equal verdicts; an empty table gives no rows.
@@ -23,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lower_ascii
+from .common import cut, lower_ascii, write_out
 
 
 @dataclass(frozen=True)
@@ -132,7 +134,7 @@ class Cascade:
 
 
 def url_verdicts(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str = "url",
-                 max_level_bits: int = 1 << 30) -> DataFrame:
+                 max_level_bits: int = 1 << 26) -> DataFrame:
     """``pages`` columns named in the result: page_id, host, path, rule, verdict, listed.
 
     ``listed`` has one string column of blocked hosts. The universe is every host of ``pages`` with the listed ones.
@@ -145,15 +147,19 @@ def url_verdicts(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: st
                    .groupBy("key").agg(F.max("listed").alias("listed")))
     n_listed = universe.where("listed").count()
     shards = max(1, math.ceil(n_listed * 64 / max_level_bits))  # 64 bits a key is far above what a level takes
-    shard = F.pmod(F.xxhash64(F.lit(-1), F.col("key")), F.lit(shards))
-    parts = []
-    for s in range(shards):
-        mine = universe if shards == 1 else universe.where(shard == s)
-        cascade = build_cascade(mine)
-        part = judged.withColumn("key", F.col("host"))
-        part = part if shards == 1 else part.where(shard == s)
-        parts.append(part.withColumn("listed", cascade.listed(F.col("key"))).drop("key"))
-    out = reduce(DataFrame.unionByName, parts)
+    if shards == 1:
+        out = judged.withColumn("listed", build_cascade(universe).listed(F.col("host")))
+    else:
+        shard = lambda key: F.pmod(F.xxhash64(F.lit(-1), key), F.lit(shards)).alias("shard")
+        universe = write_out(universe.select("*", shard(F.col("key"))).sortWithinPartitions("shard"))
+        # by ranges of shard and row, so that a shard with a host of very many pages is written by many tasks
+        rows = judged.select("*", shard(F.col("host")))
+        rows = write_out(rows.repartitionByRange("shard", F.xxhash64("page_id", "path")).sortWithinPartitions("shard"))
+        parts = []
+        for s in range(shards):
+            cascade = build_cascade(universe.where(F.col("shard") == s).drop("shard"))
+            parts.append(rows.where(F.col("shard") == s).drop("shard").withColumn("listed", cascade.listed(F.col("host"))))
+        out = reduce(DataFrame.unionByName, parts)
     return (out.withColumn("rule", rule)
             .withColumn("verdict", F.coalesce(ruled, F.when(F.col("listed"), "block").otherwise("allow")))
             .select("page_id", "host", "path", "rule", "verdict", "listed"))
