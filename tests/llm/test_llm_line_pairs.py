@@ -48,6 +48,16 @@ def test_two_orders_of_two_lines(spark):
     assert expected[60] == 1 and all(expected[i] == 2 for i in range(61, 80))
 
 
+@pytest.mark.parametrize("further", [1, 8, 700])
+def test_nearest_holders_of_a_hot_run(spark, further):
+    """A run with 2,000 holders, some given twice, beside a run of few."""
+    held = {b"hot": [7 * i % 2003 for i in range(2000)], b"few": [5, 3, 9], b"one": [4]}
+    rows = [(k, i) for k, ids in held.items() for i in [*ids, *ids[:5]]]
+    got = line_dedup._nearest(spark.createDataFrame(rows, "key binary, next_id long"), further).collect()
+    assert sorted((bytes(r.key), r.n, r.next_id) for r in got) == sorted(
+        (k, n, i) for k, ids in held.items() for n, i in enumerate(sorted(ids)[:further], 1))
+
+
 def test_shortest_runs_are_all_there():
     rng = random.Random(9)
     for _ in range(300):

@@ -4,6 +4,7 @@ import json
 import os
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -18,7 +19,7 @@ from wrenchcast.llm.mixing import emit_mix, mixed, source_targets
 from wrenchcast.llm.packing import (Encoder, Packer, binary_tail, choose_cuts, default_tokenizer_file, digest,
                                     pack_documents)
 from wrenchcast.llm.quality import BASE, judge, keep_good, with_statistics
-from wrenchcast.llm.url_filter import Rule, build_cascade, url_verdicts
+from wrenchcast.llm.url_filter import Rule, build_cascade, host_and_path, url_verdicts
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -87,6 +88,19 @@ def test_urls_of_all_kinds(spark, max_level_bits):
     assert url_verdicts(pages.limit(0), rules, listed).count() == 0
 
 
+def test_shards_read_the_pages_once(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    host = pages.select(host_and_path(F.col("url"))[0].alias("h")).distinct()
+    listed = host.where(F.crc32("h") % 2 == 0)
+    whole = url_verdicts(pages, [], listed)
+    parts = url_verdicts(pages, [], listed, max_level_bits=64)
+    assert "union" in parts._jdf.queryExecution().analyzed().toString().lower()
+    assert "pages.parquet" in " ".join(whole.inputFiles()) and "pages.parquet" not in " ".join(parts.inputFiles())
+    names = ["page_id", "host", "path", "verdict"]
+    assert spark_rows(parts, names) == spark_rows(whole, names)
+    assert {r.listed for r in parts.select("listed").distinct().collect()} == {True, False}
+
+
 # 2: mixing
 
 MIX = [(1, "a b c", "s1", "x"), (2, None, "s1", "x"), (3, "a " * 500, "s2", "x"), (4, " \n", None, "x"),
@@ -166,6 +180,30 @@ def test_quality_matches_brute_force(spark):
         (r[0] for r, k in zip(rows, expected) if k), key=repr)
 
 
+def test_quality_of_many_groups(spark):
+    """On this table 65 groups of language and source have estimates of their own."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang", "source")
+    rows = [tuple(r) for r in docs.collect()]
+    assert sum(n >= 50 for n in Counter((r[2], r[3]) for r in rows).values()) == 65
+    expected = brute.quality([(lang, source, t) for _, t, lang, source in rows])
+    assert 0 < sum(expected) < len(rows) - sum(brute.base_failed(brute.statistics(r[1])) for r in rows)
+    got = sorted((r.doc_id, r.kept) for r in judge(docs).select("doc_id", "kept").collect())
+    assert got == sorted((r[0], k) for r, k in zip(rows, expected))
+
+
+def test_repeated_words_alone_can_reject(spark):
+    """Where texts repeat nothing, one goes with 45 % repeated words, which the base rule allows, and one stays with 9 %."""
+    rng = random.Random(8)
+
+    def text(n_repeated):
+        words = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(300 - n_repeated)]
+        return " ".join(words + words[:3] * (n_repeated // 3))
+    rows = [(i, text(0), "en", "s") for i in range(80)] + [(100, text(132), "en", "s"), (101, text(24), "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in judge(docs).collect()}
+    assert got == {**{i: (False, True) for i in range(80)}, 100: (False, False), 101: (False, True)}
+
+
 def test_quality_of_small_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert judge(empty).count() == 0 and keep_good(empty).count() == 0

@@ -35,6 +35,7 @@ from .common import cut, fresh, map_batches
 MIN_BLOCK_WORDS = 3
 #: Further holders that the first round after the earliest ones asks per run; each later round asks ``_MORE`` times as many.
 _FURTHER, _MORE = 8, 4
+_SLICES = 32  # parts in which the holders of a run are sorted
 _RUNS = "doc_id long, text_hash long, key binary, run array<long>"
 
 
@@ -188,9 +189,24 @@ def _aligned(pairs: DataFrame, packed: DataFrame, min_words: int) -> DataFrame:
 
 
 def _summed(aligned: DataFrame) -> DataFrame:
-    return aligned.groupBy("doc_id", "text_hash").agg(
-        F.array_distinct(F.flatten(F.collect_list("doomed"))).alias("doomed"),
-        F.size(F.collect_set("early_id")).cast("long").alias("n_partners"))
+    """Distinct deleted lines and the number of partners of each document, whose row is no longer than its lines."""
+    of = ["doc_id", "text_hash"]
+    lines = aligned.select(*of, F.explode("doomed").alias("line"), F.lit(None).cast("long").alias("partner"))
+    partners = aligned.select(*of, F.lit(None).cast("long").alias("line"), F.col("early_id").alias("partner"))
+    return (lines.unionByName(partners).groupBy(*of, "line", "partner").agg(F.lit(1).alias("one"))
+            .repartition(*of).groupBy(*of).agg(F.collect_list("line").alias("doomed"), F.count("partner").alias("n_partners")))
+
+
+def _nearest(holders: DataFrame, further: int) -> DataFrame:
+    """The first ``further`` next_id of each key of ``holders`` (key, next_id), numbered by n from 1. Checkpointed.
+
+    Numbered within slices of a key first, so that a run with very many holders is sorted by ``_SLICES`` tasks.
+    """
+    first = F.row_number().over(Window.partitionBy("key", "slice").orderBy("next_id"))
+    sliced = (holders.withColumn("slice", F.pmod(F.xxhash64("next_id"), F.lit(_SLICES))).repartition("key", "slice")
+              .distinct().withColumn("n", first).where(F.col("n") <= further))
+    n = F.row_number().over(Window.partitionBy("key").orderBy("next_id"))
+    return cut(sliced.select("key", "next_id").withColumn("n", n).where(F.col("n") <= further))
 
 
 def _open(runs: DataFrame, aligned: DataFrame) -> DataFrame:
@@ -226,10 +242,8 @@ def doomed_lines(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame
     while not left.isEmpty():
         # early_id: up to which holder a run has been asked for, the same in all documents
         asked = left.groupBy("key").agg(F.max("early_id").alias("asked"), F.max("doc_id").alias("last_id"))
-        holders = (runs.join(asked, "key").where("doc_id > asked and doc_id < last_id")
-                   .select("key", F.col("doc_id").alias("next_id")).distinct())
-        nearest = Window.partitionBy("key").orderBy("next_id")
-        holders = cut(holders.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= further))
+        holders = _nearest(runs.join(asked, "key").where("doc_id > asked and doc_id < last_id")
+                           .select("key", F.col("doc_id").alias("next_id")), further)
         pairs = left.drop("early_id").join(holders.drop("n").withColumnRenamed("next_id", "early_id"), "key")
         aligned = aligned.union(_aligned(pairs.where("doc_id > early_id"), packed, min_words))
         up_to = holders.where(F.col("n") == further).select("key", F.col("next_id").alias("early_id"))
